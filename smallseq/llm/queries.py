@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, idstore, simhash, topk
+from . import bpe, decontaminate, idstore, langid, simhash, topk
 from .common import read_table
 from .oracles import ORACLES  # noqa: F401
 
@@ -27,6 +27,11 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -36,9 +41,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.train(docs.select("doc_id", "text", "lang")))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_token_ids": op2_token_ids,
     "op3_topk": op3_topk,
+    "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
     "op9_bpe": op9_bpe,
+    "op10_language_id": op10_language_id,
 }
