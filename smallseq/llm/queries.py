@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, idstore, langid, simhash, topk
+from . import bpe, decontaminate, idstore, langid, recompress, simhash, suffixes, topk
 from .common import read_table
 from .oracles import ORACLES  # noqa: F401
 
@@ -37,6 +37,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
 
@@ -53,6 +61,8 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
+    "op7_recompression": op7_recompression,
+    "op8_suffix_array": op8_suffix_array,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
 }
