@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, idstore, langid, recompress, simhash, suffixes, topk
+from . import bpe, decontaminate, idstore, langid, linetree, recompress, simhash, suffixes, topk, urltree
 from .common import read_table
 from .oracles import ORACLES  # noqa: F401
 
@@ -17,6 +17,11 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
+    return urltree.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), labels).drop("template", "purity")
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = idstore.new_folder(spark)
     idstore.write(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), folder)
@@ -27,6 +32,10 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linetree.digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark")).drop("spans")
@@ -57,8 +66,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_token_ids": op2_token_ids,
     "op3_topk": op3_topk,
+    "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
     "op7_recompression": op7_recompression,
