@@ -8,6 +8,7 @@ neighbouring ranks are looked up again. Pieces are short, so the scan beats a he
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 from functools import cache
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .batches import by_volume
 
 _NONE = 1 << 40
 
@@ -46,7 +48,7 @@ class RankArrayBpe:
             self.names[i] = name
         self.encoder = tokens.ChunkEncoder(self.specials, lambda pieces: map(self.encode_piece, pieces))
 
-    def encode_piece(self, piece: str) -> np.ndarray:
+    def encode_piece(self, piece: str) -> bytes:
         raw = piece.encode()
         inner, width, pairs, merged = self.inner, self.width, self.pairs, self.merged
         parts = [inner[b] for b in raw]
@@ -63,7 +65,7 @@ class RankArrayBpe:
                 ranks[i] = pairs.get(parts[i] * width + parts[i + 1], _NONE)
             if i:
                 ranks[i - 1] = pairs.get(parts[i - 1] * width + parts[i], _NONE)
-        return np.array(parts, "<u4")
+        return struct.pack(f"<{len(parts)}I", *parts)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return self.encoder.encode(texts)
@@ -77,6 +79,7 @@ class RankArrayBpe:
 @cache
 def encoder(path: str) -> RankArrayBpe:
     """One encoder (and its cache) for each worker process."""
+    tokens.no_cycles()
     return RankArrayBpe(path)
 
 
@@ -86,7 +89,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
-        for batch in batches:
+        for batch in by_volume(batches):
             coded = bpe.encode(batch.column(1).to_pylist())
             flat = np.frombuffer(b"".join(coded), "<u4").astype("i4")
             ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype("i4")
@@ -118,7 +121,7 @@ def round_trip_digests(docs: DataFrame, vocab_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
-        for batch in batches:
+        for batch in by_volume(batches):
             count, ids_hex, text_hex = [], [], []
             for ids in bpe.encode(batch.column(1).to_pylist()):
                 count.append(len(ids) // 4)

@@ -8,6 +8,7 @@ below are bounded and only save time.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Callable, Iterable
@@ -21,8 +22,9 @@ WORD_END = "</w>"
 #: What str.split() takes for white space although the file's pattern does not.
 _CONTROL_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
+_MARKS = frozenset(".,;:!?")
 #: Entries kept by each cache before it starts afresh.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 700_000
 
 
 def byte_spelling() -> list[str]:
@@ -37,6 +39,11 @@ def byte_spelling() -> list[str]:
     return out
 
 
+def no_cycles() -> None:
+    """Stop a worker's cycle collector: the caches hold many objects but no cycles, and it would walk them all."""
+    gc.disable()
+
+
 def load_file(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         return json.load(f)
@@ -47,34 +54,47 @@ def lowered(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
+def pieces_of(chunk: str) -> list[str]:
+    """The pieces of a normalised chunk; words and words before one mark, the usual cases, need no pattern."""
+    if chunk.isalpha():
+        return [chunk]
+    if chunk[-1] in _MARKS and chunk[:-1].isalpha():
+        return [chunk[:-1], chunk[-1]]
+    return PIECE.findall(chunk)
+
+
 class ChunkEncoder:
     """Encodes whole texts by chunk, with a bounded chunk cache over a bounded piece cache.
 
-    ``encode_pieces`` maps new, normalised pieces to their token ids. Special tokens in a text become their own ids, as
+    ``encode_pieces`` maps new, normalised pieces to their token ids (little-endian, 32 bits). Special tokens in a text become their own ids, as
     the library does by default.
     """
 
-    def __init__(self, specials: dict[str, int], encode_pieces: Callable[[list[str]], Iterable[np.ndarray]]):
+    def __init__(self, specials: dict[str, int], encode_pieces: Callable[[list[str]], Iterable[bytes]]):
         self.specials = specials
         self.encode_pieces = encode_pieces
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, new: set[str]) -> None:
-        new.difference_update(self.chunks)
-        if not new:
-            return
+    def _learn(self, needed: set[str]) -> None:
+        """Make all of these chunks known. A full cache starts afresh before, never between, what one call needs."""
+        new = needed.difference(self.chunks)
         if len(self.chunks) + len(new) > CACHE_ENTRIES:
             self.chunks.clear()
-        found = {chunk: PIECE.findall(lowered(chunk)) for chunk in new}
-        fresh = set().union(*found.values()).difference(self.pieces)
+            new = needed
+        if not new:
+            return
+        order = list(new)
+        found = dict(zip(order, map(pieces_of, lowered("\n".join(order)).split("\n")), strict=True))
+        pieces = set().union(*found.values())
+        fresh = pieces.difference(self.pieces)
         if len(self.pieces) + len(fresh) > CACHE_ENTRIES:
             self.pieces.clear()
-            fresh = set().union(*found.values())
+            fresh = pieces
         order = list(fresh)
         for piece, ids in zip(order, self.encode_pieces(order), strict=True):
-            self.pieces[piece] = ids.astype("<u4").tobytes()
+            self.pieces[piece] = ids
         get = self.pieces.__getitem__
         for chunk, parts in found.items():
             self.chunks[chunk] = b"".join(map(get, parts))
@@ -83,7 +103,7 @@ class ChunkEncoder:
         return _SPACE.split(text) if _CONTROL_SPACE.search(text) else text.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each whole text; null counts as empty."""
+        """Little-endian unsigned 32-bit ids of each whole text; null counts as empty. Callers pass a few MB at once."""
         cut: list[list[tuple[bytes, list[str]]]] = []
         new: set[str] = set()
         for text in texts:
@@ -99,15 +119,9 @@ class ChunkEncoder:
                         parts.append((b"", words))
             cut.append(parts)
         new.discard("")
-        out = []
-        if len(new) > CACHE_ENTRIES // 2:  # a batch too varied for the cache: text by text
-            for parts in cut:
-                self._learn({w for _, words in parts for w in words if w})
-                out.append(self._join(parts))
-            return out
         self._learn(new)
         return [self._join(parts) for parts in cut]
 
     def _join(self, parts: list[tuple[bytes, list[str]]]) -> bytes:
-        get = self.chunks.get
-        return b"".join(special or b"".join(get(w, b"") for w in words) for special, words in parts)
+        get = self.chunks.__getitem__
+        return b"".join(special or b"".join(map(get, filter(None, words))) for special, words in parts)
