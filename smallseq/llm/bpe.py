@@ -98,6 +98,23 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {out_id}, ids array<int>")
 
 
+def encode_with_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids array<int>, decoded_sha256): what ``encode`` gives, with the digest of the decoded text."""
+    out_id = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(vocab_path)
+        for batch in by_volume(batches):
+            coded = bpe.encode(batch.column(1).to_pylist())
+            count = np.array([len(c) // 4 for c in coded], "i8")
+            ends = np.concatenate([[0], np.cumsum(count)]).astype("i4")
+            flat = np.frombuffer(b"".join(coded), "<u4").astype("i4")
+            digest = [hashlib.sha256(bpe.decode(c).encode()).hexdigest() for c in coded]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(digest, pa.string())], ["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {out_id}, n_tokens long, ids array<int>, decoded_sha256 string")
+
+
 def decode(coded: DataFrame, vocab_path: str) -> DataFrame:
     """(doc_id, ids) -> (doc_id, text): the decoded text of every id list (null: empty)."""
     out_id = coded.schema["doc_id"].dataType.simpleString()

@@ -248,6 +248,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {out_id}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model, least_score: float) -> DataFrame:
+    """The rows of docs, all columns as they are, whose language is determined with a score of ``least_score`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_volume(batches, at, limit=8 << 20):
+            names, score = shared.value.predict(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([n != UNDETERMINED and s >= least_score for n, s in zip(names, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def spans(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, spans array<struct<first, last, lang>>): runs of words (counted from 0) that the path gives one language."""
     out_id = docs.schema["doc_id"].dataType.simpleString()
