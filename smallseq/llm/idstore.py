@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, tokens
+from .batches import by_volume
 
 MAGIC = b"IDS1"
 _HEAD = struct.Struct("<4sB32sI")
@@ -56,15 +57,16 @@ class LibraryEncoder:
             self.ends[i] = name.endswith(tokens.WORD_END)
         self.chunks = tokens.ChunkEncoder({t["content"]: t["id"] for t in spec["added_tokens"]}, self._pieces)
 
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece: one call for all, cut behind the tokens that end a word."""
         if not pieces:
             return []
         ids = np.array(self.lib.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(pieces):
-            return np.split(ids, cuts[:-1])
-        return [np.array(self.lib.encode(p, add_special_tokens=False).ids, "<u4") for p in pieces]
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(ends) == len(pieces):
+            raw = ids.tobytes()
+            return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return [np.array(self.lib.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in pieces]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return self.chunks.encode(texts)
@@ -72,6 +74,7 @@ class LibraryEncoder:
 
 @cache
 def encoder(path: str) -> LibraryEncoder:
+    tokens.no_cycles()
     return LibraryEncoder(path)
 
 
@@ -86,7 +89,7 @@ def train_dictionary(docs: DataFrame, vocab_path: str, width: int) -> bytes:
         return b""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_volume(batches, 0):
             coded = encoder(vocab_path).encode(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([_packed(c[: 4 * SAMPLE_IDS], width) for c in coded], pa.binary())], ["ids"])
 
@@ -155,7 +158,7 @@ def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts:
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw), write_content_size=True, write_checksum=False, write_dict_id=False).compress
-        for batch in batches:
+        for batch in by_volume(batches):
             coded = [c + tail for c in encoder(vocab_path).encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([compress(_packed(c, width)) for c in coded], pa.binary())], ["doc_id", "n_tokens", "frame"])
 
