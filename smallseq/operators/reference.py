@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from .intervals import merge_intervals, with_shift
 
 #: Rounds of pointer jumping for lineages: chains of up to 2**ROUNDS generations; a longer one, or a cycle, is an error.
@@ -53,21 +54,13 @@ def roots(parents: DataFrame, matched: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         above = state.select(F.col("id").alias("a"), F.col("up").alias("a_up"), F.col("best").alias("a_best"))
         state = state.join(above, state["up"] == above["a"], "left").select("id", F.col("a_up").alias("up"), F.coalesce("a_best", "best").alias("best"), F.col("up").isNotNull().alias("moving"))
-        state = _settled(state)
+        state = durable(state)
         if state.where("moving").isEmpty():
             return state.select(F.col("id").alias("feature_id"), F.coalesce("best", "id").alias("root"))
         state = state.drop("moving")
     raise ValueError("the parent links hold a cycle")
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """Cut the plan: a checkpoint where the session has a folder for it, else the plan goes on."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df
-
-
 def feature_matches(selected: DataFrame, root_of: DataFrame | None = None) -> DataFrame:
     """Rows of ``stage_one`` -> the interval side of the assignment, shifted, one row for each sub-interval and rule.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from ..functions import seq as S
 from ..operators import counts as C
 from ..operators import dge, intervals, plotdata, reads, reference, select
@@ -368,7 +369,7 @@ sf AS (SELECT library, median(count / exp(m)) AS size_factor FROM ic JOIN lm USI
 
 def _integer(spark, sf):
     full = C.zero_filled(_counts(spark, sf), B.matches(spark, sf), B.libraries(spark, sf))
-    return dge.integer_counts(full.withColumn("count", F.col("count") + 1e-9))
+    return durable(dge.integer_counts(full.withColumn("count", F.col("count") + 1e-9)))
 
 
 @query(f"WITH {CTES}, {_INT} SELECT * FROM ic WHERE (feature_id, classifier) IN (SELECT (feature_id, classifier) FROM ic GROUP BY feature_id, classifier HAVING sum(count) > 0)")
@@ -420,7 +421,7 @@ def replicate_pairs(spark, sf):
 
 def _wald(spark, sf):
     counts = _integer(spark, sf)
-    normalized = dge.normalized_counts(counts, dge.size_factors(counts))
+    normalized = durable(dge.normalized_counts(counts, dge.size_factors(counts)))
     groups = B.libraries(spark, sf).select("library", S.group_of(F.col("library")).alias("grp"))
     comparisons = spark.createDataFrame([("g0", "g1"), ("g0", "g2")], "cond1 string, cond2 string")
     return normalized, dge.wald_tests(normalized, groups, comparisons)
