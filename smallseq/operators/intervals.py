@@ -6,39 +6,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bin width of the overlap join: at least the longest alignment, about the usual feature's length. Features that cover
-#: more than LONG bins are joined by a second branch with wider bins.
+#: more than LONG bins lie on a second level of wider bins.
 BIN, LONG = 64, 64
+WIDTHS = (BIN, BIN * LONG * LONG)
 #: The interval side is broadcast up to so many rows (after binning); beyond, both sides are shuffled by bin.
 BROADCAST_ROWS = 500_000
 
 
-def _binned(df: DataFrame, start: str, end: str, width: int, out: str) -> DataFrame:
-    return df.withColumn(out, F.explode(F.sequence(F.floor(F.col(start) / width), F.floor((F.greatest(F.col(end), F.col(start) + 1) - 1) / width))))
-
-
-def _overlap(left: DataFrame, right: DataFrame, width: int) -> DataFrame:
-    a = _binned(left, "s", "e", width, "__bin")
-    f = _binned(right, "fs", "fe", width, "__fbin").withColumnRenamed("chrom", "__fchrom")
-    first = F.greatest(F.floor(F.col("s") / width), F.floor(F.col("fs") / width))
-    on = (F.col("chrom") == F.col("__fchrom")) & (F.col("__bin") == F.col("__fbin")) & (F.col("s") < F.col("fe")) & (F.col("fs") < F.col("e")) & (F.col("__bin") == first)
-    return a.join(f, on).drop("__bin", "__fbin", "__fchrom")
+def _bins(start: str, end: str, level: int) -> Column:
+    """The bins of a level that [start, end) covers, as array<struct<level, bin>>."""
+    width = WIDTHS[level]
+    bins = F.sequence(F.floor(F.col(start) / width), F.floor((F.greatest(F.col(end), F.col(start) + 1) - 1) / width))
+    return F.transform(bins, lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin")))
 
 
 def interval_join(left: DataFrame, right: DataFrame, small: bool | None = None) -> DataFrame:
     """Pairs with equal chrom whose [s, e) and [fs, fe) overlap by at least one base.
 
-    Both sides go to one row for each bin they cover, meet on (chrom, bin), and a pair is kept in its first common bin
-    only, so that nothing has to be made distinct. Long intervals take a branch of wider bins instead of many bins.
+    Both sides go to one row for each bin they cover, meet on (chrom, level, bin), and a pair is kept in its first common
+    bin only, so that nothing has to be made distinct. An interval lies on the level that suits its length, so a long one
+    takes wide bins instead of many; the other side is looked up on both levels in the one join.
     ``small``: whether the interval side may be broadcast; None counts it first.
     """
-    right = right.where((F.col("fe") > F.col("fs")))
+    right = right.where(F.col("fe") > F.col("fs"))
     if small is None:
         bins = F.floor(F.least(F.col("fe") - F.col("fs"), F.lit(BIN * LONG)) / BIN) + 2
         small = (right.agg(F.sum(bins)).first()[0] or 0) <= BROADCAST_ROWS
-    side = F.broadcast if small else (lambda df: df)
     long = (F.col("fe") - F.col("fs")) > BIN * LONG
-    near = _overlap(left, side(right.where(~long)), BIN)
-    return near.unionByName(_overlap(left, side(right.where(long)), BIN * LONG * LONG))
+    a = left.withColumn("__at", F.explode(F.concat(_bins("s", "e", 0), _bins("s", "e", 1))))
+    f = right.withColumn("__fat", F.explode(F.when(long, _bins("fs", "fe", 1)).otherwise(_bins("fs", "fe", 0)))).withColumnRenamed("chrom", "__fchrom")
+    width = F.when(F.col("__at.level") == 0, WIDTHS[0]).otherwise(WIDTHS[1])
+    first = F.greatest(F.floor(F.col("s") / width), F.floor(F.col("fs") / width))
+    same = (F.col("chrom") == F.col("__fchrom")) & (F.col("__at.level") == F.col("__fat.level")) & (F.col("__at.bin") == F.col("__fat.bin"))
+    on = same & (F.col("s") < F.col("fe")) & (F.col("fs") < F.col("e")) & (F.col("__at.bin") == first)
+    return a.join(F.broadcast(f) if small else f, on).drop("__at", "__fat", "__fchrom")
 
 
 def shifted(fs: Column, fe: Column, strand: Column, five: Column, three: Column) -> tuple[Column, Column]:

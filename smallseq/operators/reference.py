@@ -6,7 +6,7 @@ Annotation rows: file, line_no, chrom, source, type, fs, fe, strand, feature_id,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..durable import durable
@@ -80,10 +80,8 @@ def with_records(matches: DataFrame) -> DataFrame:
     """Adds record_id to shifted matches."""
     part = F.concat_ws(":", "rule_idx", F.when(F.col("wild_overlap"), F.lit("*")).otherwise(F.concat_ws("-", "fs", "fe")))
     by = ["feature_id", "classifier", "chrom", "strand", "fs", "fe"]
-    records = matches.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_set(part)), ";").alias("__rules"))
-    on = [matches[c].eqNullSafe(records[c]) for c in by]
-    joined = matches.join(records, on).select(matches["*"], records["__rules"])
-    return joined.withColumn("record_id", F.xxhash64("feature_id", "classifier", F.coalesce(F.col("strand").cast("string"), F.lit(".")), "__rules")).drop("__rules")
+    rules = F.array_join(F.array_sort(F.collect_set(part).over(Window.partitionBy(*by))), ";")
+    return matches.withColumn("record_id", F.xxhash64("feature_id", "classifier", F.coalesce(F.col("strand").cast("string"), F.lit(".")), rules))
 
 
 def aliases(rows: DataFrame, keys: list[str], root_of: DataFrame | None = None) -> DataFrame:
