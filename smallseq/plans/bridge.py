@@ -31,7 +31,7 @@ FROM {part}
 """
 #: Rules that use every selector; the classifier is the rule's, hierarchies tie and nest.
 RULES = [
-    Rule("class", "small", "tiny", hierarchy=1, overlap="nested", strand="sense"),
+    Rule("class", "small", "little", hierarchy=1, overlap="nested", strand="sense"),
     Rule("class", "hot", "hot", type="ECONOMY, PROMO, LARGE", hierarchy=2, overlap="partial", strand="antisense"),
     Rule("class", "red", "red", hierarchy=2, overlap="anchored", mismatch="0, 2"),
     Rule("brand", "Brand#4", "b4", hierarchy=1, overlap="5' anchored, -3, 2"),
