@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, drop: Callable[[], None]) -> None:
+    """Say whose cache a worker holds from now on; other operators' caches in the same worker process are dropped."""
+    for other in [n for n in _held if n != name]:
+        _held.pop(other)()
+    _held[name] = drop
+
+
 def by_volume(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` bytes of the text column (a longer text makes a slice of its own); no row is split."""
     for batch in batches:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .batches import by_volume
+from .batches import by_volume, hold
 
 _NONE = 1 << 40
 
@@ -79,7 +79,7 @@ class RankArrayBpe:
 @cache
 def encoder(path: str) -> RankArrayBpe:
     """One encoder (and its cache) for each worker process."""
-    tokens.no_cycles()
+    hold("bpe", encoder.cache_clear)
     return RankArrayBpe(path)
 
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 import gc
 import json
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import regex
@@ -24,7 +25,7 @@ _CONTROL_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
 _MARKS = frozenset(".,;:!?")
 #: Entries kept by each cache before it starts afresh.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 300_000
 
 
 def byte_spelling() -> list[str]:
@@ -39,9 +40,14 @@ def byte_spelling() -> list[str]:
     return out
 
 
-def no_cycles() -> None:
-    """Stop a worker's cycle collector: the caches hold many objects but no cycles, and it would walk them all."""
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """Stop the cycle collector for a while: the caches hold many objects but no cycles, and it would walk them all."""
     gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
 
 
 def load_file(path: str) -> dict:
@@ -70,7 +76,8 @@ class ChunkEncoder:
     the library does by default.
     """
 
-    def __init__(self, specials: dict[str, int], encode_pieces: Callable[[list[str]], Iterable[bytes]]):
+    def __init__(self, specials: dict[str, int], encode_pieces: Callable[[list[str]], Iterable[bytes]], entries: int | None = None):
+        self.entries = entries or CACHE_ENTRIES
         self.specials = specials
         self.encode_pieces = encode_pieces
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
@@ -80,7 +87,7 @@ class ChunkEncoder:
     def _learn(self, needed: set[str]) -> None:
         """Make all of these chunks known. A full cache starts afresh before, never between, what one call needs."""
         new = needed.difference(self.chunks)
-        if len(self.chunks) + len(new) > CACHE_ENTRIES:
+        if len(self.chunks) + len(new) > self.entries:
             self.chunks.clear()
             new = needed
         if not new:
@@ -89,7 +96,7 @@ class ChunkEncoder:
         found = dict(zip(order, map(pieces_of, lowered("\n".join(order)).split("\n")), strict=True))
         pieces = set().union(*found.values())
         fresh = pieces.difference(self.pieces)
-        if len(self.pieces) + len(fresh) > CACHE_ENTRIES:
+        if len(self.pieces) + len(fresh) > self.entries:
             self.pieces.clear()
             fresh = pieces
         order = list(fresh)
@@ -119,7 +126,8 @@ class ChunkEncoder:
                         parts.append((b"", words))
             cut.append(parts)
         new.discard("")
-        self._learn(new)
+        with no_cycles():
+            self._learn(new)
         return [self._join(parts) for parts in cut]
 
     def _join(self, parts: list[tuple[bytes, list[str]]]) -> bytes:
