@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import by_volume
+from .batches import by_volume, hold
 
 #: First code point of each script range (Unicode blocks; what lies between takes the range before).
 SCRIPT_STARTS = [
@@ -34,8 +34,8 @@ SCRIPTS = sorted(set(_NAMES))
 _SCRIPT = {name: i for i, name in enumerate(SCRIPTS)}
 LETTERS = regex.compile(r"\p{L}+")
 #: Bounds of what is learned: documents of each language (by smallest hash of their id), languages (the most frequent),
-#: n-grams (the most frequent). N-gram lengths; a script is a language's if so large a share of its letters is in it.
-SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS, GRAMS, SCRIPT_SHARE = 1000, 64, 60_000, (1, 2, 3, 4), 0.01
+#: n-grams (the most frequent). The n-grams' lengths (see grams_of); a script is a language's if so large a share of its letters is in it.
+SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS, GRAMS, SCRIPT_SHARE = 1000, 64, 60_000, (1, 3), 0.01
 #: Log scores: the cost of changing the language, the most that one word can say, the least probability mass of a gram.
 SWITCH, CLIP, SMOOTH = 10.0, 8.0, 0.5
 #: Words cached by a worker before it starts afresh.
@@ -49,7 +49,16 @@ def script_of(letter: str) -> int:
 
 def grams_of(word: str) -> list[str]:
     w = f" {word} "
-    return [w[i : i + n] for n in GRAMS for i in range(n == 1, len(w) - n + (n != 1))]
+    return [*word, *map("".join, zip(w, w[1:], w[2:]))]
+
+
+def letters_of(word: str) -> list[str]:
+    """The runs of letters; words, and words before one mark, need no pattern."""
+    if word.isalpha():
+        return [word]
+    if word[:-1].isalpha() and not word[-1].isalpha():
+        return [word[:-1]]
+    return LETTERS.findall(word)
 
 
 def in_training(doc_id: Column) -> Column:
@@ -79,7 +88,7 @@ class Model:
         get = self.grams.get
         rows, sizes, letters, scripts = [], [], [], []
         for word in new:
-            found = LETTERS.findall(word.lower())
+            found = letters_of(word.lower())
             n = sum(map(len, found))
             letters.append(n)
             scripts.append(script_of(found[0][0]) if n else -1)
@@ -100,6 +109,7 @@ class Model:
 
     def look_up(self, words: list[list[str]]) -> np.ndarray:
         """Row of each word in the cache, all texts in a row."""
+        hold("langid", self.forget)
         new = set().union(*words).difference(self.words)
         if self.scores is None or len(self.words) + len(new) > CACHE_WORDS:
             self.words.clear()
@@ -113,6 +123,9 @@ class Model:
         get = self.words.__getitem__
         return np.fromiter((i for w in words for i in map(get, w)), "i8", sum(map(len, words)))
 
+    def forget(self) -> None:
+        self.words, self.scores, self.letters = {}, None, None
+
     def label(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language index of every word, its letters, words of each text) of whole texts."""
         words = [t.split() if t else [] for t in texts]
@@ -191,11 +204,16 @@ def train(docs: DataFrame) -> Model:
     table, which those bounds limit.
     """
     rows = docs.where(in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    languages = sorted(r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
+    sizes = sorted((r[0], r[1]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
+    languages = [lang for lang, _ in sizes]
     if not languages:
         return Model([], {}, np.zeros((1, 0), "f4"), np.zeros((len(SCRIPTS), 0), bool))
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.where(F.col("lang").isin(languages)).select("lang", "doc_id").withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("doc_id").distinct()
+    # the least hashes of a language: first a cut that leaves about four times as many, whatever the table's size
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    cut = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1 << 31, (4 * SAMPLE_DOCS << 31) // n))) for lang, n in sizes])
+    w = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = rows.where(F.col("lang").isin(languages)).select("lang", "doc_id", place.alias("place")).where(F.col("place") < cut)
+    chosen = chosen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("doc_id").distinct()
     sample = rows.where(F.col("lang").isin(languages)).join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +259,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_volume(batches, limit=8 << 20):
+        for batch in by_volume(batches, limit=4 << 20):
             names, score = shared.value.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -254,7 +272,7 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float) -> DataFr
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_volume(batches, at, limit=8 << 20):
+        for batch in by_volume(batches, at, limit=4 << 20):
             names, score = shared.value.predict(batch.column(at).to_pylist())
             yield batch.filter(pa.array([n != UNDETERMINED and s >= least_score for n, s in zip(names, score, strict=True)], pa.bool_()))
 
@@ -268,7 +286,7 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_volume(batches, limit=8 << 20):
+        for batch in by_volume(batches, limit=4 << 20):
             m = shared.value
             texts = batch.column(1).to_pylist()
             path, _, count = m.label(texts) if m.languages else (np.zeros(0, "i8"), None, np.zeros(len(texts), "i8"))
