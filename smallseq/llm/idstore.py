@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, tokens
-from .batches import by_volume
+from .batches import by_volume, hold
 
 MAGIC = b"IDS1"
 _HEAD = struct.Struct("<4sB32sI")
@@ -37,12 +37,14 @@ _HEAD = struct.Struct("<4sB32sI")
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
 #: The dictionary: its size, and the bounded sample that it is trained on (documents by smallest hash of their id, the
 #: leading ids of each). The sample bears on the compression ratio only, never on what is stored.
-DICT_BYTES, SAMPLE_DOCS, SAMPLE_IDS, LEVEL = 32 << 10, 1000, 2048, 3
+DICT_BYTES, SAMPLE_DOCS, SAMPLE_IDS, LEVEL = 32 << 10, 500, 2048, 1
 NO_DOC = -(1 << 63)
+#: Chunks and pieces that the encoder's caches keep.
+CACHE_ENTRIES = 700_000
 
 
 class LibraryEncoder:
-    """The tokenizers library behind the chunk cache: pieces that are new go through it in one call."""
+    """The tokenizers library behind the chunk cache: pieces that are new go through its model."""
 
     def __init__(self, path: str):
         import os
@@ -51,22 +53,16 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         spec = tokens.load_file(path)
-        self.lib = Tokenizer.from_file(path)
-        self.ends = np.zeros(max(spec["model"]["vocab"].values()) + 2 + len(spec["added_tokens"]), bool)
-        for name, i in spec["model"]["vocab"].items():
-            self.ends[i] = name.endswith(tokens.WORD_END)
-        self.chunks = tokens.ChunkEncoder({t["content"]: t["id"] for t in spec["added_tokens"]}, self._pieces)
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece: one call for all, cut behind the tokens that end a word."""
-        if not pieces:
-            return []
-        ids = np.array(self.lib.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-        if len(ends) == len(pieces):
-            raw = ids.tobytes()
-            return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        return [np.array(self.lib.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in pieces]
+        self.model = Tokenizer.from_file(path).model
+        self.spelling = tokens.byte_spelling()
+        self.chunks = tokens.ChunkEncoder({t["content"]: t["id"] for t in spec["added_tokens"]}, self._pieces, CACHE_ENTRIES)
+
+    def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of each normalised piece, by the library's model; bytes beyond ASCII are spelt out as its file asks."""
+        tokenize, spelling = self.model.tokenize, self.spelling
+        for piece in pieces:
+            found = tokenize(piece if piece.isascii() else "".join([spelling[b] for b in piece.encode()]))
+            yield struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return self.chunks.encode(texts)
@@ -74,7 +70,7 @@ class LibraryEncoder:
 
 @cache
 def encoder(path: str) -> LibraryEncoder:
-    tokens.no_cycles()
+    hold("idstore", encoder.cache_clear)
     return LibraryEncoder(path)
 
 
@@ -84,7 +80,11 @@ def _packed(ids: bytes, width: int) -> bytes:
 
 def train_dictionary(docs: DataFrame, vocab_path: str, width: int) -> bytes:
     """A dictionary from a bounded sample (see SAMPLE_DOCS); empty if there is too little text to train one."""
-    chosen = [r[0] for r in docs.where("doc_id is not null and length(text) > 0").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]
+    usable = docs.where("doc_id is not null").select("doc_id")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    cut = min(1 << 31, (4 * SAMPLE_DOCS << 31) // max(1, docs.where("doc_id is not null").count()))
+    found = usable.where(place < cut).select("doc_id", place.alias("place")).distinct().collect()  # about 4 * SAMPLE_DOCS rows
+    chosen = [doc for _, doc in sorted((r["place"], r["doc_id"]) for r in found)[:SAMPLE_DOCS]]
     if not chosen:
         return b""
 
@@ -159,8 +159,12 @@ def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts:
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw), write_content_size=True, write_checksum=False, write_dict_id=False).compress
         for batch in by_volume(batches):
-            coded = [c + tail for c in encoder(vocab_path).encode(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([compress(_packed(c, width)) for c in coded], pa.binary())], ["doc_id", "n_tokens", "frame"])
+            coded = encoder(vocab_path).encode(batch.column(1).to_pylist())
+            count = [len(c) // 4 + 1 for c in coded]
+            packed = memoryview(np.frombuffer(tail.join([*coded, b""]), "<u4").astype(f"<u{width}").tobytes())
+            ends = np.cumsum(count) * width
+            frames = [compress(packed[b - n * width : b]) for b, n in zip(ends.tolist(), count, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(frames, pa.binary())], ["doc_id", "n_tokens", "frame"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, before = TaskContext.get().partitionId(), 0, 0

@@ -93,18 +93,26 @@ class ChunkEncoder:
         if not new:
             return
         order = list(new)
-        found = dict(zip(order, map(pieces_of, lowered("\n".join(order)).split("\n")), strict=True))
-        pieces = set().union(*found.values())
+        get, slow = self.pieces.get, []
+        for chunk, low in zip(order, lowered("\n".join(order)).split("\n"), strict=True):
+            ids = get(low)  # what is known as a piece is that piece
+            if ids is None and low[-1] in _MARKS and low[:-1].isalpha():
+                stem, mark = get(low[:-1]), get(low[-1])
+                ids = stem + mark if stem and mark else None
+            if ids is None:
+                slow.append((chunk, pieces_of(low)))
+            else:
+                self.chunks[chunk] = ids
+        pieces = {p for _, parts in slow for p in parts}
         fresh = pieces.difference(self.pieces)
         if len(self.pieces) + len(fresh) > self.entries:
             self.pieces.clear()
             fresh = pieces
         order = list(fresh)
-        for piece, ids in zip(order, self.encode_pieces(order), strict=True):
-            self.pieces[piece] = ids
-        get = self.pieces.__getitem__
-        for chunk, parts in found.items():
-            self.chunks[chunk] = b"".join(map(get, parts))
+        self.pieces.update(zip(order, self.encode_pieces(order), strict=True))
+        known = self.pieces.__getitem__
+        for chunk, parts in slow:
+            self.chunks[chunk] = known(parts[0]) if len(parts) == 1 else b"".join(map(known, parts))
 
     def _chunks_of(self, text: str) -> list[str]:
         return _SPACE.split(text) if _CONTROL_SPACE.search(text) else text.split()
