@@ -25,6 +25,8 @@ from .graph import connected_components
 SHARD_ROWS = 4096
 #: Rows of whole shards that a task holds at once, and frontier pairs searched at once.
 HOLD_ROWS, FRONTIER = 200_000, 1 << 20
+#: Ids of documents to drop that are broadcast; more are joined by a shuffle. They are counted first.
+BROADCAST_ROWS = 1_000_000
 _SLICE = 1 << 16
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 
@@ -225,10 +227,11 @@ def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
 
     Of rows that share that id, one stays. Rows without an id cannot be told apart and all stay.
     """
-    comp = components(docs, shingle, radius).where("doc_id is not null and doc_id = component_id")
-    chosen = materialise(comp.groupBy("doc_id").agg(F.count("*").alias("n")), "chosen")
-    cols = docs.columns
-    kept = docs.join(chosen.select("doc_id"), "doc_id", "left_semi").select(*cols)
-    if not chosen.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null"))
+    comp = components(docs, shingle, radius).where("doc_id is not null")
+    ids = materialise(comp.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1"), "ids")
+    n_gone, n_twice = ids.agg(F.count_if(~F.col("stays")), F.count_if("stays")).first()
+    gone = ids.where(~F.col("stays")).select("doc_id")
+    kept = docs.join(F.broadcast(gone) if n_gone <= BROADCAST_ROWS else gone, "doc_id", "left_anti").select(*docs.columns)
+    if n_twice:
+        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    return kept
