@@ -157,7 +157,7 @@ def by_count(rows: DataFrame, edges: DataFrame, scheme: Scheme, keep_first: bool
     """(d, t, lo, hi) of the edges' windows that recur (``keep_first``: but the first), by counting their hashes."""
     found = materialise(window_rows(edge_texts(rows, edges), scheme), "windows")
     again = found.groupBy("kh", "wh").agg(F.count("*").alias("copies"), F.min(F.struct("d", "t", "s")).alias("first")).where("copies > 1")
-    found = found.join(again, ["kh", "wh"])
+    found = found.join(materialise(again, "again"), ["kh", "wh"])
     if keep_first:
         found = found.where(F.struct("d", "t", "s") != F.col("first"))
     return found.select("d", "t", F.col("s").alias("lo"), (F.col("s") + scheme.window).alias("hi"))
@@ -172,7 +172,9 @@ def repeated_ranges(docs: DataFrame, scheme: Scheme, judge: Callable[[DataFrame,
     """
     rows = keyed(docs)
     every = materialise(anchor_table(rows, scheme), "anchors")
-    shared = every.groupBy("kh").count().where("count > 1").select("kh")
+    # Aggregates are written before they are joined on their own key: then both sides of the join are plain shuffles, which
+    # Spark can split where a key is hot; an aggregate's output would be joined as it lies.
+    shared = materialise(every.groupBy("kh").count().where("count > 1").select("kh"), "recurring")
     anchors = materialise(every.join(shared, "kh", "left_semi"), "shared")
     remove(every)
     groups = materialise(anchors.groupBy("kh", "ch").agg(F.count("*").alias("copies"), F.min(F.struct("d", "t", "lo", "n")).alias("first")), "groups")
@@ -181,7 +183,7 @@ def repeated_ranges(docs: DataFrame, scheme: Scheme, judge: Callable[[DataFrame,
         whole = whole.where(F.struct("d", "t", "lo", "n") != F.col("first"))
     whole = whole.select("d", "t", "lo", (F.col("lo") + F.col("n") - 1 + scheme.window).alias("hi"))
     mixed = groups.groupBy("kh").agg(F.count("*").alias("many"), F.min("copies").alias("least")).where("many > 1" if keep_first else "many > 1 and least = 1")
-    edges = groups.join(mixed.select("kh", "many"), "kh").select("kh", "many", "first.*")
+    edges = groups.join(materialise(mixed.select("kh", "many"), "mixed"), "kh").select("kh", "many", "first.*")
     return rows, whole.union(judge(rows, materialise(edges, "edges"), scheme))
 
 

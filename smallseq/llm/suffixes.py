@@ -124,6 +124,8 @@ def _shard_ranges(batches: Iterator[pa.RecordBatch], window: int, keep_first: bo
 
     def work(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
+        place = np.stack([table.column(i).to_numpy() for i in (0, 1, 2, 3)])
+        table = table.filter(pa.array(np.concatenate([[True], (place[:, 1:] != place[:, :-1]).any(axis=0)])))  # rows of one id and text
         d, t, lo, n = (table.column(i).to_numpy() for i in (1, 2, 3, 4))
         contexts = [c.as_buffer() for c in table.column(5)]
         size = np.array([c.size for c in contexts], "i8")
@@ -178,7 +180,6 @@ def by_suffixes(rows: DataFrame, edges: DataFrame, scheme: Scheme, keep_first: b
     small = edges.where(F.col("many") <= SHARD_CONTEXTS)
     found = (
         _contexts(repeats.edge_texts(rows, small), scheme.window)
-        .dropDuplicates(["kh", "d", "t", "lo"])
         .repartition("kh")
         .sortWithinPartitions("kh", "d", "t", "lo")
         .select("kh", "d", "t", "lo", "n", "context")
