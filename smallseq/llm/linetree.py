@@ -58,7 +58,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool =
     named = materialise(named.select("d", "t", "i", F.coalesce("template", "line").alias("template")), "named")
     per_doc = named.groupBy("template", "d", "t").agg(F.min("i").alias("i"))
     often = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("d", "t", "i")).alias("first")).where(F.col("docs") >= min_docs)
-    found = named.join(often.select("template", "first"), "template")
+    # written first, so that both sides of the join are plain shuffles, which Spark can split where a template is hot
+    found = named.join(materialise(often.select("template", "first"), "often"), "template")
     if keep_first:
         found = found.where(F.struct("d", "t", "i") != F.col("first"))
     return found.select("d", "t", "i").distinct()
