@@ -13,9 +13,11 @@ _held: dict[str, Callable[[], None]] = {}
 
 
 def hold(name: str, drop: Callable[[], None]) -> None:
-    """Say whose cache a worker holds from now on; other operators' caches in the same worker process are dropped."""
-    for other in [n for n in _held if n != name]:
-        _held.pop(other)()
+    """Say whose cache a worker process holds from now on; any other one, also an older one of that name, is dropped."""
+    for other, drop_other in list(_held.items()):
+        if drop_other != drop:
+            del _held[other]
+            drop_other()
     _held[name] = drop
 
 

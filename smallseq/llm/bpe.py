@@ -89,7 +89,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
-        for batch in by_volume(batches):
+        for batch in by_volume(batches, limit=2 << 20):
             coded = bpe.encode(batch.column(1).to_pylist())
             flat = np.frombuffer(b"".join(coded), "<u4").astype("i4")
             ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype("i4")
@@ -104,7 +104,7 @@ def encode_with_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
-        for batch in by_volume(batches):
+        for batch in by_volume(batches, limit=2 << 20):
             coded = bpe.encode(batch.column(1).to_pylist())
             count = np.array([len(c) // 4 for c in coded], "i8")
             ends = np.concatenate([[0], np.cumsum(count)]).astype("i4")
@@ -138,7 +138,7 @@ def round_trip_digests(docs: DataFrame, vocab_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
-        for batch in by_volume(batches):
+        for batch in by_volume(batches, limit=2 << 20):
             count, ids_hex, text_hex = [], [], []
             for ids in bpe.encode(batch.column(1).to_pylist()):
                 count.append(len(ids) // 4)

@@ -39,7 +39,7 @@ SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS, GRAMS, SCRIPT_SHARE = 1000, 64, 60_000, (
 #: Log scores: the cost of changing the language, the most that one word can say, the least probability mass of a gram.
 SWITCH, CLIP, SMOOTH = 10.0, 8.0, 0.5
 #: Words cached by a worker before it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 UNDETERMINED = "und"
 
 

@@ -25,7 +25,7 @@ _CONTROL_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
 _MARKS = frozenset(".,;:!?")
 #: Entries kept by each cache before it starts afresh.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 
 def byte_spelling() -> list[str]:

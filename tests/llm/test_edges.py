@@ -369,3 +369,23 @@ def test_range_hashes():
     h = repeats.RangeHash(np.concatenate([u, u]), 0)
     a = np.array([3, 10, 0])
     assert (h(a, a + 20) == h(a + 50, a + 70)).all() and h(a, a + 20)[0] != h(a, a + 20)[1]
+
+
+def test_one_cache_at_a_time():
+    from smallseq.llm import batches
+
+    class Held:
+        def __init__(self):
+            self.dropped = 0
+
+        def drop(self):
+            self.dropped += 1
+
+    a, b, c = Held(), Held(), Held()
+    batches.hold("x", a.drop)
+    batches.hold("x", a.drop)
+    assert a.dropped == 0
+    batches.hold("x", b.drop)
+    assert (a.dropped, b.dropped) == (1, 0)
+    batches.hold("y", c.drop)
+    assert (a.dropped, b.dropped, c.dropped) == (1, 1, 0)
