@@ -33,7 +33,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6, with its contract's shingles and radius: one document of each group stays."""
+    """Operator 6: one document of each group of texts with a 5-word similarity of 0.8 or more stays."""
     ship(spark)
     return simhash.keep_first(docs)
 

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import similar
 from .common import materialise
 from .graph import connected_components
 
@@ -222,12 +223,13 @@ def components(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents of which one of each group stays: the row whose doc_id is its component's id.
 
-    Of rows that share that id, one stays. Rows without an id cannot be told apart and all stay.
+    Groups are those of ``similar.components``: texts whose sets of ``words``-word shingles have a Jaccard similarity of
+    ``percent`` or more. Of rows that share that id, one stays. Rows without an id cannot be told apart and all stay.
     """
-    comp = components(docs, shingle, radius).where("doc_id is not null")
+    comp = similar.components(docs, words, percent).where("doc_id is not null")
     ids = materialise(comp.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1"), "ids")
     n_gone, n_twice = ids.agg(F.count_if(~F.col("stays")), F.count_if("stays")).first()
     gone = ids.where(~F.col("stays")).select("doc_id")

@@ -389,3 +389,27 @@ def test_one_cache_at_a_time():
     assert (a.dropped, b.dropped) == (1, 0)
     batches.hold("y", c.drop)
     assert (a.dropped, b.dropped, c.dropped) == (1, 1, 0)
+
+
+def test_near_copies_of_five_words_are_all_found(spark):
+    from smallseq.llm import similar
+
+    rng = random.Random(4)
+    rows = []
+    for g in range(12):  # originals, and copies with some words replaced: similarities on both sides of 0.8
+        words = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        rows.append(" ".join(words))
+        for k in range(6):
+            at = set(rng.sample(range(120), k + 1))
+            rows.append(" ".join(f"x{rng.randrange(5000)}" if i in at else w for i, w in enumerate(words)))
+    common = " ".join(f"c{i}" for i in range(40))
+    rows += [f"{common} {' '.join(f'u{rng.randrange(9999)}' for _ in range(60))}" for _ in range(30)]
+    sets = [set(similar.shingle_set(t).tolist()) for t in rows]
+    root = list(range(len(rows)))
+    pairs = [(a, b) for a in root for b in root if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for _ in rows:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert len(pairs) > 10 and {r["doc_id"]: r["component_id"] for r in similar.components(docs).collect()} == dict(enumerate(root))
+    assert {r["doc_id"] for r in simhash.keep_first(docs).collect()} == set(root)
