@@ -1,8 +1,8 @@
 """Line deduplication with a log-template tree, in DataFrame functions only.
 
 A line's tokens with digits are wildcards. Lines are parsed down a tree of fixed depth: token count, then the leading
-tokens. Within a leaf, tokens that too few documents share at their position are variable fields and become wildcards, if
-enough of the line stays constant; otherwise, and for lines longer than COMPARED tokens, the masked line itself is the
+tokens. Within a leaf, tokens that too few documents share at their position are variable fields and become wildcards, at
+several levels of support so that a template of any size is found, if enough of the line stays constant; otherwise, and for lines longer than COMPARED tokens, the masked line itself is the
 template. Templates that recur across documents are dropped. Every statistic is a count over all lines, so the result
 depends on no order; only hashes and short lines are moved, and texts once, to be put together again.
 """
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from .common import materialise, text_key
 
 #: Documents in which a template recurs; leading tokens in the tree; the longest line whose positions are compared; the
-#: share of constant tokens that a generalised template needs.
-MIN_DOCS, LEADING, COMPARED, CONSTANT = 5, 2, 24, 0.6
+#: share of constant tokens that a generalised template needs; the factor between levels of support.
+MIN_DOCS, LEADING, COMPARED, CONSTANT, STEP = 5, 2, 24, 0.6, 4
 WILD = "<*>"
 _NO_ID = -(1 << 63)
 
@@ -37,32 +37,41 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 
 def templates(lines: DataFrame, min_docs: int) -> DataFrame:
-    """(line, template): the generalised template of each distinct short line that has one."""
+    """(line, level, template): the generalised templates of each distinct short line that has any.
+
+    At level k a token is constant whose support reaches ``min_docs * STEP ** k``, for all k up to the leaf's documents: a
+    template's fields are told from its constants by their share of its documents, however many those are.
+    """
     short = lines.where("short is not null").select("leaf", "line", "short", "d", "t").distinct().groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("short").alias("short"))
     wide = short.groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"), F.count("*").alias("kinds")).where((F.col("leaf_docs") >= min_docs) & (F.col("kinds") > 1))
     short = materialise(short.join(wide.select("leaf"), "leaf", "left_semi"), "short-lines")
-    tokens = short.select("leaf", "line", "docs", F.posexplode(F.split("short", " ")).alias("p", "token"))
-    common = tokens.groupBy("leaf", "p", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs).select("leaf", "p", "token")
-    constant = tokens.join(common, ["leaf", "p", "token"]).groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("kept"))
-    named = short.join(constant, ["leaf", "line"]).where(F.size("kept") >= F.lit(CONSTANT) * F.size(F.split("short", " ")))
-    return named.select("line", F.xxhash64(F.col("leaf"), F.to_json("kept")).alias("template"))
+    tokens = short.select("leaf", "line", "docs", F.size(F.split("short", " ")).alias("size"), F.posexplode(F.split("short", " ")).alias("p", "token"))
+    common = tokens.groupBy("leaf", "p", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    common = common.select("leaf", "p", "token", F.sequence(F.lit(0), F.floor(F.log(F.col("support") / float(min_docs)) / F.log(F.lit(float(STEP))) + 1e-9).cast("int")).alias("levels"))
+    constant = tokens.join(common, ["leaf", "p", "token"]).select("leaf", "line", "size", "p", "token", F.explode("levels").alias("level"))
+    constant = constant.groupBy("leaf", "line", "size", "level").agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("kept"))
+    named = constant.where(F.size("kept") >= F.lit(CONSTANT) * F.col("size"))
+    named = named.select("line", "level", F.xxhash64(F.col("leaf"), F.to_json("kept")).alias("template"))
+    return named.groupBy("line", "template").agg(F.max("level").alias("level"))
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool = False) -> DataFrame:
-    """(d, t, i) of the lines whose template recurs in ``min_docs`` or more documents.
+    """(d, t, i) of the lines of which some template recurs in ``min_docs`` or more documents.
 
-    ``keep_first`` spares each template's first line (smallest document, then position).
+    ``keep_first`` spares the first line (smallest document, then position) of each line's most general such template.
     """
     lines = materialise(line_table(docs), "lines")
-    named = lines.select("d", "t", "i", "line").join(templates(lines, min_docs), "line", "left")
-    named = materialise(named.select("d", "t", "i", F.coalesce("template", "line").alias("template")), "named")
+    plain = lines.select("d", "t", "i", "line")
+    named = plain.join(templates(lines, min_docs), "line", "left")
+    named = materialise(named.select("d", "t", "i", F.coalesce("template", "line").alias("template"), F.coalesce("level", F.lit(0)).alias("level")), "named")
     per_doc = named.groupBy("template", "d", "t").agg(F.min("i").alias("i"))
     often = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("d", "t", "i")).alias("first")).where(F.col("docs") >= min_docs)
     # written first, so that both sides of the join are plain shuffles, which Spark can split where a template is hot
     found = named.join(materialise(often.select("template", "first"), "often"), "template")
+    found = found.groupBy("d", "t", "i").agg(F.max_by("first", "level").alias("first"))
     if keep_first:
         found = found.where(F.struct("d", "t", "i") != F.col("first"))
-    return found.select("d", "t", "i").distinct()
+    return found.select("d", "t", "i")
 
 
 def _with_kept(docs: DataFrame, min_docs: int, keep_first: bool) -> DataFrame:

@@ -413,3 +413,13 @@ def test_near_copies_of_five_words_are_all_found(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     assert len(pairs) > 10 and {r["doc_id"]: r["component_id"] for r in similar.components(docs).collect()} == dict(enumerate(root))
     assert {r["doc_id"] for r in simhash.keep_first(docs).collect()} == set(root)
+
+
+def test_variable_fields_of_a_large_template(spark):
+    """Every value of the fields recurs in more documents than MIN_DOCS; the template is still one."""
+    word = lambda k, c: c + "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    rows = [(i, f"This page was written by {word(i % 50, 'n')} of the town {word(i * 7 % 61, 'c')} and printed for all readers") for i in range(1000)]
+    df = spark.createDataFrame(rows + [(2000, "This page is of its own kind")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_dropped"] for r in linetree.digests(df).collect()}
+    assert got.pop(2000) == 0 and set(got.values()) == {1}
+    assert linetree.deduplicate(df, keep_first=True).where("text <> ''").count() == 2
