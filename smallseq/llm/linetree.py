@@ -2,9 +2,10 @@
 
 A line's tokens with digits are wildcards. Lines are parsed down a tree of fixed depth: token count, then the leading
 tokens. Within a leaf, tokens that too few documents share at their position are variable fields and become wildcards, at
-several levels of support so that a template of any size is found, if enough of the line stays constant; otherwise, and for lines longer than COMPARED tokens, the masked line itself is the
-template. Templates that recur across documents are dropped. Every statistic is a count over all lines, so the result
-depends on no order; only hashes and short lines are moved, and texts once, to be put together again.
+several levels of support so that a template of any size is found, if enough of the line stays constant; otherwise the
+masked line itself is the template. Templates that recur across documents are dropped. Every statistic is a count over all
+lines, so the result depends on no order; only hashes and lines that share a leaf are moved, and texts once, to be put
+together again.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, text_key
 
-#: Documents in which a template recurs; leading tokens in the tree; the longest line whose positions are compared; the
+#: Documents in which a template recurs; leading tokens in the tree; the longest line that the SQL compares by position; the
 #: share of constant tokens that a generalised template needs; the factor between levels of support.
 MIN_DOCS, LEADING, COMPARED, CONSTANT, STEP = 5, 2, 24, 0.6, 4
 WILD = "<*>"
@@ -28,23 +29,27 @@ def masked(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(d, t, i, leaf, line, short): every line that is not blank, by hashes; ``short`` holds short lines' tokens."""
+    """(d, t, i, leaf, line, m): every line that is not blank, by hashes, with its masked text."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), text_key(F.col("text")).alias("t"), F.posexplode_outer(F.split("text", "\n")).alias("i", "raw"))
     rows = rows.select("d", "t", "i", masked(F.col("raw")).alias("m")).where("m <> ''")
     rows = rows.select("d", "t", "i", "m", F.split("m", " ").alias("tokens"))
     leaf = F.xxhash64(F.size("tokens"), *[F.coalesce(F.get("tokens", F.lit(i)), F.lit("")) for i in range(LEADING)])
-    return rows.select("d", "t", "i", leaf.alias("leaf"), F.xxhash64("m").alias("line"), F.when(F.size("tokens") <= COMPARED, F.col("m")).alias("short"))
+    return rows.select("d", "t", "i", leaf.alias("leaf"), F.xxhash64("m").alias("line"), "m")
 
 
 def templates(lines: DataFrame, min_docs: int) -> DataFrame:
-    """(line, level, template): the generalised templates of each distinct short line that has any.
+    """(line, level, template): the generalised templates of each distinct line that has any.
 
     At level k a token is constant whose support reaches ``min_docs * STEP ** k``, for all k up to the leaf's documents: a
-    template's fields are told from its constants by their share of its documents, however many those are.
+    template's fields are told from its constants by their share of its documents, however many those are. Leaves are
+    counted on hashes; only lines of leaves that can recur are read with their text, once each.
     """
-    short = lines.where("short is not null").select("leaf", "line", "short", "d", "t").distinct().groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("short").alias("short"))
-    wide = short.groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"), F.count("*").alias("kinds")).where((F.col("leaf_docs") >= min_docs) & (F.col("kinds") > 1))
-    short = materialise(short.join(wide.select("leaf"), "leaf", "left_semi"), "short-lines")
+    counted = lines.select("leaf", "line", "d", "t").distinct().groupBy("leaf", "line").agg(F.count("*").alias("docs"))
+    counted = materialise(counted, "counted")
+    wide = counted.groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"), F.count("*").alias("kinds")).where((F.col("leaf_docs") >= min_docs) & (F.col("kinds") > 1))
+    wide = materialise(wide.select("leaf"), "wide")
+    texts = lines.select("leaf", "line", "m").join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(F.min("m").alias("short"))
+    short = materialise(counted.join(wide, "leaf", "left_semi").join(texts, ["leaf", "line"]), "short-lines")
     tokens = short.select("leaf", "line", "docs", F.size(F.split("short", " ")).alias("size"), F.posexplode(F.split("short", " ")).alias("p", "token"))
     common = tokens.groupBy("leaf", "p", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
     common = common.select("leaf", "p", "token", F.sequence(F.lit(0), F.floor(F.log(F.col("support") / float(min_docs)) / F.log(F.lit(float(STEP))) + 1e-9).cast("int")).alias("levels"))

@@ -423,3 +423,11 @@ def test_variable_fields_of_a_large_template(spark):
     got = {r["doc_id"]: r["n_dropped"] for r in linetree.digests(df).collect()}
     assert got.pop(2000) == 0 and set(got.values()) == {1}
     assert linetree.deduplicate(df, keep_first=True).where("text <> ''").count() == 2
+
+
+def test_variable_fields_of_long_lines(spark):
+    word = lambda k: "n" + "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    tail = " ".join(f"notice{chr(97 + k)}" for k in range(24))
+    rows = [(i, f"to all {word(i)} {tail}") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["n_dropped"] for r in linetree.digests(df).collect()} == {1}
