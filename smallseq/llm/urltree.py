@@ -1,8 +1,8 @@
 """URL filters: explicit rules, then a path-template tree judged by labelled purity. DataFrame functions only.
 
 Paths are read level by level below their host. Segments with digits are wildcards from the start; at each node, children
-that are rare among many, and children whose labelled rate does not differ from the node's by more than chance, are merged
-into one wildcard branch. Templates (the leaves) are rejected where their smoothed share of bad labels is high: a template's
+whose labelled rate does not differ from the node's by more than chance are merged into one wildcard branch; without labels
+there is no difference, so rare children merge unless their labels speak against it. Templates (the leaves) are rejected where their smoothed share of bad labels is high: a template's
 rate leans on its host's, a host's on the whole table's. The tree is built on counts of distinct masked paths, so a host of
 any size weighs no more than its distinct shapes; pages are joined to their template once.
 """
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-#: Levels of the tree (what lies deeper is one wildcard); a node with more children than FANOUT merges those of a smaller
-#: share than RARE; branches within CHANCE squared standard errors of their node merge; labels that a prior weighs; the
+#: Levels of the tree (what lies deeper is one wildcard); FANOUT and RARE are read by the SQL alone, which merges small
+#: children whatever their labels; branches within CHANCE squared standard errors of their node merge; labels that a prior weighs; the
 #: smoothed share of bad labels from which a template is rejected.
 DEPTH, FANOUT, RARE, CHANCE, PRIOR, REJECT = 4, 16, 0.05, 4.0, 4.0, 0.5
 #: Distinct masked paths up to which the tree is broadcast to the pages; a larger one is joined by a shuffle.
@@ -70,9 +70,8 @@ def grow(shapes: DataFrame) -> DataFrame:
         node = child.groupBy("host", "template").agg(F.count("*").alias("kids"), *[F.sum(c).alias(f"node_{c}") for c in ("n", "labelled", "bad")])
         rate = F.col("node_bad") / F.greatest(F.col("node_labelled"), F.lit(1)).cast("double")
         off = F.col("bad") - rate * F.col("labelled")
-        rare = (F.col("kids") > FANOUT) & (F.col("n") < F.lit(RARE) * F.col("node_n"))
         alike = (F.col("kids") > 1) & (off * off <= F.lit(CHANCE) * F.col("labelled") * rate * (F.lit(1.0) - rate))
-        name = F.when(F.col(s) == "", "").when(rare | alike, WILD).otherwise(F.col(s))
+        name = F.when(F.col(s) == "", "").when(alike, WILD).otherwise(F.col(s))
         named = child.join(node, ["host", "template"]).select("host", "template", s, F.concat("template", F.lit("/"), name).alias("next"))
         tree = materialise(tree.join(named, ["host", "template", s]).drop("template").withColumnRenamed("next", "template"), "level")
     return tree.withColumn("template", F.concat("template", F.lit("/"), F.col("rest")))

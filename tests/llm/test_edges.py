@@ -431,3 +431,11 @@ def test_variable_fields_of_long_lines(spark):
     rows = [(i, f"to all {word(i)} {tail}") for i in range(8)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["n_dropped"] for r in linetree.digests(df).collect()} == {1}
+
+
+def test_a_bad_section_among_many_is_not_merged(spark):
+    name = lambda k: "s" + chr(97 + k // 26) + chr(97 + k % 26)
+    pages = spark.createDataFrame([(i, f"http://h.io/{name(i % 40)}/p{i}") for i in range(4000)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 40 == 7) for i in range(4000)], "page_id long, bad boolean")
+    got = {r["page_id"]: r["verdict"] for r in urltree.judge(pages, labels).collect()}
+    assert got == {i: "block" if i % 40 == 7 else "allow" for i in range(4000)}
