@@ -107,3 +107,22 @@ def test_stream_collapse(spark, tmp_path):
     query = stream.to_table(stream.collapsed(stream.reads(spark, str(tmp_path / "in"))), "collapsed_now", str(tmp_path / "cp"))
     query.awaitTermination(60)
     assert {(r["seq"], r["read_count"]) for r in spark.table("collapsed_now").collect()} == {("AC", 2), ("G", 1)}
+
+
+def test_mismatch_alignment_takes_every_probe(spark):
+    import os
+
+    import duckdb
+    import pytest
+
+    from smallseq.plans import registry
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("needs the test tables")
+    con = duckdb.connect()
+    for t in ("part", "supplier"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want = con.execute(registry._PLACES + " SELECT DISTINCT q.seq_id, chrom, s, fwd, hamming(q, w) AS nm FROM q, k WHERE hamming(q, w) <= 2").fetchall()
+    got = [tuple(r) for r in registry.QUERIES["kmer_align_mismatch"](spark, sf).collect()]
+    assert sorted(got) == sorted(want) and max(r[0] for r in got) > 40
