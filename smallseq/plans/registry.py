@@ -290,7 +290,7 @@ def collapse_threshold(spark, sf):
 
 @query(f"SELECT library, CAST(name AS STRING) AS name, row_key, unnest(range(1, read_count + 1)) AS copy FROM ({B.ALN.format(lineitem='lineitem')}) a WHERE name % 5 = 0")
 def decollapse(spark, sf):
-    aln = B.alignments(spark, sf).where("name % 5 = 0").withColumn("name", F.concat(F.col("name").cast("string"), F.lit("_count="), F.col("read_count")))
+    aln = B.alignments(spark, sf).withColumn("name", F.concat(F.col("name").cast("string"), F.lit("_count="), F.col("read_count")))
     return reads.decollapse(aln).select("library", "name", "row_key", "copy")
 
 

@@ -126,3 +126,19 @@ def test_mismatch_alignment_takes_every_probe(spark):
     want = con.execute(registry._PLACES + " SELECT DISTINCT q.seq_id, chrom, s, fwd, hamming(q, w) AS nm FROM q, k WHERE hamming(q, w) <= 2").fetchall()
     got = [tuple(r) for r in registry.QUERIES["kmer_align_mismatch"](spark, sf).collect()]
     assert sorted(got) == sorted(want) and max(r[0] for r in got) > 40
+
+
+def test_every_alignment_is_decollapsed(spark):
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from smallseq.plans import bridge, registry
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("needs the test tables")
+    want = bridge.alignments(spark, sf).where("read_count > 0").agg(F.sum("read_count"), F.count("*")).first()
+    got = registry.QUERIES["decollapse"](spark, sf).agg(F.count("*"), F.count_if(F.col("copy") == 1)).first()
+    assert tuple(got) == tuple(want)
