@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_key
+from .common import materialise, remove, text_key
 from .graph import connected_components
 
 #: Texts sampled for the order, documents of the sample from which a shingle comes last, and how many such are kept.
@@ -45,7 +45,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int, percent: int | None, ho
             s = shingle_set(text, words)
             sizes.append(len(s))
             if percent is not None:
-                late = np.isin(s, hot)
+                late = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
                 s = np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)]
             out.append(s.view("i8"))
         ends = np.cumsum([0, *map(len, out)])
@@ -106,10 +106,12 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     grams = sample.mapInArrow(partial(_sets, words=words, percent=None, hot=None), "t long, n int, grams array<long>").select(F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "gram").limit(HOT)
     hot = np.array([r["gram"] for r in often.select("gram").collect()], "i8").view("u8")
+    hot.sort()
     prints = texts.mapInArrow(partial(_sets, words=words, percent=percent, hot=hot), "t long, n int, grams array<long>").dropDuplicates(["t"])
     rows = prints.select("t", F.col("n").cast("long").alias("n"), F.explode("grams").alias("gram"))
     rows = materialise(rows, "prefixes")
     shared = materialise(rows.join(rows.groupBy("gram").count().where("count > 1").select("gram"), "gram"), "shared")
+    remove(rows)
 
     def seek(rows: DataFrame, chain: bool) -> DataFrame:
         dealt = rows.select("gram", "n", "t", "root").repartition("gram").sortWithinPartitions("gram", "n", "t")
