@@ -26,14 +26,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     was = _state(now)
     for _ in range(_ROUNDS):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # minima are written before they are joined: both sides are then plain shuffles, which Spark splits at a hub
+        least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = materialise(large, "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        remove(least)
+        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         new = materialise(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "small")
-        remove(large)
-        remove(now)
+        for done in (least, large, now):
+            remove(done)
         now, is_now = new, _state(new)
         if is_now == was:
             break

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .batches import by_volume
 from .common import materialise, remove, text_key
+from .shingles import mix
 
 _NO_ID = -(1 << 63)
 _U = np.uint64
@@ -32,13 +33,6 @@ _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 BROADCAST_WINDOWS = 1_000_000
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of 64-bit values (the splitmix64 finaliser)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 class RangeHash:
     """Hashes of any ranges of a unit array, from one prefix sum."""
 

@@ -3,9 +3,9 @@
 Fingerprints within the radius agree wholly on one of ``radius + 1`` bands of bits, so each band's value names a shard and
 links are only sought within shards. A shard's fingerprints form a BK-tree (children keyed by their integer distance to the
 parent); a search follows the edges within the radius. All trees of a task are built and searched at once, level by level,
-as arrays. A shard that is too large is dealt on by bands of its remaining bits, and again; after four rounds twelve bits
-at most are free, so no shard can exceed SHARD_ROWS distinct fingerprints whatever the data. Trees are built where their
-shard lies rather than broadcast, as their size grows with the corpus.
+as arrays. A shard that is too large is dealt on by bands of its remaining bits, and again, until so few bits are free that
+no shard can exceed LAST_SHARD distinct fingerprints whatever the data. Trees are built where their shard lies rather than
+broadcast, as their size grows with the corpus.
 """
 
 from __future__ import annotations
@@ -15,40 +15,31 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
+from .batches import by_volume
 from .common import materialise
 from .graph import connected_components
+from .shingles import hash64, simhash, words_of
 
-SHARD_ROWS = 4096
+#: Distinct fingerprints of a shard that is searched as it is; what a shard of the last round can hold (its free bits).
+SHARD_ROWS, LAST_SHARD = 4096, 1 << 14
 #: Rows of whole shards that a task holds at once, and frontier pairs searched at once.
 HOLD_ROWS, FRONTIER = 200_000, 1 << 20
 #: Ids of documents to drop that are broadcast; more are joined by a shuffle. They are counted first.
 BROADCAST_ROWS = 1_000_000
-_SLICE = 1 << 16
-_hash = partial(xxhash.xxh64_intdigest, seed=42)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """Unsigned 64-bit SimHash: A-Z lowered, words between ASCII white space, shingles with repeats."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    words = words_of(text)
     if not words:
         return 0
-    if len(words) < shingle:
-        grams: Iterator[bytes] = iter([b" ".join(words)])
-        n = 1
-    else:
-        grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-        n = len(words) - shingle + 1
-    hashes = np.fromiter(map(_hash, grams), "<u8", n)
-    ones = np.zeros(64, "i8")
-    for at in range(0, n, _SLICE):
-        bits = np.unpackbits(hashes[at : at + _SLICE].view("u1").reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype="i4")
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    n = max(1, len(words) - shingle + 1)
+    grams: Iterator[bytes] = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)) if n > 1 else iter([b" ".join(words)])
+    return simhash(np.fromiter(map(hash64, grams), "<u8", n))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -56,7 +47,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     out_id = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_volume(batches):
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], "u8").view("i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
@@ -185,7 +176,7 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
         sizes = materialise(rows.groupBy("mask", "val").count().where("count > 1"), "shards")
         large = sizes.where(F.col("count") > SHARD_ROWS)
         free = 64 - max(m.bit_count() for m in masks)
-        last = 2**free <= SHARD_ROWS
+        last = 2**free <= LAST_SHARD
         small = sizes if last else sizes.where(F.col("count") <= SHARD_ROWS)
         found.append(
             rows.join(small.select("mask", "val"), ["mask", "val"])
@@ -218,18 +209,19 @@ def components(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     roots = materialise(connected_components(links(least.select("fp"), radius)), "roots")
     named = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = materialise(named, "named")
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(smallest, "root").select("fp", "component_id")
+    smallest = materialise(named.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+    by_fp = materialise(named.join(smallest, "root").select("fp", "component_id"), "by-fingerprint")
     return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80, radius: int = 2) -> DataFrame:
     """The documents of which one of each group stays: the row whose doc_id is its component's id.
 
     Groups are those of ``similar.components``: texts whose sets of ``words``-word shingles have a Jaccard similarity of
-    ``percent`` or more. Of rows that share that id, one stays. Rows without an id cannot be told apart and all stay.
+    ``percent`` or more. Fingerprints of these sets, linked through the BK-trees, give the first candidates; what their
+    radius misses comes from a prefix filter, and every candidate is decided on the whole sets. Of rows that share that id, one stays. Rows without an id cannot be told apart and all stay.
     """
-    comp = similar.components(docs, words, percent).where("doc_id is not null")
+    comp = similar.components(docs, words, percent, partial(links, radius=radius)).where("doc_id is not null")
     ids = materialise(comp.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1"), "ids")
     n_gone, n_twice = ids.agg(F.count_if(~F.col("stays")), F.count_if("stays")).first()
     gone = ids.where(~F.col("stays")).select("doc_id")

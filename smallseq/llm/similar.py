@@ -1,132 +1,234 @@
 """Groups of texts whose word-shingle sets have a Jaccard similarity of some percent or more: exact, no pair is missed.
 
-Prefix filter: with all shingles in one global order, two sets of similarity s share one of the first ``n - ceil(s n) + 1``
-shingles of each, so only texts that share such a shingle are compared, and each compared pair is decided on the whole
-sets. Any global order is right; shingles that are frequent in a bounded sample come last, so that a common passage does
-not bring its texts together. Texts that are already in one group are not compared again: each shingle's texts are first
-linked as a chain, then only pairs of different groups are compared, so that a large group of copies stays linear.
+Candidates come from two sides. SimHash: fingerprints of the sets, linked through BK-trees by the caller (``near``), bring
+most copies together. Prefix filter, for what a Hamming radius cannot promise: with all shingles in one global order, two
+sets of similarity s share one of the first ``n - ceil(s n) + 1`` shingles of each, so only texts that share such a shingle
+are compared. Each candidate is decided on the whole sets. Any global order is right; shingles that are frequent in a
+bounded sample come last, so that a common passage does not bring its texts together.
+
+Texts that are already in one group are not compared again: each shingle's texts are first linked as a chain by size, then
+only pairs of different groups are compared, in blocks where a shingle is hot. A large group of copies stays linear.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, remove, text_key
+from .batches import by_volume
+from .common import materialise, partitions_for, remove, text_key
 from .graph import connected_components
+from .shingles import shingle_set, simhash
 
-#: Texts sampled for the order, documents of the sample from which a shingle comes last, and how many such are kept.
-SAMPLE, OFTEN, HOT = 10_000, 3, 200_000
-_hash = partial(xxhash.xxh64_intdigest, seed=42)
-
-
-def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
-    """Distinct hashes (uint64, ascending) of the word shingles; a shorter text is one shingle."""
-    parts = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    grams = map(b" ".join, zip(*(parts[i:] for i in range(words)), strict=False)) if len(parts) > words else [b" ".join(parts)]
-    return np.unique(np.fromiter(map(_hash, grams), "<u8"))
+#: Texts sampled for the order, texts of the sample from which a shingle comes last, and how many such are kept: these bear
+#: on the work only, never on the result.
+SAMPLE, OFTEN, HOT = 4000, 3, 200_000
+#: Prefix shingles that a task gathers; texts of one shingle that are compared in one block.
+GATHER, BLOCK = 4_000_000, 5000
+_ROW = np.dtype([("gram", "<u8"), ("t", "<i8"), ("n", "<i4")])
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int, percent: int | None, hot: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """(t, text) -> (t, n, grams): the whole set, or with ``percent`` its prefix."""
-    for batch in batches:
-        sizes, out = [], []
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
+
+
+def _member(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of x occur in ``of`` (ascending)."""
+    return of[np.minimum(np.searchsorted(of, x), len(of) - 1)] == x if len(of) else np.zeros(len(x), bool)
+
+
+def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(t, text) -> (t, grams): the whole set."""
+    for batch in by_volume(batches):
+        yield pa.RecordBatch.from_arrays([batch.column(0), _lists([shingle_set(x, words).view("i8") for x in batch.column(1).to_pylist()])], ["t", "grams"])
+
+
+def _prints(batches: Iterator[pa.RecordBatch], words: int, percent: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(t, text) -> (t, n, fp, grams): the set's size, fingerprint and prefix."""
+    for batch in by_volume(batches):
+        sizes, fps, out = [], [], []
         for text in batch.column(1).to_pylist():
             s = shingle_set(text, words)
+            late = _member(s, hot)
             sizes.append(len(s))
-            if percent is not None:
-                late = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
-                s = np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)]
-            out.append(s.view("i8"))
-        ends = np.cumsum([0, *map(len, out)])
-        grams = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out) if out else [], pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), grams], ["t", "n", "grams"])
+            fps.append(simhash(s))
+            out.append(np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)].view("i8"))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(np.array(fps, "u8").view("i8")), _lists(out)], ["t", "n", "fp", "grams"])
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], percent: int, chain: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, n, t, root), sorted -> pairs (a, b) that share the gram, in different groups, of sizes near enough.
+def _dealt(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(t, n, grams) -> (part, rows): the rows of each range of shingles, packed; hot ones are left out."""
+    for batch in batches:
+        many = np.diff(batch.column(2).offsets.to_numpy())
+        rows = np.empty(int(many.sum()), _ROW)
+        rows["gram"] = batch.column(2).flatten().to_numpy().view("u8")
+        rows["t"], rows["n"] = np.repeat(batch.column(0).to_numpy(), many), np.repeat(batch.column(1).to_numpy(), many)
+        rows = rows[~_member(rows["gram"], hot)]
+        part = ((rows["gram"] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype("i4")
+        order = np.argsort(part, kind="stable")
+        rows, part = rows[order], part[order]
+        cut = np.flatnonzero(np.diff(part, prepend=-1))
+        yield pa.RecordBatch.from_arrays([pa.array(part[cut], pa.int32()), pa.array([x.tobytes() for x in np.split(rows, cut[1:])] if len(cut) else [], pa.binary())], ["part", "rows"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a range of shingles -> (gram, n, t) of those that more than one text has."""
+    packed = [x.as_py() for batch in batches for x in batch.column(0)]
+    if packed:
+        rows = np.frombuffer(b"".join(packed), _ROW)
+        del packed
+        rows = rows[np.argsort(rows["gram"], kind="stable")]
+        same = rows["gram"][1:] == rows["gram"][:-1]
+        rows = rows[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        for at in range(0, len(rows), 100_000):
+            x = rows[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(x["gram"].view("i8").copy()), pa.array(x["n"].astype("i8")), pa.array(x["t"].copy())], ["gram", "n", "t"])
+
+
+def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _chained(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (gram, n, t), sorted -> pairs of neighbours that share the gram, of sizes near enough."""
+    last = None
+    for batch in batches:
+        rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+        if last is not None:
+            rows = np.concatenate([last, rows])
+        gram, n, t = rows.T
+        near = np.flatnonzero((gram[:-1] == gram[1:]) & (t[:-1] != t[1:]) & (100 * n[:-1] >= percent * n[1:]))
+        yield _pair_batch(t[near], t[near + 1])
+        last = rows[-1:]
 
-    ``chain`` pairs each text with the next one only.
+
+def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (gram, cell, n, t, root, block), sorted -> pairs within a cell, of different groups and of sizes near enough.
+
+    A cell holds one block of a gram's texts, or two, whose pairs across are meant.
     """
     tail = None
     for batch in batches:
         rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
         if tail is not None:
             rows = np.concatenate([tail, rows])
-        cut = np.flatnonzero(rows[:, 0] != rows[-1, 0])
+        cut = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1))
         end = int(cut[-1]) + 1 if len(cut) else 0
-        yield from _pairs(rows[:end], percent, chain)
+        yield from _pairs(rows[:end], percent)
         tail = rows[end:]
     if tail is not None:
-        yield from _pairs(tail, percent, chain)
+        yield from _pairs(tail, percent)
 
 
-def _pairs(rows: np.ndarray, percent: int, chain: bool) -> Iterator[pa.RecordBatch]:
-    gram, n, t, root = rows.T
+def _pairs(rows: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    gram, cell, n, t, root, block = rows.T
+    if not len(rows):
+        return
+    first = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]))
+    two = np.repeat(np.minimum.reduceat(block, first) != np.maximum.reduceat(block, first), np.diff(np.append(first, len(rows))))
     step = 1
     alive = np.arange(len(rows))
     while len(alive := alive[alive + step < len(rows)]):
         other = alive + step
-        near = (gram[alive] == gram[other]) & (100 * n[alive] >= percent * n[other])  # sorted by size: later ones are larger still
+        near = (gram[alive] == gram[other]) & (cell[alive] == cell[other]) & (100 * n[alive] >= percent * n[other])  # sorted by size: later ones are larger still
         alive = alive[near]
-        found = alive[root[alive] != root[alive + step]]
+        other = alive + step
+        found = alive[(root[alive] != root[other]) & (~two[alive] | (block[alive] != block[other]))]
         if len(found):
-            a, b = t[found], t[found + step]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-        if chain:
-            return
+            yield _pair_batch(t[found], t[found + step])
         step += 1
 
 
+def _alike(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, grams of a, grams of b) -> the pairs that are similar enough."""
+    for batch in batches:
+        x, y = batch.column(2), batch.column(3)
+        keep = []
+        for i in range(batch.num_rows):
+            p, q = x[i].values.to_numpy(), y[i].values.to_numpy()
+            common = len(np.intersect1d(p, q, assume_unique=True))
+            keep.append(100 * common >= percent * (len(p) + len(q) - common))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are as similar as that."""
     pairs = materialise(pairs.distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
     few = texts.join(nodes, "t", "left_semi").dropDuplicates(["t"]).select("t", "text")
-    sets = materialise(few.mapInArrow(partial(_sets, words=words, percent=None, hot=None), "t long, n int, grams array<long>"), "sets")
-    side = lambda k: sets.select(F.col("t").alias(k), F.col("n").alias(f"n_{k}"), F.col("grams").alias(f"grams_{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("common", F.size(F.array_intersect("grams_a", "grams_b")))
-    return materialise(both.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b"), "verified")
+    sets = materialise(few.mapInArrow(partial(_sets, words=words), "t long, grams array<long>"), "sets")
+    side = lambda k: sets.select(F.col("t").alias(k), F.col("grams").alias(f"grams_{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "grams_a", "grams_b")
+    found = materialise(both.mapInArrow(partial(_alike, percent=percent), "a long, b long"), "verified")
+    remove(sets)
+    return found
+
+
+def _frequent(texts: DataFrame, words: int) -> np.ndarray:
+    """Shingles (ascending) that are frequent in a sample of about SAMPLE distinct texts, HOT at most."""
+    cut = min(1 << 31, (SAMPLE << 31) // max(1, texts.count()))
+    sample = texts.where(F.pmod(F.xxhash64("t"), F.lit(1 << 31)) < cut).dropDuplicates(["t"])
+    grams = sample.mapInArrow(partial(_sets, words=words), "t long, grams array<long>").select(F.explode("grams").alias("gram"))
+    often = grams.groupBy("gram").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "gram").limit(HOT)
+    return np.sort(np.array([r["gram"] for r in often.select("gram").collect()], "i8").view("u8"))
+
 
+def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(a, b): links of distinct texts, by ``text_key``, that span the groups.
 
-def links(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(a, b): links of distinct texts, by ``text_key``, that span the groups."""
+    ``near``: (fp distinct) -> (a, b) pairs of fingerprints whose texts are worth comparing first.
+    """
+    spark = docs.sparkSession
     texts = docs.select(text_key(F.col("text")).alias("t"), "text")
-    sample = texts.orderBy(F.xxhash64("t"), "t").limit(SAMPLE).dropDuplicates(["t"])
-    grams = sample.mapInArrow(partial(_sets, words=words, percent=None, hot=None), "t long, n int, grams array<long>").select(F.explode("grams").alias("gram"))
-    often = grams.groupBy("gram").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "gram").limit(HOT)
-    hot = np.array([r["gram"] for r in often.select("gram").collect()], "i8").view("u8")
-    hot.sort()
-    prints = texts.mapInArrow(partial(_sets, words=words, percent=percent, hot=hot), "t long, n int, grams array<long>").dropDuplicates(["t"])
-    rows = prints.select("t", F.col("n").cast("long").alias("n"), F.explode("grams").alias("gram"))
-    rows = materialise(rows, "prefixes")
-    shared = materialise(rows.join(rows.groupBy("gram").count().where("count > 1").select("gram"), "gram"), "shared")
-    remove(rows)
-
-    def seek(rows: DataFrame, chain: bool) -> DataFrame:
-        dealt = rows.select("gram", "n", "t", "root").repartition("gram").sortWithinPartitions("gram", "n", "t")
-        return _verified(dealt.mapInArrow(partial(_candidates, percent=percent, chain=chain), "a long, b long"), texts, words, percent)
-
-    first = seek(shared.withColumn("root", F.col("t")), True)
-    roots = connected_components(first)
-    rooted = shared.join(roots, shared["t"] == roots["node"], "left").select("gram", "n", "t", F.coalesce("root", "t").alias("root"))
-    return first.union(seek(materialise(rooted, "rooted"), False))
-
-
-def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, component_id) of every row: the smallest doc_id of the texts reachable (null only if no member has an id)."""
+    hot = _frequent(texts, words)
+    prints = texts.mapInArrow(partial(_prints, words=words, percent=percent, hot=hot), "t long, n int, fp long, grams array<long>")
+    prints = materialise(prints.dropDuplicates(["t"]), "prints")
+    parts = max(partitions_for(docs), (prints.agg(F.sum(F.size("grams"))).first()[0] or 0) // GATHER + 1)
+    rare = prints.select("t", "n", "grams").mapInArrow(partial(_dealt, parts=parts, hot=hot), "part int, rows binary")
+    rare = rare.repartitionById(parts, "part").select("rows").mapInArrow(_shared, "gram long, n long, t long")
+    often = spark.createDataFrame([(int(x),) for x in hot.view("i8")], "gram long")  # HOT rows at most
+    common = prints.select(F.explode("grams").alias("gram"), F.col("n").cast("long").alias("n"), "t").join(F.broadcast(often), "gram", "left_semi")
+    shared = materialise(rare.union(common.select("gram", "n", "t")), "shared")
+
+    pairs = shared.repartition("gram").sortWithinPartitions("gram", "n", "t").mapInArrow(partial(_chained, percent=percent), "a long, b long")
+    if near is not None:
+        least = materialise(prints.groupBy("fp").agg(F.min("t").alias("least")), "least")
+        same = prints.select("t", "fp").join(least, "fp").where("t <> least").select(F.least("t", "least").alias("a"), F.greatest("t", "least").alias("b"))
+        at = lambda k: least.select(F.col("fp").alias(k), F.col("least").alias(f"t_{k}"))
+        close = near(least.select("fp")).join(at("a"), "a").join(at("b"), "b").select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
+        pairs = pairs.union(same).union(close)
+    first = _verified(pairs, texts, words, percent)
+
+    rooted = shared.join(connected_components(first), shared["t"] == F.col("node"), "left").select("gram", "n", "t", F.coalesce("root", "t").alias("root"))
+    rooted = materialise(rooted, "rooted")
+    open_ = rooted.groupBy("gram").agg(F.count("*").alias("texts"), F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
+    open_ = materialise(open_.select("gram", F.floor((F.col("texts") + (BLOCK - 1)) / BLOCK).cast("long").alias("blocks")), "open")
+    block = F.pmod(F.xxhash64("t"), F.col("blocks"))
+    rows = rooted.join(open_, "gram").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cell = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    rows = rows.select("gram", cell.alias("cell"), "n", "t", "root", "block")
+    rest = rows.repartition("gram", "cell").sortWithinPartitions("gram", "cell", "n", "t").mapInArrow(partial(_compared, percent=percent), "a long, b long")
+    return first.union(_verified(rest, texts, words, percent))
+
+
+def components(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(doc_id, component_id) of every row: the smallest doc_id of the texts reachable (null only if no member has an id).
+
+    Texts with fewer words than a shingle are one shingle; null, empty and blank texts are alike. Rows that repeat an id or
+    a text stay rows. An empty table gives no rows.
+    """
     rows = docs.select("doc_id", text_key(F.col("text")).alias("t"))
-    roots = materialise(connected_components(links(docs, words, percent)), "roots")
+    roots = materialise(connected_components(links(docs, words, percent, near)), "roots")
     named = materialise(rows.join(roots, rows["t"] == roots["node"], "left").select("doc_id", F.coalesce("root", "t").alias("root")), "named")
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    smallest = materialise(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "smallest")
     return named.join(smallest, "root").select("doc_id", "component_id")
