@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that ``spark.checkpoint.dir`` names (a temporary one only where it is unset)."""
+    """A reliable checkpoint in the folder that ``spark.checkpoint.dir`` names (a temporary one only in local mode, as in tests)."""
     context = df.sparkSession.sparkContext
     if df.sparkSession.conf.get("spark.checkpoint.dir", None) is None and not context._jsc.sc().getCheckpointDir().isDefined():
+        if context.master.split("[")[0] != "local":
+            raise ValueError("on a cluster, spark.checkpoint.dir has to name a folder that all machines share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
