@@ -34,10 +34,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The shared folder named in ``spark.checkpoint.dir``; a temporary one only in local mode where that is unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("on a cluster, spark.checkpoint.dir has to name a folder that all machines share")
     if not _own_root:
         _own_root.append(tempfile.mkdtemp(prefix="llm-shared-"))
     return f"file://{_own_root[0]}"
@@ -68,6 +70,43 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
+    """(d, t): two longs that tell rows apart by id and text. Rows without an id differ from any with one by ``t``."""
+    d = F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")).alias("d")
+    return d, F.xxhash64(F.coalesce(text, F.lit("")), F.col(text).isNull(), F.col(doc_id).isNull()).alias("t")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """The caller's columns in one struct ``row``, so that none can clash with a name that an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def unpacked(columns: list[str], **replaced: Column) -> list[Column]:
+    """The columns of ``row`` again; some replaced."""
+    return [replaced.get(c, F.col("row").getField(c)).alias(c) for c in columns]
+
+
 def partitions_for(df: DataFrame, at_least: int = 1) -> int:
     """The session's shuffle parallelism, for an explicit repartition."""
     return max(at_least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+#: A table of at most so many bytes, as ``volume`` counts them, is broadcast; a larger one is joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def volume(df: DataFrame) -> int:
+    """About how many bytes the rows of a written table hold: variable parts as they are, 8 for each field, 16 for a row."""
+    parts = [F.lit(16 + 8 * len(df.columns))]
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        elif kind in ("array", "map", "struct"):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.col(f"`{f.name}`"))), F.lit(0)))
+    return df.agg(F.sum(sum(parts[1:], parts[0]).cast("long"))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, times: int = 1) -> DataFrame:
+    """A written table with a broadcast hint if its counted size (``times`` over) allows it."""
+    return F.broadcast(df) if volume(df) * times <= BROADCAST_BYTES else df

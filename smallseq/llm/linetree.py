@@ -5,7 +5,8 @@ tokens. Within a leaf, tokens that too few documents share at their position are
 several levels of support so that a template of any size is found, if enough of the line stays constant; otherwise the
 masked line itself is the template. Templates that recur across documents are dropped. Every statistic is a count over all
 lines, so the result depends on no order; only hashes and lines that share a leaf are moved, and texts once, to be put
-together again.
+together again. Lines and templates are known by 64-bit hashes: among L distinct lines and R recurring templates about
+L * R / 2**64 lines go by chance (at 10**12 and 10**9: 54).
 """
 
 from __future__ import annotations
@@ -13,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_key
+from .common import materialise, row_key, unpacked, whole_row
 
-#: Documents in which a template recurs; leading tokens in the tree; the longest line that the SQL compares by position; the
-#: share of constant tokens that a generalised template needs; the factor between levels of support.
-MIN_DOCS, LEADING, COMPARED, CONSTANT, STEP = 5, 2, 24, 0.6, 4
+#: Documents in which a template recurs; tokens from which a line is long, and documents in which a long line's template
+#: recurs; leading tokens in the tree; the share of constant tokens that a generalised template needs; levels of support,
+#: each a factor of 2 ** STEP_BITS above the one before.
+MIN_DOCS, LONG, LONG_DOCS, LEADING, CONSTANT, LEVELS, STEP_BITS = 5, 50, 2, 2, 0.6, 28, 2
 WILD = "<*>"
-_NO_ID = -(1 << 63)
 
 
 def masked(line: Column) -> Column:
@@ -29,31 +30,48 @@ def masked(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(d, t, i, leaf, line, m): every line that is not blank, by hashes, with its masked text."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), text_key(F.col("text")).alias("t"), F.posexplode_outer(F.split("text", "\n")).alias("i", "raw"))
+    """(d, t, i, leaf, line, size, m): every line that is not blank, by hashes, with its tokens' number and its masked text."""
+    rows = docs.select(*row_key(), F.posexplode_outer(F.split("text", "\n")).alias("i", "raw"))
     rows = rows.select("d", "t", "i", masked(F.col("raw")).alias("m")).where("m <> ''")
     rows = rows.select("d", "t", "i", "m", F.split("m", " ").alias("tokens"))
     leaf = F.xxhash64(F.size("tokens"), *[F.coalesce(F.get("tokens", F.lit(i)), F.lit("")) for i in range(LEADING)])
-    return rows.select("d", "t", "i", leaf.alias("leaf"), F.xxhash64("m").alias("line"), "m")
+    return rows.select("d", "t", "i", leaf.alias("leaf"), F.xxhash64("m").alias("line"), F.size("tokens").alias("size"), "m")
+
+
+def _exploded(lines: DataFrame, *more: str) -> DataFrame:
+    return lines.select("leaf", "line", *more, F.posexplode(F.split("short", " ")).alias("p", "token"))
 
 
 def templates(lines: DataFrame, min_docs: int) -> DataFrame:
     """(line, level, template): the generalised templates of each distinct line that has any.
 
-    At level k a token is constant whose support reaches ``min_docs * STEP ** k``, for all k up to the leaf's documents: a
-    template's fields are told from its constants by their share of its documents, however many those are. Leaves are
-    counted on hashes; only lines of leaves that can recur are read with their text, once each.
+    At level k a token is constant if ``min_docs << (STEP_BITS * k)`` documents have it at its position in the leaf, for
+    all k up to the leaf's documents: a template's fields are told from its constants by their share of its documents,
+    however many those are. A document counts once for a token, whatever number of its lines have it: those with one
+    distinct line in a leaf are counted by line, only the others one by one. Leaves are counted on hashes; only lines of
+    leaves that can recur are read with their text, once each.
     """
-    counted = lines.select("leaf", "line", "d", "t").distinct().groupBy("leaf", "line").agg(F.count("*").alias("docs"))
-    counted = materialise(counted, "counted")
-    wide = counted.groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"), F.count("*").alias("kinds")).where((F.col("leaf_docs") >= min_docs) & (F.col("kinds") > 1))
+    # One document's distinct lines in a leaf. Aggregates are written before they are joined on their own key: then both
+    # sides are plain shuffles, which Spark can split where a leaf or line is hot.
+    own = materialise(lines.select("leaf", "line", "d", "t").distinct(), "own-lines")
+    per_line = materialise(own.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "counted")
+    wide = per_line.groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"), F.count("*").alias("kinds")).where((F.col("leaf_docs") >= min_docs) & (F.col("kinds") > 1))
     wide = materialise(wide.select("leaf"), "wide")
+    own = materialise(own.join(wide, "leaf", "left_semi"), "wide-lines")
+    several = materialise(own.groupBy("leaf", "d", "t").count().where("count > 1").select("leaf", "d", "t"), "several")
+    several = own.join(several, ["leaf", "d", "t"], "left_semi")  # (leaf, line, d, t)
+    twice = several.groupBy("line").agg(F.count("*").alias("twice"))
     texts = lines.select("leaf", "line", "m").join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(F.min("m").alias("short"))
-    short = materialise(counted.join(wide, "leaf", "left_semi").join(texts, ["leaf", "line"]), "short-lines")
-    tokens = short.select("leaf", "line", "docs", F.size(F.split("short", " ")).alias("size"), F.posexplode(F.split("short", " ")).alias("p", "token"))
-    common = tokens.groupBy("leaf", "p", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
-    common = common.select("leaf", "p", "token", F.sequence(F.lit(0), F.floor(F.log(F.col("support") / float(min_docs)) / F.log(F.lit(float(STEP))) + 1e-9).cast("int")).alias("levels"))
-    constant = tokens.join(common, ["leaf", "p", "token"]).select("leaf", "line", "size", "p", "token", F.explode("levels").alias("level"))
+    short = per_line.join(wide, "leaf", "left_semi").join(texts, ["leaf", "line"]).join(twice, "line", "left")
+    short = materialise(short.select("leaf", "line", "short", (F.col("docs") - F.coalesce("twice", F.lit(0))).alias("single")), "short-lines")
+    by_line = _exploded(short, "single").groupBy("leaf", "p", "token").agg(F.sum("single").alias("support"))
+    by_doc = _exploded(several.join(short, ["leaf", "line"]), "d", "t").select("leaf", "p", "token", "d", "t").distinct()
+    by_doc = by_doc.groupBy("leaf", "p", "token").agg(F.count("*").alias("support"))
+    common = by_line.union(by_doc).groupBy("leaf", "p", "token").agg(F.sum("support").alias("support")).where(F.col("support") >= min_docs)
+    levels = F.filter(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.col("support") >= F.lit(min_docs).cast("long") * F.pow(F.lit(float(1 << STEP_BITS)), k))
+    common = materialise(common.select("leaf", "p", "token", levels.alias("levels")), "common")
+    constant = _exploded(short.withColumn("size", F.size(F.split("short", " "))), "size").join(common, ["leaf", "p", "token"])
+    constant = constant.select("leaf", "line", "size", "p", "token", F.explode("levels").alias("level"))
     constant = constant.groupBy("leaf", "line", "size", "level").agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("kept"))
     named = constant.where(F.size("kept") >= F.lit(CONSTANT) * F.col("size"))
     named = named.select("line", "level", F.xxhash64(F.col("leaf"), F.to_json("kept")).alias("template"))
@@ -61,17 +79,17 @@ def templates(lines: DataFrame, min_docs: int) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool = False) -> DataFrame:
-    """(d, t, i) of the lines of which some template recurs in ``min_docs`` or more documents.
+    """(d, t, i) of the lines of which some template recurs: in ``min_docs`` documents, or LONG_DOCS if the line is long.
 
     ``keep_first`` spares the first line (smallest document, then position) of each line's most general such template.
     """
     lines = materialise(line_table(docs), "lines")
-    plain = lines.select("d", "t", "i", "line")
-    named = plain.join(templates(lines, min_docs), "line", "left")
-    named = materialise(named.select("d", "t", "i", F.coalesce("template", "line").alias("template"), F.coalesce("level", F.lit(0)).alias("level")), "named")
-    per_doc = named.groupBy("template", "d", "t").agg(F.min("i").alias("i"))
-    often = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("d", "t", "i")).alias("first")).where(F.col("docs") >= min_docs)
-    # written first, so that both sides of the join are plain shuffles, which Spark can split where a template is hot
+    plain = lines.select("d", "t", "i", "line", (F.col("size") >= LONG).alias("long"))
+    named = plain.join(materialise(templates(lines, min_docs), "templates"), "line", "left")
+    named = materialise(named.select("d", "t", "i", "long", F.coalesce("template", "line").alias("template"), F.coalesce("level", F.lit(0)).alias("level")), "named")
+    per_doc = named.groupBy("template", "long", "d", "t").agg(F.min("i").alias("i"))
+    needed = F.when(F.col("long"), F.least(F.lit(LONG_DOCS), F.lit(min_docs))).otherwise(min_docs)
+    often = per_doc.groupBy("template", "long").agg(F.count("*").alias("docs"), F.min(F.struct("d", "t", "i")).alias("first")).where(F.col("docs") >= needed)
     found = named.join(materialise(often.select("template", "first"), "often"), "template")
     found = found.groupBy("d", "t", "i").agg(F.max_by("first", "level").alias("first"))
     if keep_first:
@@ -80,34 +98,33 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool =
 
 
 def _with_kept(docs: DataFrame, min_docs: int, keep_first: bool) -> DataFrame:
-    """docs with __lines and __kept (the kept line numbers, from 0)."""
-    gone = dropped_lines(docs, min_docs, keep_first).groupBy("d", "t").agg(F.collect_list("i").alias("__gone"))
-    gone = gone.withColumnsRenamed({"d": "__d", "t": "__t"}).hint("shuffle_hash")
-    keyed = docs.withColumn("__d", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn("__t", text_key(F.col("text")))
-    joined = keyed.join(gone, ["__d", "__t"], "left").withColumn("__lines", F.split("text", "\n"))
-    numbers = F.sequence(F.lit(0), F.size("__lines") - 1)
-    return joined.withColumn("__kept", F.when(F.col("__gone").isNull(), numbers).otherwise(F.array_except(numbers, F.col("__gone"))))
+    """(row, text, gone, lines, kept): kept are the numbers of the lines that stay, from 0."""
+    gone = dropped_lines(docs, min_docs, keep_first).groupBy("d", "t").agg(F.collect_list("i").alias("gone")).hint("shuffle_hash")
+    joined = docs.select(whole_row(docs), *row_key()).join(gone, ["d", "t"], "left")
+    joined = joined.select("row", F.col("row.text").alias("text"), "gone", F.split("row.text", "\n").alias("lines"))
+    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
+    return joined.withColumn("kept", F.when(F.col("gone").isNull(), numbers).otherwise(F.array_except(numbers, F.col("gone"))))
 
 
 def _kept_text() -> Column:
-    return F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform("__kept", lambda i: F.get("__lines", i)), "\n"))
+    return F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n"))
 
 
 def deduplicate(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool = False) -> DataFrame:
-    """The rows with the dropped lines taken out of ``text``; other columns as they are.
+    """The rows with the dropped lines taken out of ``text``; other columns as they are, whatever their names.
 
     A null text stays null, an empty one empty; a document may become empty but stays a row. Blank lines are kept and
-    have no template. Rows that repeat an id and a text count as one document and lose the same lines.
+    have no template. Rows that repeat an id and a text count as one document and lose the same lines. No rows give none.
     """
-    return _with_kept(docs, min_docs, keep_first).withColumn("text", _kept_text()).select(*docs.columns)
+    return _with_kept(docs, min_docs, keep_first).select(*unpacked(docs.columns, text=_kept_text()))
 
 
 def digests(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Per row: doc_id, n_lines, n_dropped, kept_sha256 (null text: no lines)."""
+    """Per row: doc_id, n_lines, n_dropped, kept_sha256 (null text: no lines); for the rest see ``deduplicate``."""
     df = _with_kept(docs, min_docs, False)
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines"))
-    kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("__kept"))
-    return df.select("doc_id", n.cast("long").alias("n_lines"), (n - kept).cast("long").alias("n_dropped"), F.sha2(F.coalesce(_kept_text(), F.lit("")), 256).alias("kept_sha256"))
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines"))
+    kept = F.when(F.col("text").isNull(), 0).otherwise(F.size("kept"))
+    return df.select(F.col("row.doc_id").alias("doc_id"), n.cast("long").alias("n_lines"), (n - kept).cast("long").alias("n_dropped"), F.sha2(F.coalesce(_kept_text(), F.lit("")), 256).alias("kept_sha256"))
 
 
 def oracle() -> str:
@@ -119,14 +136,17 @@ WITH l AS (
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL))
 ), k AS (SELECT *, string_split(m, ' ') AS tokens FROM l WHERE m <> ''
 ), f AS (SELECT doc_id, i, m, tokens, len(tokens) AS n, tokens[1] AS a, coalesce(tokens[2], '') AS b FROM k
-), short AS (SELECT n, a, b, m, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM f WHERE n <= {COMPARED} GROUP BY n, a, b, m
+), short AS (SELECT n, a, b, m, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM f GROUP BY n, a, b, m
 ), wide AS (SELECT n, a, b FROM short GROUP BY n, a, b HAVING sum(docs) >= {MIN_DOCS} AND count(*) > 1
 ), s AS (SELECT short.* FROM short JOIN wide USING (n, a, b)
-), tok AS (SELECT n, a, b, m, docs, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS p FROM s
-), common AS (SELECT n, a, b, p, token FROM tok GROUP BY ALL HAVING sum(docs) >= {MIN_DOCS}
-), named AS (SELECT n, a, b, m, string_agg(p || ':' || token, ' ' ORDER BY p) AS template FROM tok JOIN common USING (n, a, b, p, token) GROUP BY n, a, b, m HAVING count(*) >= {CONSTANT}::DOUBLE * n
+), tok AS (SELECT n, a, b, m, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS p FROM s
+), common AS (
+  SELECT n, a, b, p, token, count(DISTINCT doc_id) AS support FROM tok JOIN (SELECT DISTINCT doc_id, m FROM f) USING (m) GROUP BY ALL HAVING support >= {MIN_DOCS}
+), leveled AS (SELECT n, a, b, p, token, unnest([k FOR k IN range(0, {LEVELS + 1}) IF support >= {MIN_DOCS} * power({1 << STEP_BITS}, k)]) AS level FROM common
+), named AS (SELECT DISTINCT n, a, b, m, template FROM (
+  SELECT n, a, b, m, level, string_agg(p || ':' || token, ' ' ORDER BY p) AS template FROM tok JOIN leveled USING (n, a, b, p, token) GROUP BY n, a, b, m, level HAVING count(*) >= {CONSTANT}::DOUBLE * n)
 ), every AS (SELECT f.doc_id, f.i, f.n, f.a, f.b, coalesce('T ' || template, 'L ' || f.m) AS template FROM f LEFT JOIN named ON f.n = named.n AND f.a = named.a AND f.b = named.b AND f.m = named.m
-), often AS (SELECT n, a, b, template FROM every GROUP BY ALL HAVING count(DISTINCT doc_id) >= {MIN_DOCS}
+), often AS (SELECT n, a, b, template FROM every GROUP BY ALL HAVING count(DISTINCT doc_id) >= CASE WHEN n >= {LONG} THEN {LONG_DOCS} ELSE {MIN_DOCS} END
 ), gone AS (SELECT DISTINCT doc_id, i FROM every JOIN often USING (n, a, b, template)
 ), kept AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (g.i IS NOT NULL) AS n_dropped, string_agg(raw, chr(10) ORDER BY i) FILTER (g.i IS NULL) AS kept

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import by_volume
-from .common import materialise, partitions_for, remove, text_key
+from .common import broadcast_if_small, materialise, partitions_for, remove, text_key
 from .graph import connected_components
 from .shingles import shingle_set, simhash
 
@@ -47,6 +47,20 @@ def _member(x: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[np.minimum(np.searchsorted(of, x), len(of) - 1)] == x if len(of) else np.zeros(len(x), bool)
 
 
+def sketch(s: np.ndarray) -> bytes | None:
+    """Members of a set by ranges of the hash, about two to a range (None if a count does not fit a byte)."""
+    bits = max(4, (len(s) // 2).bit_length())
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype("i8"), minlength=1 << bits)
+    return counts.astype("u1").tobytes() if counts.max() < 256 else None
+
+
+def most_common(x: bytes, y: bytes) -> int:
+    """No more members than this can two sets have in common."""
+    a, b = np.frombuffer(x, "u1"), np.frombuffer(y, "u1")
+    k = min(len(a), len(b))
+    return int(np.minimum(a.reshape(k, -1).sum(axis=1), b.reshape(k, -1).sum(axis=1)).sum())
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(t, text) -> (t, grams): the whole set."""
     for batch in by_volume(batches):
@@ -54,16 +68,17 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 
 
 def _prints(batches: Iterator[pa.RecordBatch], words: int, percent: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(t, text) -> (t, n, fp, grams): the set's size, fingerprint and prefix."""
+    """(t, text) -> (t, n, fp, sketch, grams): the set's size, fingerprint, sketch and prefix."""
     for batch in by_volume(batches):
-        sizes, fps, out = [], [], []
+        sizes, fps, counts, out = [], [], [], []
         for text in batch.column(1).to_pylist():
             s = shingle_set(text, words)
             late = _member(s, hot)
             sizes.append(len(s))
             fps.append(simhash(s))
+            counts.append(sketch(s))
             out.append(np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)].view("i8"))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(np.array(fps, "u8").view("i8")), _lists(out)], ["t", "n", "fp", "grams"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(np.array(fps, "u8").view("i8")), pa.array(counts, pa.binary()), _lists(out)], ["t", "n", "fp", "sketch", "grams"])
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -161,15 +176,26 @@ def _alike(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets are as similar as that."""
+def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, sizes, sketches) -> the pairs that their sketches do not rule out."""
+    for batch in batches:
+        keep = []
+        for p, q, x, y in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+            common = min(p, q) if x is None or y is None else most_common(x, y)
+            keep.append(100 * common >= percent * (p + q - common))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, prints: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are as similar as that: first by sketches, which rule out most, then by the sets."""
     pairs = materialise(pairs.distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
-    few = texts.join(nodes, "t", "left_semi").dropDuplicates(["t"]).select("t", "text")
+    side = lambda k, df, *cols: df.select(F.col("t").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols])
+    joined = lambda df, *cols: pairs.join(side("a", df, *cols), "a").join(side("b", df, *cols), "b").select("a", "b", *[f"{c}_{k}" for c in cols for k in "ab"])
+    pairs = materialise(joined(prints, "n", "sketch").mapInArrow(partial(_possible, percent=percent), "a long, b long"), "possible")
+    nodes = materialise(pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct(), "nodes")
+    few = texts.join(broadcast_if_small(nodes), "t", "left_semi").dropDuplicates(["t"]).select("t", "text")
     sets = materialise(few.mapInArrow(partial(_sets, words=words), "t long, grams array<long>"), "sets")
-    side = lambda k: sets.select(F.col("t").alias(k), F.col("grams").alias(f"grams_{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "grams_a", "grams_b")
-    found = materialise(both.mapInArrow(partial(_alike, percent=percent), "a long, b long"), "verified")
+    found = materialise(joined(sets, "grams").mapInArrow(partial(_alike, percent=percent), "a long, b long"), "verified")
     remove(sets)
     return found
 
@@ -191,7 +217,7 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[Da
     spark = docs.sparkSession
     texts = docs.select(text_key(F.col("text")).alias("t"), "text")
     hot = _frequent(texts, words)
-    prints = texts.mapInArrow(partial(_prints, words=words, percent=percent, hot=hot), "t long, n int, fp long, grams array<long>")
+    prints = texts.mapInArrow(partial(_prints, words=words, percent=percent, hot=hot), "t long, n int, fp long, sketch binary, grams array<long>")
     prints = materialise(prints.dropDuplicates(["t"]), "prints")
     parts = max(partitions_for(docs), (prints.agg(F.sum(F.size("grams"))).first()[0] or 0) // GATHER + 1)
     rare = prints.select("t", "n", "grams").mapInArrow(partial(_dealt, parts=parts, hot=hot), "part int, rows binary")
@@ -207,7 +233,7 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[Da
         at = lambda k: least.select(F.col("fp").alias(k), F.col("least").alias(f"t_{k}"))
         close = near(least.select("fp")).join(at("a"), "a").join(at("b"), "b").select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
         pairs = pairs.union(same).union(close)
-    first = _verified(pairs, texts, words, percent)
+    first = _verified(pairs, texts, prints, words, percent)
 
     rooted = shared.join(connected_components(first), shared["t"] == F.col("node"), "left").select("gram", "n", "t", F.coalesce("root", "t").alias("root"))
     rooted = materialise(rooted, "rooted")
@@ -218,7 +244,7 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[Da
     cell = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
     rows = rows.select("gram", cell.alias("cell"), "n", "t", "root", "block")
     rest = rows.repartition("gram", "cell").sortWithinPartitions("gram", "cell", "n", "t").mapInArrow(partial(_compared, percent=percent), "a long, b long")
-    return first.union(_verified(rest, texts, words, percent))
+    return first.union(_verified(rest, texts, prints, words, percent))
 
 
 def components(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

@@ -351,7 +351,7 @@ def test_bad_templates_are_rejected(spark):
     labels = spark.createDataFrame([(i, bool(i % 2)) for i in range(100)], "page_id long, bad boolean")
     got = {r["page_id"]: r for r in urltree.judge(pages, labels).collect()}
     assert all(got[i]["verdict"] == ("block" if i % 2 else "allow") for i in range(200))
-    assert {r["template"] for r in got.values()} == {"/spam/*///", "/news/*///"}
+    assert {r["template"] for r in got.values()} == {"/spam/#", "/news/#"}
 
 
 def test_materialise_and_remove(spark):
@@ -439,3 +439,43 @@ def test_a_bad_section_among_many_is_not_merged(spark):
     labels = spark.createDataFrame([(i, i % 40 == 7) for i in range(4000)], "page_id long, bad boolean")
     got = {r["page_id"]: r["verdict"] for r in urltree.judge(pages, labels).collect()}
     assert got == {i: "block" if i % 40 == 7 else "allow" for i in range(4000)}
+
+
+def test_paths_that_differ_deep_down(spark):
+    pages = spark.createDataFrame([(i, f"http://h.io/a/b/c/d/e/f/{'spam' if i % 2 else 'news'}/x{i}/{'y/' * (i % 3)}") for i in range(200)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 1) for i in range(0, 200, 1)], "page_id long, bad boolean")
+    assert {r["page_id"]: r["verdict"] for r in urltree.judge(pages, labels).collect()} == {i: "block" if i % 2 else "allow" for i in range(200)}
+
+
+def test_small_branches_merge_only_with_their_like(spark):
+    """One large branch and 29 small ones, 14 of them all good and 15 all bad; digits beside the merged branch."""
+    name = lambda k: f"s{chr(97 + k)}{chr(98 + k)}"
+    urls = [("http://h.io/main/x", i % 10 == 0) for i in range(300)] + [(f"http://h.io/{name(k % 29)}/y", k % 29 >= 14) for k in range(29 * 6)] + [("http://h.io/7/y", True)] * 40
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(urls)], "page_id long, bad boolean")
+    got = {r["page_id"]: r["verdict"] for r in urltree.judge(pages, labels).collect()}
+    assert got == {i: "block" if i >= 300 and b else "allow" for i, (_, b) in enumerate(urls)}
+
+
+def test_a_document_supports_a_token_once(spark):
+    """One document that has a field's value in seven lines does not make it a constant; the others' lines still go."""
+    word = lambda k: "n" + "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    rows = [(i, f"letter from {word(i)} about the weather") for i in range(6)]
+    rows.append((6, "\n".join(f"letter from {word(0)} about the {word(100 + k)}" for k in range(7))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_dropped"] for r in linetree.digests(df).collect()} == {**{i: 1 for i in range(6)}, 6: 0}
+
+
+def test_long_lines_recur_from_two_documents(spark):
+    long = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(50))
+    df = spark.createDataFrame([(1, long + "\nshort"), (2, "short\n" + long), (3, long[:-4])], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_dropped"] for r in linetree.digests(df).collect()} == {1: 1, 2: 1, 3: 0}
+    assert sorted(r["text"] for r in linetree.deduplicate(df, keep_first=True).where("doc_id < 3").collect()) == ["short", long + "\nshort"]
+
+
+def test_names_of_the_caller_do_not_clash(spark):
+    names = ["row", "d", "t", "gone", "lines", "kept", "i", "m", "w", "starts", "cases"]
+    df = spark.createDataFrame([(i, "same line\nhere") + tuple(range(len(names))) for i in (1, 2, 3, 4, 5)], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    bench = spark.createDataFrame([(1, "nothing of this")], BENCH)
+    for out in (linetree.deduplicate(df, keep_first=True), decontaminate.clean(df, bench)):
+        assert out.columns == df.columns and {tuple(r)[2:] for r in out.collect()} == {tuple(range(len(names)))}
