@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,11 +16,27 @@ _held: dict[str, Callable[[], None]] = {}
 
 def hold(name: str, drop: Callable[[], None]) -> None:
     """Say whose cache a worker process holds from now on; any other one, also an older one of that name, is dropped."""
-    for other, drop_other in list(_held.items()):
-        if drop_other != drop:
-            del _held[other]
-            drop_other()
+    others = [other for other, drop_other in _held.items() if drop_other != drop]
+    for other in others:
+        _held.pop(other)()
     _held[name] = drop
+    if others:
+        give_back()
+
+
+def nothing_held() -> None:
+    """For operators without a cache: what others of this worker hold is dropped."""
+    hold("", give_back)
+
+
+def give_back() -> None:
+    """Return freed memory to the machine, which the allocators of a worker that lives on would keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def by_volume(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

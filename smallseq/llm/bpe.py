@@ -2,7 +2,8 @@
 
 A piece is held as its part boundaries (the symbols) and, beside them in one contiguous array, the rank of each adjacent
 pair. The minimum is found by scanning that array, the boundary between its two parts is deleted, and only the two
-neighbouring ranks are looked up again. Pieces are short, so the scan beats a heap.
+neighbouring ranks are looked up again. Words are short, so the scan beats a heap; a piece of more than SCANNED parts takes
+one, with the same merges in the same order.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,12 @@ from pyspark.sql import functions as F
 from . import tokens
 from .batches import by_volume, hold
 
-_NONE = 1 << 40
+#: No pair of the file; parts of a piece up to which the rank array is scanned.
+_NONE, SCANNED = 1 << 40, 128
 
 
 class RankArrayBpe:
-    """Encoder and decoder of one tokenizer file, independent of the tokenizers library."""
+    """Encoder and decoder of one tokenizer file. The library only splits chunks beyond ASCII; merges are made here."""
 
     def __init__(self, path: str):
         spec = tokens.load_file(path)
@@ -39,20 +42,22 @@ class RankArrayBpe:
             merged.append(self.vocab[a + b])
         self.merged = merged
         spelling = tokens.byte_spelling()
-        self.inner = [self.vocab[c] for c in spelling]
-        self.final = [self.vocab[c + tokens.WORD_END] for c in spelling]
+        self.inner = {c: self.vocab[c] for c in spelling}
+        self.final = {c: self.vocab[c + tokens.WORD_END] for c in spelling}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*self.vocab.values(), *self.specials.values()]) + 1
         self.names = [""] * size
         for name, i in [*self.vocab.items(), *self.specials.items()]:
             self.names[i] = name
-        self.encoder = tokens.ChunkEncoder(self.specials, lambda pieces: map(self.encode_piece, pieces))
+        self.encoder = tokens.ChunkEncoder(tokens.load_library(path, model=False), self.specials, lambda pieces: map(self.encode_piece, pieces))
 
     def encode_piece(self, piece: str) -> bytes:
-        raw = piece.encode()
+        """Token ids of one piece, whose bytes are spelt as printable characters."""
         inner, width, pairs, merged = self.inner, self.width, self.pairs, self.merged
-        parts = [inner[b] for b in raw]
-        parts[-1] = self.final[raw[-1]]
+        parts = [inner[c] for c in piece]
+        parts[-1] = self.final[piece[-1]]
+        if len(parts) > SCANNED:
+            return self._by_heap(parts)
         ranks = [pairs.get(a * width + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
         while ranks:
             least = min(ranks)
@@ -67,6 +72,30 @@ class RankArrayBpe:
                 ranks[i - 1] = pairs.get(parts[i - 1] * width + parts[i], _NONE)
         return struct.pack(f"<{len(parts)}I", *parts)
 
+    def _by_heap(self, parts: list[int]) -> bytes:
+        """The same for a long piece: least rank first, then leftmost; entries that no longer hold are passed over."""
+        width, rank_of, merged = self.width, self.pairs.get, self.merged
+        n = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of(parts[i] * width + parts[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if parts[i] < 0 or j == n or rank_of(parts[i] * width + parts[j]) != rank:
+                continue
+            parts[i], parts[j] = merged[rank], -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank_of(parts[i] * width + parts[k])) is not None:
+                    heappush(heap, (r, i))
+            h = before[i]
+            if h >= 0 and (r := rank_of(parts[h] * width + parts[i])) is not None:
+                heappush(heap, (r, h))
+        kept = [x for x in parts if x >= 0]
+        return struct.pack(f"<{len(kept)}I", *kept)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return self.encoder.encode(texts)
 
@@ -99,7 +128,10 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
 
 
 def encode_with_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids array<int>, decoded_sha256): what ``encode`` gives, with the digest of the decoded text."""
+    """(doc_id, n_tokens, ids array<int>, decoded_sha256): what ``encode`` gives, with the digest of the decoded text.
+
+    Null and empty texts have no ids; rows stay rows, also those that repeat an id; other columns are not read.
+    """
     out_id = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 import zipfile
@@ -45,13 +46,32 @@ def shared_root(spark: SparkSession) -> str:
     return f"file://{_own_root[0]}"
 
 
+def own_folder(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables; it goes when the driver's process ends."""
+    context = spark.sparkContext
+    folder = f"{shared_root(spark)}/llm/{context.applicationId}"
+    if getattr(context, "_own_folder", None) is None:
+        context._own_folder = folder
+        jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+
+        def clear() -> None:
+            try:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+            except Exception:  # noqa: BLE001 - the JVM may have ended before
+                pass
+
+        atexit.register(clear)
+    return folder
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
 
     This cuts the lineage durably: a lost executor costs the re-read of a file, never a recomputation.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/llm/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -107,6 +127,8 @@ def volume(df: DataFrame) -> int:
     return df.agg(F.sum(sum(parts[1:], parts[0]).cast("long"))).first()[0] or 0
 
 
-def broadcast_if_small(df: DataFrame, times: int = 1) -> DataFrame:
-    """A written table with a broadcast hint if its counted size (``times`` over) allows it."""
-    return F.broadcast(df) if volume(df) * times <= BROADCAST_BYTES else df
+def broadcast_if_small(df: DataFrame, otherwise: str | None = None) -> DataFrame:
+    """A written table with a broadcast hint if its counted size allows it, else with the hint ``otherwise``."""
+    if volume(df) <= BROADCAST_BYTES:
+        return F.broadcast(df)
+    return df.hint(otherwise) if otherwise else df

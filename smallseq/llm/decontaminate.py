@@ -2,7 +2,8 @@
 
 Of every window of ``window`` words the least hash of its k-grams is its fingerprint. Equal windows have equal
 fingerprints, so joining documents' and benchmark's fingerprints misses no shared window; a hit is then extended to the
-whole window and compared word for word. Only windows with a fingerprint hit are ever built as text.
+whole window and compared word for word. A document sends each fingerprint once, and its texts are read again only if one
+of them hits; only windows with a fingerprint hit are ever built as text.
 """
 
 from __future__ import annotations
@@ -10,17 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_key
+from .common import broadcast_if_small, materialise, row_key, unpacked, whole_row
 
 #: Words in a window, and in the k-grams that are hashed (a power of two).
 WINDOW, GRAM = 13, 8
-#: A benchmark table of at most so many windows, or hits in at most so many positions, are broadcast; larger ones are
-#: joined by a shuffle. Both are counted first.
-BROADCAST_ROWS = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value of the contract: everything in ASCII but digits and lower-case letters separates words.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_NO_ID = -(1 << 63)
 # Arrays are exploded with the outer variants below: the plain ones add a filter on the array, which the optimizer pushes
 # through the projections by writing the array's whole expression out again, once for each use in each of them.
 
@@ -36,41 +33,45 @@ def _shifted(name: str, by: int, combine) -> Column:
     return F.zip_with(F.slice(name, 1, n), F.slice(name, by + 1, n), combine)
 
 
-def with_grams(df: DataFrame, words: str, k: int, out: str) -> DataFrame:
-    """Adds ``out``: the hash of the k words from each position on. Built from hashes of powers of two, each made once."""
-    df = df.withColumn("__p1", F.transform(words, lambda w: F.xxhash64(w)))
-    size, made, at = 1, None, 0
-    while True:
-        if k & size:
-            if made is None:
-                df = df.withColumn("__made", F.col(f"__p{size}"))
-            else:
-                n = F.greatest(F.size(words) - (at + size) + 1, F.lit(0))
-                df = df.withColumn("__made", F.zip_with(F.slice("__made", 1, n), F.slice(f"__p{size}", at + 1, n), lambda a, b: F.xxhash64(a, b)))
-            made, at = True, at + size
-        if size * 2 > k:
-            break
-        df = df.withColumn(f"__p{size * 2}", _shifted(f"__p{size}", size, lambda a, b: F.xxhash64(a, b)))
-        size *= 2
-    return df.withColumnRenamed("__made", out).drop(*[c for c in df.columns if c.startswith("__p")])
-
+def with_fingerprints(df: DataFrame, lengths: list[int]) -> DataFrame:
+    """(.., w) -> also f<m> for each length m: the fingerprint of each window of m words.
 
-def with_minima(df: DataFrame, name: str, w: int, out: str) -> DataFrame:
-    """Adds ``out``: the least of each w neighbours of an array column."""
+    Hashes of 1, 2, 4, .. words are made once and serve all lengths; windows no longer than a k-gram are hashed whole.
+    """
+    grams = sorted({min(m, GRAM) for m in lengths})
+    df = df.withColumn("p1", F.transform("w", lambda x: F.xxhash64(x)))
     size = 1
-    df = df.withColumn(out, F.col(name))
-    while size < w:
-        step = min(size, w - size)
-        df = df.withColumn(out, _shifted(out, step, lambda a, b: F.least(a, b)))
-        size += step
+    while size * 2 <= max(grams, default=0):
+        df = df.withColumn(f"p{size * 2}", _shifted(f"p{size}", size, lambda a, b: F.xxhash64(a, b)))
+        size *= 2
+    for k in grams:
+        at = 0
+        for size in (1, 2, 4, 8):
+            if k & size:
+                if at:
+                    n = F.greatest(F.size("w") - (at + size) + 1, F.lit(0))
+                    df = df.withColumn(f"g{k}", F.zip_with(F.slice(f"g{k}", 1, n), F.slice(f"p{size}", at + 1, n), lambda a, b: F.xxhash64(a, b)))
+                else:
+                    df = df.withColumn(f"g{k}", F.col(f"p{size}"))
+                at += size
+    for m in lengths:
+        k, size = min(m, GRAM), 1
+        df = df.withColumn(f"f{m}", F.col(f"g{k}"))
+        while size < m - k + 1:
+            step = min(size, m - k + 1 - size)
+            df = df.withColumn(f"f{m}", _shifted(f"f{m}", step, lambda a, b: F.least(a, b)))
+            size += step
     return df
 
 
-def with_fingerprints(df: DataFrame, words: str, m: int, out: str) -> DataFrame:
-    """Adds ``out``: the fingerprint of each window of m words. Windows shorter than a k-gram and a half are hashed whole."""
-    k = GRAM if m > GRAM else m
-    df = with_grams(df, words, k, "__grams")
-    return with_minima(df, "__grams", m - k + 1, out).drop("__grams")
+def _tagged(m: int) -> Column:
+    """The distinct fingerprints of windows of m words, as array<struct<m, fp, n>>."""
+    return F.transform(F.array_distinct(f"f{m}"), lambda f: F.struct(F.lit(m).alias("m"), f.alias("fp"), F.lit(0).alias("n")))
+
+
+def _placed(m: int) -> Column:
+    """The fingerprints of windows of m words with their places, as array<struct<m, p, fp>>."""
+    return F.transform(f"f{m}", lambda f, p: F.struct(F.lit(m).alias("m"), p.alias("p"), f.alias("fp")))
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -79,8 +80,8 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     items = materialise(items.withColumn("m", F.least(F.size("w"), F.lit(window))), "items")
     parts = []
     for (m,) in sorted(items.select("m").distinct().collect()):  # at most ``window`` lengths
-        own = with_fingerprints(items.where(F.col("m") == m), "w", m, "fp")
-        starts = F.transform("fp", lambda f, i: F.struct(f.alias("fp"), F.array_join(F.slice("w", i + 1, m), " ").alias("win")))
+        own = with_fingerprints(items.where(F.col("m") == m), [m])
+        starts = F.transform(f"f{m}", lambda f, i: F.struct(f.alias("fp"), F.array_join(F.slice("w", i + 1, m), " ").alias("win")))  # noqa: B023
         parts.append(own.select("item_id", "m", F.explode_outer(starts).alias("x")).select("item_id", "m", "x.win", "x.fp"))
     if not parts:
         return benchmark.sparkSession.createDataFrame([], "item_id string, m int, win string, fp long")
@@ -90,49 +91,55 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return out.distinct()
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), text_key(F.col("text")).alias("t"))
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans.
 
     A document's word is hit if it lies in an occurrence of an item's window. ``spans`` are the maximal hit runs
     (array<struct<first, last>>, words from 0). contaminated: n_hit > 0 and 20 * n_hit >= n_words. Null and empty texts
     have no words; rows that repeat an id and a text get the same values; an empty benchmark hits nothing. Items that
-    repeat an id count once.
+    repeat an id count once. Columns other than doc_id and text are not read; no documents give no rows.
     """
     return _judged(docs, benchmark, window).drop("d", "t")
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     """contamination() with the keys d, t of each row."""
-    rows = _keyed(docs)
+    rows = docs.select("doc_id", "text", *row_key())
     windows = materialise(item_windows(benchmark, window), "windows")
-    n_windows = windows.count()
-    small = n_windows <= BROADCAST_ROWS
-    side = F.broadcast if small else (lambda df: df)
     lengths = sorted(r[0] for r in windows.select("m").distinct().collect())
-    found = None
-    for m in lengths:
-        prints = with_fingerprints(rows.select("d", "t", words_of(F.col("text")).alias("w")), "w", m, "fp")
-        at = prints.select("d", "t", F.posexplode_outer("fp").alias("p", "fp")).join(side(windows.where(F.col("m") == m).select("fp").distinct()), "fp", "left_semi").select("d", "t", F.lit(m).alias("m"), "p")
-        found = at if found is None else found.union(at)
-    if found is None:
-        return rows.select("doc_id", "d", "t", F.size(words_of(F.col("text"))).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"), F.array().cast("array<struct<first:int,last:int>>").alias("spans"))
-    starts = materialise(found.groupBy("d", "t").agg(F.collect_set(F.struct("m", "p")).alias("starts")), "starts")
-    n_starts = starts.agg(F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()[0]
-    starts = F.broadcast(starts) if n_starts <= BROADCAST_ROWS else starts.hint("shuffle_hash")
-    texts = rows.join(starts, ["d", "t"], "left").select("doc_id", "d", "t", words_of(F.col("text")).alias("w"), "starts")
-    own = F.transform("starts", lambda s: F.struct(s["m"].alias("m"), s["p"].alias("p"), F.array_join(F.slice("w", s["p"] + 1, s["m"]), " ").alias("win")))
-    texts = materialise(texts.select("doc_id", "d", "t", F.size("w").cast("long").alias("n_words"), own.alias("cases")), "cases")
-    cases = texts.where(F.size("cases") > 0).select("d", "t", F.explode("cases").alias("c")).select("d", "t", "c.m", "c.p", "c.win").distinct()
-    true = materialise(cases.join(side(windows.select("win").distinct()), "win", "left_semi"), "hits")
+    known = materialise(windows.select("m", "fp").distinct(), "fingerprints")
+    known = broadcast_if_small(known.withColumn("known", F.lit(True)))
+
+    # one scan: a row for the document itself (m = 0, fp a key of its own), and one for each of its fingerprints that hits
+    prints = with_fingerprints(rows.select("doc_id", "d", "t", words_of(F.col("text")).alias("w")), lengths)
+    own = F.array(F.struct(F.lit(0).alias("m"), F.xxhash64("d", "t").alias("fp"), F.size("w").alias("n")))
+    each = [_tagged(m) for m in lengths]
+    sent = prints.select("doc_id", "d", "t", F.explode_outer(F.concat(own, *each)).alias("x")).select("doc_id", "d", "t", "x.m", "x.fp", "x.n")
+    found = materialise(sent.join(known, ["m", "fp"], "left").where("m = 0 or known").select("doc_id", "d", "t", "m", "n"), "found")
+    every = found.where("m = 0").select("doc_id", "d", "t", F.col("n").cast("long").alias("n_words"))
+
+    # the texts of documents with a hit, their windows with one, and these compared word for word
+    some = broadcast_if_small(materialise(found.where("m > 0").select("d", "t").distinct(), "with-hits"))
+    texts = rows.join(some, ["d", "t"], "left_semi").select("d", "t", words_of(F.col("text")).alias("w"))
+    texts = materialise(texts, "hit-texts")
+    marked = with_fingerprints(texts, lengths)
+    none = F.array().cast("array<struct<m:int,p:int,fp:bigint>>")
+    places = [_placed(m) for m in lengths]
+    at = marked.select("d", "t", F.explode_outer(F.concat(none, *places)).alias("x")).select("d", "t", "x.m", "x.p", "x.fp").where("p is not null")
+    starts = at.join(known, ["m", "fp"], "left_semi").groupBy("d", "t").agg(F.collect_set(F.struct("m", "p")).alias("starts"))
+    starts = materialise(starts, "starts")
+    cases = texts.join(starts.hint("shuffle_hash"), ["d", "t"])
+    cases = cases.select("d", "t", F.explode(F.transform("starts", lambda s: F.struct(s["m"].alias("m"), s["p"].alias("p"), F.array_join(F.slice("w", s["p"] + 1, s["m"]), " ").alias("win")))).alias("c"))
+    cases = cases.select("d", "t", "c.m", "c.p", "c.win").distinct()
+    wins = broadcast_if_small(materialise(windows.select("m", "win").distinct(), "window-texts"))
+    true = materialise(cases.join(wins, ["m", "win"], "left_semi"), "hits")
     spans = _islands(true)
-    items = true.select("d", "t", "win").distinct().join(side(windows.select("win", "item_id")), "win").groupBy("d", "t").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    owners = broadcast_if_small(windows.select("win", "item_id"))
+    items = true.select("d", "t", "win").distinct().join(owners, "win").groupBy("d", "t").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    judged = materialise(spans.join(items, ["d", "t"], "left"), "judged")
     hit = F.coalesce("n_hit", F.lit(0))
     return (
-        texts.select("doc_id", "d", "t", "n_words").join(spans, ["d", "t"], "left").join(items, ["d", "t"], "left")
+        every.join(judged, ["d", "t"], "left")
         .select(
             "doc_id", "d", "t", "n_words", hit.cast("long").alias("n_hit"), F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
             F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"), ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"),
@@ -151,8 +158,7 @@ def _islands(hits: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows that are not contaminated, as they are."""
-    bad = materialise(_judged(docs.select("doc_id", "text"), benchmark, window).where("contaminated").select(F.col("d").alias("__d"), F.col("t").alias("__t")).distinct(), "contaminated")
-    bad = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
-    keyed = docs.withColumn("__d", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn("__t", text_key(F.col("text")))
-    return keyed.join(bad, ["__d", "__t"], "left_anti").select(*docs.columns)
+    """The rows that are not contaminated, as they are, whatever the names of their columns; for the rest see ``contamination``."""
+    bad = _judged(docs.select("doc_id", "text"), benchmark, window).where("contaminated").select("d", "t").distinct()
+    bad = broadcast_if_small(materialise(bad, "contaminated"))
+    return docs.select(whole_row(docs), *row_key()).join(bad, ["d", "t"], "left_anti").select(*unpacked(docs.columns))

@@ -5,7 +5,7 @@ nothing behind:
 
 * ``dictionary``: one row (hash, bytes, vocabulary path); the dictionary is trained on serialised id arrays.
 * ``blocks``: rows (part, block, first_doc, last_doc, n_docs, n_tokens, before, image). ``image`` is the binary block:
-  magic, id width, dictionary hash, document count, then the index (document ids, token counts, frame offsets), then the
+  magic, id width, dictionary hash, count of documents and of those without an id (which stand first), then the index (document ids, token counts, frame offsets), then the
   frames. ``before`` counts the ids that stand before the block in its part; parts and blocks ascend by document id.
 
 A short document is read through the index alone: Parquet's statistics find the block, the offsets its frame.
@@ -25,20 +25,19 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, tokens
 from .batches import by_volume, hold
 
-MAGIC = b"IDS1"
-_HEAD = struct.Struct("<4sB32sI")
+MAGIC = b"IDS2"
+_HEAD = struct.Struct("<4sB32sII")
 #: A block is closed at so many bytes of frames or documents.
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
 #: The dictionary: its size, and the bounded sample that it is trained on (documents by smallest hash of their id, the
 #: leading ids of each). The sample bears on the compression ratio only, never on what is stored.
 DICT_BYTES, SAMPLE_DOCS, SAMPLE_IDS, LEVEL = 32 << 10, 500, 2048, 1
-NO_DOC = -(1 << 63)
 #: Chunks and pieces that the encoder's caches keep.
 CACHE_ENTRIES = 700_000
 
@@ -47,21 +46,13 @@ class LibraryEncoder:
     """The tokenizers library behind the chunk cache: pieces that are new go through its model."""
 
     def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        spec = tokens.load_file(path)
-        self.model = Tokenizer.from_file(path).model
-        self.spelling = tokens.byte_spelling()
-        self.chunks = tokens.ChunkEncoder({t["content"]: t["id"] for t in spec["added_tokens"]}, self._pieces, CACHE_ENTRIES)
+        spec, library = tokens.load_file(path), tokens.load_library(path)
+        self.tokenize = library.model.tokenize
+        self.chunks = tokens.ChunkEncoder(library, {t["content"]: t["id"] for t in spec["added_tokens"]}, self._pieces, CACHE_ENTRIES)
 
     def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
-        """Ids of each normalised piece, by the library's model; bytes beyond ASCII are spelt out as its file asks."""
-        tokenize, spelling = self.model.tokenize, self.spelling
         for piece in pieces:
-            found = tokenize(piece if piece.isascii() else "".join([spelling[b] for b in piece.encode()]))
+            found = self.tokenize(piece)
             yield struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -93,7 +84,8 @@ def train_dictionary(docs: DataFrame, vocab_path: str, width: int) -> bytes:
             coded = encoder(vocab_path).encode(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([_packed(c[: 4 * SAMPLE_IDS], width) for c in coded], pa.binary())], ["ids"])
 
-    rows = docs.where(F.col("doc_id").isin(chosen)).select("text").mapInArrow(run, "ids binary").collect()
+    texts = docs.where(F.col("doc_id").isin(chosen)).groupBy("doc_id").agg(F.min("text").alias("text"))  # one for each id
+    rows = texts.select("text").mapInArrow(run, "ids binary").collect()
     samples = sorted(bytes(r[0]) for r in rows if r[0])
     if len(samples) < 16 or sum(map(len, samples)) < 2 * DICT_BYTES:
         return b""
@@ -107,20 +99,22 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
-def block_image(width: int, dict_hash: bytes, ids: list[int], counts: list[int], frames: list[bytes]) -> bytes:
+def block_image(width: int, dict_hash: bytes, ids: list[int | None], counts: list[int], frames: list[bytes]) -> bytes:
     offsets = np.concatenate([[0], np.cumsum([len(f) for f in frames])]).astype("<u8")
-    return b"".join([_HEAD.pack(MAGIC, width, dict_hash, len(ids)), np.array(ids, "<i8").tobytes(), np.array(counts, "<u8").tobytes(), offsets.tobytes(), *frames])
+    none = sum(i is None for i in ids)
+    return b"".join([_HEAD.pack(MAGIC, width, dict_hash, len(ids), none), np.array([0] * none + ids[none:], "<i8").tobytes(), np.array(counts, "<u8").tobytes(), offsets.tobytes(), *frames])
 
 
 class Block:
     """A parsed block: documents are decompressed one by one, through the offset index."""
 
     def __init__(self, image: bytes, dictionary: bytes):
-        magic, self.width, dict_hash, n = _HEAD.unpack_from(image)
+        magic, self.width, dict_hash, n, none = _HEAD.unpack_from(image)
         if magic != MAGIC or dict_hash != hashlib.sha256(dictionary).digest():
             raise ValueError("not a block of this store, or written with another dictionary")
         at = _HEAD.size
         self.doc_ids = np.frombuffer(image, "<i8", n, at)
+        self.without_id = np.arange(n) < none
         self.counts = np.frombuffer(image, "<u8", n, at + 8 * n)
         self.offsets = np.frombuffer(image, "<u8", n + 1, at + 16 * n)
         self.image, self.data = image, at + 24 * n + 8
@@ -131,19 +125,11 @@ class Block:
         return np.frombuffer(self.decompressor.decompress(self.image[a:b]), f"<u{self.width}").astype("<u4")
 
 
-def _bucket(doc_id: Column, bounds: list[int]) -> Column:
-    """The number of bounds at or below the id: ascending ranges of documents. Null stands first."""
-    if not bounds:
-        return F.lit(0)
-    at = F.aggregate(F.lit(bounds), F.lit(0), lambda n, b: n + F.when(b <= doc_id, 1).otherwise(0))
-    return F.coalesce(at, F.lit(0)).cast("int")
-
-
 def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts: int | None = None) -> None:
     """Encode every whole text (null: empty), append ``end_id``, and write the store in ascending document order.
 
-    Documents without an id stand first. Rows that share an id are all kept, ordered by their ids' bytes. The one shuffle
-    moves compressed frames.
+    Documents without an id stand first. Rows that share an id are all kept, ordered by their frames' bytes. Columns other
+    than doc_id and text are not read. The one shuffle moves compressed frames.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -154,6 +140,7 @@ def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts:
     spark.createDataFrame([(dict_hash, raw, vocab_path)], "hash binary, bytes binary, vocabulary string").coalesce(1).write.parquet(f"{folder}/dictionary")
     parts = parts or common.partitions_for(docs)
     bounds = sorted({int(b) for b in docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts) or []}) if parts > 1 else []
+    cuts = np.array(bounds, "i8")  # ascending ranges of documents, those without an id first
     tail = struct.pack("<I", end_id)
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,22 +151,23 @@ def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts:
             packed = memoryview(np.frombuffer(tail.join([*coded, b""]), "<u4").astype(f"<u{width}").tobytes())
             ends = np.cumsum(count) * width
             frames = [compress(packed[b - n * width : b]) for b, n in zip(ends.tolist(), count, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(frames, pa.binary())], ["doc_id", "n_tokens", "frame"])
+            bucket = np.searchsorted(cuts, batch.column(0).fill_null(-(1 << 63)).to_numpy(), "right").astype("i4")
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), batch.column(0), pa.array(count, pa.int64()), pa.array(frames, pa.binary())], ["bucket", "doc_id", "n_tokens", "frame"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        ids: list[int] = []
+        ids: list[int | None] = []
         counts: list[int] = []
         frames: list[bytes] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            row = {"part": part, "block": block, "first_doc": ids[0], "last_doc": ids[-1], "n_docs": len(ids), "n_tokens": sum(counts), "before": before, "image": block_image(width, dict_hash, ids, counts, frames)}
+            row = {"part": part, "block": block, "first_doc": next((i for i in ids if i is not None), None), "last_doc": ids[-1], "n_docs": len(ids), "n_tokens": sum(counts), "before": before, "image": block_image(width, dict_hash, ids, counts, frames)}
             return pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([row["block"]], pa.int32()), *(pa.array([row[k]], pa.int64()) for k in ("first_doc", "last_doc", "n_docs", "n_tokens", "before")), pa.array([row["image"]], pa.binary())], list(row))
 
         for batch in batches:
             for doc, n, frame in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids.append(NO_DOC if doc is None else doc)
+                ids.append(doc)
                 counts.append(n)
                 frames.append(frame)
                 size += len(frame)
@@ -192,9 +180,10 @@ def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts:
             yield close()
 
     (
-        docs.mapInArrow(squeeze, "doc_id long, n_tokens long, frame binary")
-        .repartitionById(len(bounds) + 1, _bucket(F.col("doc_id"), bounds))
+        docs.mapInArrow(squeeze, "bucket int, doc_id long, n_tokens long, frame binary")
+        .repartitionById(len(bounds) + 1, "bucket")
         .sortWithinPartitions(F.asc_nulls_first("doc_id"), "n_tokens", "frame")
+        .select("doc_id", "n_tokens", "frame")
         .mapInArrow(blocks, "part int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, before long, image binary")
         .write.option("compression", "uncompressed")
         .parquet(f"{folder}/blocks")
@@ -228,14 +217,17 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 found = [b.ids(i) for i in range(len(b.doc_ids))]
                 counts = b.counts.astype("i8")
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype("i4")
-                none = b.doc_ids == NO_DOC
-                yield pa.RecordBatch.from_arrays([pa.array(b.doc_ids, pa.int64(), mask=none), pa.array(start + np.cumsum(counts) - counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype("i4")))], ["doc_id", "start", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(b.doc_ids, pa.int64(), mask=b.without_id), pa.array(start + np.cumsum(counts) - counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype("i4")))], ["doc_id", "start", "ids"])
 
     return _starts(blocks).select("start", "image").mapInArrow(run, "doc_id long, start long, ids array<int>")
 
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the store's files."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the store's files.
+
+    Rows as they were written: nulls and empty texts have the end id alone, rows that repeat an id come one by one, and
+    other columns of the documents are not stored.
+    """
     raw, blocks = _open(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +237,7 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
                 found = [b.ids(i) for i in range(len(b.doc_ids))]
                 counts = np.array([len(x) for x in found], "i8")
                 crc = [zlib.crc32(x.tobytes()) for x in found]
-                yield pa.RecordBatch.from_arrays([pa.array(b.doc_ids, pa.int64(), mask=b.doc_ids == NO_DOC), pa.array(start + np.cumsum(counts) - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(b.doc_ids, pa.int64(), mask=b.without_id), pa.array(start + np.cumsum(counts) - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return _starts(blocks).select("start", "image").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
@@ -256,11 +248,10 @@ def lookup(spark: SparkSession, folder: str, doc_id: int) -> list[list[int]]:
     found = []
     for r in blocks.where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id)).select("image").collect():
         b = Block(bytes(r[0]), raw)
-        found += [b.ids(int(i)).tolist() for i in np.flatnonzero(b.doc_ids == doc_id)]
+        found += [b.ids(int(i)).tolist() for i in np.flatnonzero((b.doc_ids == doc_id) & ~b.without_id)]
     return found
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{common.shared_root(spark)}/llm/{spark.sparkContext.applicationId}/ids-{uuid.uuid4().hex}"
-
-
+    """A place for a store that lasts as long as the application."""
+    return f"{common.own_folder(spark)}/ids-{uuid.uuid4().hex}"

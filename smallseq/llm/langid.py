@@ -1,6 +1,7 @@
 """Language identification of whole and mixed texts: script ranges, word scores, a Viterbi path with a switching penalty.
 
-A word's script leaves the languages that are written in it; each of these scores the word by its character n-grams; the
+The script of each run of letters leaves the languages that are written in it; each of these scores the run by its character
+n-grams, and a word by its runs; what a word can say grows with its letters, so that text without spaces counts too. The
 best path over a text's words, where changing the language costs ``SWITCH``, labels spans. A text's language is the one of
 most letters on its path, its score the share of those letters.
 """
@@ -11,6 +12,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batches import by_volume, hold
+from .common import materialise, remove, row_key, ship
 
 #: First code point of each script range (Unicode blocks; what lies between takes the range before).
 SCRIPT_STARTS = [
@@ -33,13 +36,14 @@ _STARTS, _NAMES = [s for s, _ in SCRIPT_STARTS], [n for _, n in SCRIPT_STARTS]
 SCRIPTS = sorted(set(_NAMES))
 _SCRIPT = {name: i for i, name in enumerate(SCRIPTS)}
 LETTERS = regex.compile(r"\p{L}+")
-#: Bounds of what is learned: documents of each language (by smallest hash of their id), languages (the most frequent),
-#: n-grams (the most frequent). The n-grams' lengths (see grams_of); a script is a language's if so large a share of its letters is in it.
-SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS, GRAMS, SCRIPT_SHARE = 1000, 64, 60_000, (1, 3), 0.01
-#: Log scores: the cost of changing the language, the most that one word can say, the least probability mass of a gram.
-SWITCH, CLIP, SMOOTH = 10.0, 8.0, 0.5
-#: Words cached by a worker before it starts afresh.
-CACHE_WORDS = 200_000
+#: The bounded sample that is learned from: documents of each language, by smallest hash. Size of the model: n-grams of each
+#: language (the most frequent). The n-grams' lengths (see grams_of); a script is a language's if so large a share of its
+#: letters is in it.
+SAMPLE_DOCS, LANGUAGE_GRAMS, GRAMS, SCRIPT_SHARE = 1000, 20_000, (1, 3), 0.01
+#: Log scores: the cost of changing the language, the most that so many letters can say, the letters, the smoothing.
+SWITCH, CLIP, CLIP_LETTERS, SMOOTH = 10.0, 8.0, 8, 0.5
+#: Words cached by a worker before it starts afresh, and the longest that is kept.
+CACHE_WORDS, KEPT_LENGTH = 200_000, 256
 UNDETERMINED = "und"
 
 
@@ -61,11 +65,23 @@ def letters_of(word: str) -> list[str]:
     return LETTERS.findall(word)
 
 
+def script_runs(word: str) -> list[tuple[str, int]]:
+    """The runs of letters of one script each, with that script."""
+    if word.isascii():
+        return [(run, _SCRIPT["latin"]) for run in letters_of(word)]
+    return [("".join(run), script) for letters in letters_of(word) for script, run in groupby(letters, script_of)]
+
+
 def in_training(doc_id: Column) -> Column:
     """Documents that may be learned from: crc32 of the id as text, modulo 3, is not 1 (without an id: none)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1, F.lit(False))
 
 
+def _most(letters: np.ndarray) -> np.ndarray:
+    """The most that words or runs of so many letters can say against a language."""
+    return (CLIP * np.maximum(1, letters / CLIP_LETTERS))[:, None]
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -86,26 +102,27 @@ class Model:
         """Scores (best language 0, others below) and letter counts of words."""
         unknown = len(self.grams)
         get = self.grams.get
-        rows, sizes, letters, scripts = [], [], [], []
-        for word in new:
-            found = letters_of(word.lower())
-            n = sum(map(len, found))
-            letters.append(n)
-            scripts.append(script_of(found[0][0]) if n else -1)
-            at = [get(g, unknown) for part in found for g in grams_of(part)]
-            rows += at
-            sizes.append(len(at))
-        size = np.array(sizes)
+        rows, sizes, letters, scripts, owner = [], [], [], [], []
+        for k, word in enumerate(new):
+            for run, script in script_runs(word.lower()):
+                at = [get(g, unknown) for g in grams_of(run)]
+                rows += at
+                sizes.append(len(at))
+                letters.append(len(run))
+                scripts.append(script)
+                owner.append(k)
+        total = np.bincount(owner, letters, len(new)) if owner else np.zeros(len(new))
         out = np.zeros((len(new), len(self.languages)), "f4")
-        some = np.flatnonzero(size)
-        if len(some):
-            begin = (np.cumsum(size) - size)[some]
-            out[some] = np.add.reduceat(self.logp[np.array(rows)], begin, axis=0) / len(GRAMS)
-            fits = self.scripts[np.array(scripts)[some]]
+        if owner:
+            size = np.array(sizes)
+            run = np.add.reduceat(self.logp[np.array(rows)], np.cumsum(size) - size, axis=0) / len(GRAMS)
+            fits = self.scripts[np.array(scripts)]
             fits |= ~fits.any(axis=1, keepdims=True)
-            out[some] = np.where(fits, out[some], -np.inf)
-            out[some] -= out[some].max(axis=1, keepdims=True)
-        return np.maximum(out, -CLIP), np.array(letters, "i4")
+            run = np.where(fits, run, -np.inf)
+            run -= run.max(axis=1, keepdims=True)
+            np.add.at(out, np.array(owner), np.maximum(run, -_most(np.array(letters))))
+            out -= out.max(axis=1, keepdims=True)
+        return np.maximum(out, -_most(total)).astype("f4"), total.astype("i4")
 
     def look_up(self, words: list[list[str]]) -> np.ndarray:
         """Row of each word in the cache, all texts in a row."""
@@ -121,7 +138,11 @@ class Model:
             self.words.update(zip(order, range(len(self.scores), len(self.scores) + len(order)), strict=True))
             self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, letters])
         get = self.words.__getitem__
-        return np.fromiter((i for w in words for i in map(get, w)), "i8", sum(map(len, words)))
+        row = np.fromiter((i for w in words for i in map(get, w)), "i8", sum(map(len, words)))
+        for word in new:
+            if len(word) > KEPT_LENGTH:
+                del self.words[word]
+        return row
 
     def forget(self) -> None:
         self.words, self.scores, self.letters = {}, None, None
@@ -198,23 +219,26 @@ def viterbi(scores: np.ndarray, count: np.ndarray, switch: float) -> np.ndarray:
 
 
 def train(docs: DataFrame) -> Model:
-    """Learn from a bounded sample of the training documents (doc_id, text, lang); see the bounds above.
+    """Learn from a bounded sample of the training documents (doc_id, text, lang): SAMPLE_DOCS of each language.
 
-    Only rows that ``in_training`` admits and whose lang and text are not null are used. The driver receives the n-gram
-    table, which those bounds limit.
+    Only rows that ``in_training`` admits and whose lang and text are not null are used; rows that repeat an id and a text
+    count once. All languages are learned. The driver receives the n-gram table, which the sample and LANGUAGE_GRAMS bound
+    for each language.
     """
-    rows = docs.where(in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = sorted((r[0], r[1]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
+    ship(docs.sparkSession)
+    rows = docs.where(in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", *row_key(), "text")
+    sizes = sorted((r[0], r[1]) for r in rows.groupBy("lang").agg(F.approx_count_distinct(F.struct("d", "t"))).collect())
     languages = [lang for lang, _ in sizes]
     if not languages:
         return Model([], {}, np.zeros((1, 0), "f4"), np.zeros((len(SCRIPTS), 0), bool))
     # the least hashes of a language: first a cut that leaves about four times as many, whatever the table's size
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
-    cut = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1 << 31, (4 * SAMPLE_DOCS << 31) // n))) for lang, n in sizes])
-    w = Window.partitionBy("lang").orderBy("place", "doc_id")
-    chosen = rows.where(F.col("lang").isin(languages)).select("lang", "doc_id", place.alias("place")).where(F.col("place") < cut)
-    chosen = chosen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("doc_id").distinct()
-    sample = rows.where(F.col("lang").isin(languages)).join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
+    spark = docs.sparkSession
+    cuts = spark.createDataFrame([(lang, min(1 << 31, (4 * SAMPLE_DOCS << 31) // max(1, n))) for lang, n in sizes], "lang string, cut long")
+    place = F.pmod(F.xxhash64("d"), F.lit(1 << 31))
+    w = Window.partitionBy("lang").orderBy("place", "d", "t")
+    chosen = rows.select("lang", "d", "t", place.alias("place")).join(F.broadcast(cuts), "lang").where(F.col("place") < F.col("cut")).drop("cut").distinct()
+    chosen = chosen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("lang", "d", "t")
+    sample = rows.join(F.broadcast(chosen), ["lang", "d", "t"], "left_semi").dropDuplicates(["lang", "d", "t"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_volume(batches):
@@ -229,13 +253,17 @@ def train(docs: DataFrame) -> Model:
                 a, b, c = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.int64())], ["lang", "gram", "n"])
 
-    table = sample.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    wide = table.withColumn("k", F.array_position(F.lit(languages), F.col("lang"))).groupBy("gram").pivot("k", list(range(1, len(languages) + 1))).agg(F.sum("n")).fillna(0)
-    total = sum((F.col(f"`{k}`") for k in range(1, len(languages) + 1)), F.lit(0))
-    top = wide.withColumn("total", total).orderBy(F.desc("total"), "gram").limit(MAX_GRAMS).drop("total").collect()
-    grams = {r[0]: i for i, r in enumerate(top)}
-    counts = np.array([list(r)[1:] for r in top], "f8").reshape(len(top), len(languages))
-    logp = np.zeros((len(top) + 1, len(languages)), "f4")
+    table = materialise(sample.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    often = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    kept = table.withColumn("place", F.row_number().over(often)).where(F.col("place") <= LANGUAGE_GRAMS).select("gram").distinct()
+    found = table.join(kept, "gram", "left_semi").collect()
+    remove(table)
+    grams = {g: i for i, g in enumerate(sorted({r["gram"] for r in found}))}
+    at = {lang: k for k, lang in enumerate(languages)}
+    counts = np.zeros((len(grams), len(languages)))
+    for r in found:
+        counts[grams[r["gram"]], at[r["lang"]]] = r["n"]
+    logp = np.zeros((len(grams) + 1, len(languages)), "f4")
     for n in GRAMS:
         of = np.array([i for g, i in grams.items() if len(g) == n], "i8")
         if len(of):
@@ -253,7 +281,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) of every row. One pass; the model (bounded) is broadcast.
 
     ``und`` with score 0 where the text is null or has no letter; otherwise a learned language, and the share of letters
-    that the path gives to it.
+    that the path gives to it (ties go to the first language by name). Rows that repeat an id stay rows; other columns are
+    not read; no rows give none.
     """
     out_id = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, row_key, unpacked, whole_row
+from .common import broadcast_if_small, materialise, row_key, unpacked, whole_row
 
 #: Documents in which a template recurs; tokens from which a line is long, and documents in which a long line's template
 #: recurs; leading tokens in the tree; the share of constant tokens that a generalised template needs; levels of support,
@@ -38,43 +38,32 @@ def line_table(docs: DataFrame) -> DataFrame:
     return rows.select("d", "t", "i", leaf.alias("leaf"), F.xxhash64("m").alias("line"), F.size("tokens").alias("size"), "m")
 
 
-def _exploded(lines: DataFrame, *more: str) -> DataFrame:
-    return lines.select("leaf", "line", *more, F.posexplode(F.split("short", " ")).alias("p", "token"))
-
-
 def templates(lines: DataFrame, min_docs: int) -> DataFrame:
     """(line, level, template): the generalised templates of each distinct line that has any.
 
     At level k a token is constant if ``min_docs << (STEP_BITS * k)`` documents have it at its position in the leaf, for
     all k up to the leaf's documents: a template's fields are told from its constants by their share of its documents,
-    however many those are. A document counts once for a token, whatever number of its lines have it: those with one
-    distinct line in a leaf are counted by line, only the others one by one. Leaves are counted on hashes; only lines of
-    leaves that can recur are read with their text, once each.
+    however many those are. A document counts once for a token, whatever number of its lines have it. Only hashes of tokens
+    are moved, those of leaves that can recur; a leaf's own leading tokens need no count.
     """
-    # One document's distinct lines in a leaf. Aggregates are written before they are joined on their own key: then both
-    # sides are plain shuffles, which Spark can split where a leaf or line is hot.
-    own = materialise(lines.select("leaf", "line", "d", "t").distinct(), "own-lines")
-    per_line = materialise(own.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "counted")
-    wide = per_line.groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"), F.count("*").alias("kinds")).where((F.col("leaf_docs") >= min_docs) & (F.col("kinds") > 1))
-    wide = materialise(wide.select("leaf"), "wide")
-    own = materialise(own.join(wide, "leaf", "left_semi"), "wide-lines")
-    several = materialise(own.groupBy("leaf", "d", "t").count().where("count > 1").select("leaf", "d", "t"), "several")
-    several = own.join(several, ["leaf", "d", "t"], "left_semi")  # (leaf, line, d, t)
-    twice = several.groupBy("line").agg(F.count("*").alias("twice"))
-    texts = lines.select("leaf", "line", "m").join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(F.min("m").alias("short"))
-    short = per_line.join(wide, "leaf", "left_semi").join(texts, ["leaf", "line"]).join(twice, "line", "left")
-    short = materialise(short.select("leaf", "line", "short", (F.col("docs") - F.coalesce("twice", F.lit(0))).alias("single")), "short-lines")
-    by_line = _exploded(short, "single").groupBy("leaf", "p", "token").agg(F.sum("single").alias("support"))
-    by_doc = _exploded(several.join(short, ["leaf", "line"]), "d", "t").select("leaf", "p", "token", "d", "t").distinct()
-    by_doc = by_doc.groupBy("leaf", "p", "token").agg(F.count("*").alias("support"))
-    common = by_line.union(by_doc).groupBy("leaf", "p", "token").agg(F.sum("support").alias("support")).where(F.col("support") >= min_docs)
-    levels = F.filter(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.col("support") >= F.lit(min_docs).cast("long") * F.pow(F.lit(float(1 << STEP_BITS)), k))
-    common = materialise(common.select("leaf", "p", "token", levels.alias("levels")), "common")
-    constant = _exploded(short.withColumn("size", F.size(F.split("short", " "))), "size").join(common, ["leaf", "p", "token"])
-    constant = constant.select("leaf", "line", "size", "p", "token", F.explode("levels").alias("level"))
-    constant = constant.groupBy("leaf", "line", "size", "level").agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("kept"))
-    named = constant.where(F.size("kept") >= F.lit(CONSTANT) * F.col("size"))
-    named = named.select("line", "level", F.xxhash64(F.col("leaf"), F.to_json("kept")).alias("template"))
+    # Aggregates are written before they are joined on their own key: then both sides are plain shuffles, which Spark can
+    # split where a leaf or line is hot; a small one is broadcast by its counted size.
+    per_doc = materialise(lines.groupBy("leaf", "d", "t").agg(F.count("*").alias("times"), F.min("line").alias("low"), F.max("line").alias("high")), "leaves")
+    wide = per_doc.groupBy("leaf").agg(F.count("*").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")).where((F.col("docs") >= min_docs) & (F.col("low") != F.col("high")))
+    wide = broadcast_if_small(materialise(wide.select("leaf"), "wide"))
+    several = materialise(per_doc.where("times > 1").join(wide, "leaf", "left_semi").select("leaf", "d", "t", F.lit(True).alias("several")), "several")
+    found = lines.select("leaf", "line", "d", "t", "m").join(wide, "leaf", "left_semi").join(broadcast_if_small(several), ["leaf", "d", "t"], "left")
+    tokens = found.select("leaf", "line", "d", "t", "several", F.size(F.split("m", " ")).alias("size"), F.posexplode(F.split("m", " ")).alias("p", "token")).where("p > 0")
+    tokens = tokens.select("leaf", "line", "d", "t", "several", "size", "p", F.xxhash64("leaf", "p", "token").alias("key"))
+    alone = tokens.where("several is null").groupBy("key").agg(F.count("*").alias("docs"))
+    beside = tokens.where("several").select("key", "d", "t").distinct().groupBy("key").agg(F.count("*").alias("docs"))
+    common = alone.union(beside).groupBy("key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
+    levels = F.filter(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.col("docs") >= F.lit(min_docs).cast("long") * F.pow(F.lit(float(1 << STEP_BITS)), k))
+    common = broadcast_if_small(materialise(common.select("key", levels.alias("levels")), "common"))
+    constant = tokens.select("leaf", "line", "size", "p", "key").join(common, "key").select("leaf", "line", "size", "p", "key", F.explode("levels").alias("level"))
+    constant = constant.groupBy("leaf", "line", "size", "level").agg(F.array_sort(F.collect_set(F.struct("p", "key"))).alias("kept"))
+    named = constant.where(F.size("kept") + 1 >= F.lit(CONSTANT) * F.col("size"))  # and the first token
+    named = named.select("line", "level", F.xxhash64("leaf", "kept").alias("template"))
     return named.groupBy("line", "template").agg(F.max("level").alias("level"))
 
 
@@ -85,12 +74,12 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool =
     """
     lines = materialise(line_table(docs), "lines")
     plain = lines.select("d", "t", "i", "line", (F.col("size") >= LONG).alias("long"))
-    named = plain.join(materialise(templates(lines, min_docs), "templates"), "line", "left")
+    named = plain.join(broadcast_if_small(materialise(templates(lines, min_docs), "templates")), "line", "left")
     named = materialise(named.select("d", "t", "i", "long", F.coalesce("template", "line").alias("template"), F.coalesce("level", F.lit(0)).alias("level")), "named")
     per_doc = named.groupBy("template", "long", "d", "t").agg(F.min("i").alias("i"))
     needed = F.when(F.col("long"), F.least(F.lit(LONG_DOCS), F.lit(min_docs))).otherwise(min_docs)
     often = per_doc.groupBy("template", "long").agg(F.count("*").alias("docs"), F.min(F.struct("d", "t", "i")).alias("first")).where(F.col("docs") >= needed)
-    found = named.join(materialise(often.select("template", "first"), "often"), "template")
+    found = named.join(broadcast_if_small(materialise(often.select("template", "first"), "often")), "template")
     found = found.groupBy("d", "t", "i").agg(F.max_by("first", "level").alias("first"))
     if keep_first:
         found = found.where(F.struct("d", "t", "i") != F.col("first"))
@@ -99,7 +88,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool =
 
 def _with_kept(docs: DataFrame, min_docs: int, keep_first: bool) -> DataFrame:
     """(row, text, gone, lines, kept): kept are the numbers of the lines that stay, from 0."""
-    gone = dropped_lines(docs, min_docs, keep_first).groupBy("d", "t").agg(F.collect_list("i").alias("gone")).hint("shuffle_hash")
+    gone = dropped_lines(docs, min_docs, keep_first).groupBy("d", "t").agg(F.collect_list("i").alias("gone"))
+    gone = broadcast_if_small(materialise(gone, "gone"), otherwise="shuffle_hash")
     joined = docs.select(whole_row(docs), *row_key()).join(gone, ["d", "t"], "left")
     joined = joined.select("row", F.col("row.text").alias("text"), "gone", F.split("row.text", "\n").alias("lines"))
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)

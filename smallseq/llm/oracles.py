@@ -8,16 +8,16 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["op3_topk"] = """
 WITH v AS (
-    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+    SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
     FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)])
+    WHERE embedding IS NOT NULL AND len(embedding) = len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)])
 ), s AS (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    SELECT q.rid AS qid, q.vec_id AS query_id, c.rid AS rid, c.vec_id AS vec_id,
            CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
     FROM v q, v c
-    WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+    WHERE q.vec_id % 20 = 0 AND c.rid <> q.rid AND len(q.e) = len(c.e)
 ), r AS (
-    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+    SELECT query_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id NULLS LAST, rid) AS rank, vec_id, score FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """

@@ -5,7 +5,7 @@ alone determines, so equal windows have equal anchors at equal places. An anchor
 lie in all its windows, and by ``ch``, the hash of everything its windows cover in this text. Then
 
 * an anchor whose kh is unique has no repeated window and is dropped after one aggregation;
-* anchors that share kh and ch have the same windows, all repeated;
+* anchors that share kh and ch (hashes of two families, 128 bits together) have the same windows, all repeated;
 * only what is left, the edges of repeats, is compared window by window.
 
 All steps are aggregations (partial before the shuffle) and joins against tables with one row for each key, which Spark can
@@ -18,19 +18,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import by_volume
-from .common import materialise, remove, text_key
+from .common import broadcast_if_small, materialise, remove, row_key
 from .shingles import mix
 
-_NO_ID = -(1 << 63)
 _U = np.uint64
-#: Odd bases of the polynomial range hashes (modulo 2**64): for kh, for ch and windows.
+#: Odd bases of the polynomial range hashes (modulo 2**64).
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-#: Repeats' edges of so many windows at most are sent to the texts by broadcast (their number is counted first).
-BROADCAST_WINDOWS = 1_000_000
 
 
 class RangeHash:
@@ -64,6 +62,12 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
+def contents(units: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """XXH3 of each range's units, read as a whole: another family of hashes than the ranges' polynomials."""
+    raw = memoryview(np.ascontiguousarray(units)).cast("B") if len(units) else b""
+    return np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip((8 * first).tolist(), (8 * end).tolist(), strict=True)), "u8", len(first))
+
+
 class Scheme:
     """How units are read and anchors chosen. Subclasses say which positions may be anchors and how they are ranked."""
 
@@ -99,13 +103,13 @@ class Scheme:
         n = np.diff(np.concatenate([cut, [total]]))
         text = np.searchsorted(begin, lo, "right") - 1
         kh = RangeHash(units, 0)(p - self.before, p + self.key)
-        ch = RangeHash(units, 1)(lo, lo + n - 1 + w)
+        ch = contents(units, lo, lo + n - 1 + w)
         return text, lo - begin[text], n, kh, ch
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, its key (d, t) and the text; rows that share an id and a text share the key, and so their result."""
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), text_key(F.col("text")).alias("t"), "text")
+    return docs.select("doc_id", *row_key(), "text")
 
 
 def _raw(column: pa.Array) -> list[bytes]:
@@ -132,7 +136,7 @@ def window_rows(texts: DataFrame, scheme: Scheme) -> DataFrame:
                 n = np.array([r["n"] for r in ranges], "i8")
                 lo = np.array([r["lo"] for r in ranges], "i8")
                 s = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                wh = RangeHash(scheme.units(raw), 1)(s, s + w).view("i8")
+                wh = contents(scheme.units(raw), s, s + w).view("i8")
                 kh = np.repeat(np.array([r["kh"] for r in ranges], "i8"), n)
                 yield pa.RecordBatch.from_arrays([pa.array(kh), pa.array(wh), pa.array(np.full(len(s), d, "i8")), pa.array(np.full(len(s), t, "i8")), pa.array(s, pa.int32())], ["kh", "wh", "d", "t", "s"])
 
@@ -142,9 +146,7 @@ def window_rows(texts: DataFrame, scheme: Scheme) -> DataFrame:
 def edge_texts(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """The texts that hold edges, with them: (d, t, text, ranges array<struct<kh, lo, n>>), one row for each key."""
     by_text = materialise(edges.groupBy("d", "t").agg(F.collect_list(F.struct("kh", "lo", "n")).alias("ranges")), "ranges")
-    few = (by_text.agg(F.sum(F.size("ranges"))).first()[0] or 0) <= BROADCAST_WINDOWS // 16
-    by_text = F.broadcast(by_text) if few else by_text.hint("shuffle_hash")
-    return rows.select("d", "t", "text").join(by_text, ["d", "t"])
+    return rows.select("d", "t", "text").join(broadcast_if_small(by_text), ["d", "t"])
 
 
 def by_count(rows: DataFrame, edges: DataFrame, scheme: Scheme, keep_first: bool = False) -> DataFrame:

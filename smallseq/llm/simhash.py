@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import similar
 from .batches import by_volume
-from .common import materialise
+from .common import broadcast_if_small, materialise
 from .graph import connected_components
 from .shingles import hash64, simhash, words_of
 
@@ -28,8 +28,6 @@ from .shingles import hash64, simhash, words_of
 SHARD_ROWS, LAST_SHARD = 4096, 1 << 14
 #: Rows of whole shards that a task holds at once, and frontier pairs searched at once.
 HOLD_ROWS, FRONTIER = 200_000, 1 << 20
-#: Ids of documents to drop that are broadcast; more are joined by a shuffle. They are counted first.
-BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -223,9 +221,9 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80, radius: int =
     """
     comp = similar.components(docs, words, percent, partial(links, radius=radius)).where("doc_id is not null")
     ids = materialise(comp.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1"), "ids")
-    n_gone, n_twice = ids.agg(F.count_if(~F.col("stays")), F.count_if("stays")).first()
+    n_twice = ids.agg(F.count_if("stays")).first()[0]
     gone = ids.where(~F.col("stays")).select("doc_id")
-    kept = docs.join(F.broadcast(gone) if n_gone <= BROADCAST_ROWS else gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
     if n_twice:
         kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
     return kept

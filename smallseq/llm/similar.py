@@ -1,6 +1,8 @@
 """Groups of texts whose word-shingle sets have a Jaccard similarity of some percent or more: exact, no pair is missed.
 
-Candidates come from two sides. SimHash: fingerprints of the sets, linked through BK-trees by the caller (``near``), bring
+A text that is so similar to another shares at least that percentage of its shingles with other texts; most texts do not and
+go no further (every shingle of every text is counted for that, in packed form). Among those that are left, candidates come
+from two sides. SimHash: fingerprints of the sets, linked through BK-trees by the caller (``near``), bring
 most copies together. Prefix filter, for what a Hamming radius cannot promise: with all shingles in one global order, two
 sets of similarity s share one of the first ``n - ceil(s n) + 1`` shingles of each, so only texts that share such a shingle
 are compared. Each candidate is decided on the whole sets. Any global order is right; shingles that are frequent in a
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import by_volume
+from .batches import by_volume, give_back, nothing_held
 from .common import broadcast_if_small, materialise, partitions_for, remove, text_key
 from .graph import connected_components
 from .shingles import shingle_set, simhash
@@ -28,13 +30,21 @@ from .shingles import shingle_set, simhash
 #: Texts sampled for the order, texts of the sample from which a shingle comes last, and how many such are kept: these bear
 #: on the work only, never on the result.
 SAMPLE, OFTEN, HOT = 4000, 3, 200_000
-#: Prefix shingles that a task gathers; texts of one shingle that are compared in one block.
-GATHER, BLOCK = 4_000_000, 5000
+#: Shingles that a task gathers; texts of one shingle that are compared in one block; prefix shingles that two texts share.
+GATHER, BLOCK, SHARED = 2_000_000, 5000, 3
+_DOC = np.dtype([("t", "<i8"), ("n", "<i4"), ("hot", "<i4")])
 _ROW = np.dtype([("gram", "<u8"), ("t", "<i8"), ("n", "<i4")])
 
 
+def least_overlap(n: int, percent: int) -> int:
+    """Members that a set of n has in common with any that is similar enough."""
+    return -(-percent * n // 100)
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    """So many first members of each of two similar sets share SHARED (or, of small sets, ``least_overlap``) of them."""
+    o = least_overlap(n, percent)
+    return n - o + min(SHARED, o)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -67,6 +77,69 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column(0), _lists([shingle_set(x, words).view("i8") for x in batch.column(1).to_pylist()])], ["t", "grams"])
 
 
+def _spread(batches: Iterator[pa.RecordBatch], words: int, parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(t, text) -> (part, rows): for each range of shingles the texts that have some, and these shingles; hot ones are counted only.
+
+    A text that a task has seen is left out. Every text is in one range at least, even if all its shingles are hot.
+    """
+    nothing_held()
+    seen: set[int] = set()
+    for batch in by_volume(batches):
+        docs, grams = [], []
+        for t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if t not in seen:
+                seen.add(t)
+                s = shingle_set(text, words)
+                late = _member(s, hot)
+                docs.append((t, len(s), int(late.sum())))
+                grams.append(s[~late])
+        if not docs:
+            continue
+        table = np.array(docs, _DOC)
+        gram, owner = np.concatenate(grams), np.repeat(np.arange(len(docs), dtype="<u4"), [len(g) for g in grams])
+        part = ((gram >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype("i4")
+        order = np.argsort(part, kind="stable")
+        low, owner, part = gram.astype("<u4")[order], owner[order], part[order]
+        home = table["t"] % parts
+        every = np.unique(np.concatenate([part, home.astype("i4")]))
+        ends = np.searchsorted(part, every, "right")
+        packed = []
+        for p, a, b in zip(every.tolist(), np.searchsorted(part, every, "left").tolist(), ends.tolist(), strict=True):
+            who, at = np.unique(np.concatenate([owner[a:b], np.flatnonzero(home == p).astype("<u4")]), return_inverse=True)
+            packed.append(b"".join([np.array([len(who), b - a], "<u4").tobytes(), table[who].tobytes(), low[a:b].tobytes(), at[: b - a].astype("<u2" if len(who) < 1 << 16 else "<u4").tobytes()]))
+        yield pa.RecordBatch.from_arrays([pa.array(every, pa.int32()), pa.array(packed, pa.binary())], ["part", "rows"])
+    give_back()
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    docs, rows = np.frombuffer(packed, "<u4", 2).tolist()
+    at = 8 + docs * _DOC.itemsize
+    return np.frombuffer(packed, _DOC, docs, 8), np.frombuffer(packed, "<u4", rows, at), np.frombuffer(packed, "<u2" if docs < 1 << 16 else "<u4", rows, at + 4 * rows)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The packed rows of a range of shingles -> (t, n, hot, shared): how many of a text's shingles another text has too."""
+    nothing_held()
+    found = [_unpacked(x.as_py()) for batch in batches for x in batch.column(0)]
+    if found:
+        docs = np.concatenate([d for d, _, _ in found])
+        begin = np.cumsum([0, *(len(d) for d, _, _ in found)])
+        t, first, own = np.unique(docs["t"], return_index=True, return_inverse=True)
+        low = np.concatenate([x for _, x, _ in found]).astype("u8")
+        owner = own[np.concatenate([at.astype("i8") + b for (_, _, at), b in zip(found, begin[:-1], strict=True)])] if len(low) else np.zeros(0, "i8")
+        del found
+        key = np.unique(low << np.uint64(32) | owner.astype("u8"))  # a text counts once for a shingle
+        same = key[1:] >> np.uint64(32) == key[:-1] >> np.uint64(32)
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(key) else np.zeros(0, bool)
+        many = np.bincount((key[shared] & np.uint64(0xFFFFFFFF)).astype("i8"), minlength=len(t))
+        docs = docs[first]
+        some = np.flatnonzero((many > 0) | (docs["hot"] > 0))
+        for at in range(0, len(some), 100_000):
+            x = some[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(t[x]), pa.array(docs["n"][x].copy()), pa.array(docs["hot"][x].copy()), pa.array(many[x], pa.int32())], ["t", "n", "hot", "shared"])
+    give_back()
+
+
 def _prints(batches: Iterator[pa.RecordBatch], words: int, percent: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(t, text) -> (t, n, fp, sketch, grams): the set's size, fingerprint, sketch and prefix."""
     for batch in by_volume(batches):
@@ -110,8 +183,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x["gram"].view("i8").copy()), pa.array(x["n"].astype("i8")), pa.array(x["t"].copy())], ["gram", "n", "t"])
 
 
-def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+def _pair_batch(a: np.ndarray, b: np.ndarray, n: np.ndarray, percent: int) -> pa.RecordBatch:
+    """(a, b, need): pairs, and how many prefix shingles they have to share, from the smaller size n."""
+    need = np.minimum(SHARED, -(-percent * n // 100))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(need.astype("i4"))], ["a", "b", "need"])
 
 
 def _chained(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -123,7 +198,7 @@ def _chained(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             rows = np.concatenate([last, rows])
         gram, n, t = rows.T
         near = np.flatnonzero((gram[:-1] == gram[1:]) & (t[:-1] != t[1:]) & (100 * n[:-1] >= percent * n[1:]))
-        yield _pair_batch(t[near], t[near + 1])
+        yield _pair_batch(t[near], t[near + 1], n[near], percent)
         last = rows[-1:]
 
 
@@ -160,7 +235,7 @@ def _pairs(rows: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
         other = alive + step
         found = alive[(root[alive] != root[other]) & (~two[alive] | (block[alive] != block[other]))]
         if len(found):
-            yield _pair_batch(t[found], t[found + step])
+            yield _pair_batch(t[found], t[found + step], n[found], percent)
         step += 1
 
 
@@ -188,7 +263,7 @@ def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 def _verified(pairs: DataFrame, texts: DataFrame, prints: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are as similar as that: first by sketches, which rule out most, then by the sets."""
-    pairs = materialise(pairs.distinct(), "pairs")
+    pairs = materialise(pairs, "pairs")
     side = lambda k, df, *cols: df.select(F.col("t").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols])
     joined = lambda df, *cols: pairs.join(side("a", df, *cols), "a").join(side("b", df, *cols), "b").select("a", "b", *[f"{c}_{k}" for c in cols for k in "ab"])
     pairs = materialise(joined(prints, "n", "sketch").mapInArrow(partial(_possible, percent=percent), "a long, b long"), "possible")
@@ -200,25 +275,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, prints: DataFrame, words: int,
     return found
 
 
-def _frequent(texts: DataFrame, words: int) -> np.ndarray:
-    """Shingles (ascending) that are frequent in a sample of about SAMPLE distinct texts, HOT at most."""
-    cut = min(1 << 31, (SAMPLE << 31) // max(1, texts.count()))
+def _frequent(texts: DataFrame, words: int, n: int) -> np.ndarray:
+    """Shingles (ascending) that are frequent in a sample of about SAMPLE distinct texts of n, HOT at most."""
+    cut = min(1 << 31, (SAMPLE << 31) // max(1, n))
     sample = texts.where(F.pmod(F.xxhash64("t"), F.lit(1 << 31)) < cut).dropDuplicates(["t"])
     grams = sample.mapInArrow(partial(_sets, words=words), "t long, grams array<long>").select(F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "gram").limit(HOT)
     return np.sort(np.array([r["gram"] for r in often.select("gram").collect()], "i8").view("u8"))
 
 
+def _with_partners(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, np.ndarray]:
+    """(t, text) of the distinct texts of which enough shingles occur in other texts; and the frequent shingles."""
+    n, chars = texts.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    hot = _frequent(texts, words, n)
+    parts = max(partitions_for(texts), (chars or 0) // 5 // GATHER + 1)
+    spread = texts.mapInArrow(partial(_spread, words=words, parts=parts, hot=hot), "part int, rows binary")
+    counted = spread.repartitionById(parts, "part").select("rows").mapInArrow(_counted, "t long, n int, hot int, shared int")
+    totals = counted.groupBy("t").agg(F.max("n").alias("n"), (F.max("hot") + F.sum("shared")).alias("shared"))
+    some = materialise(totals.where(100 * F.col("shared") >= percent * F.col("n")).select("t"), "with-partners")
+    return materialise(texts.join(broadcast_if_small(some), "t", "left_semi").dropDuplicates(["t"]), "near-texts"), hot
+
+
 def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(a, b): links of distinct texts, by ``text_key``, that span the groups.
 
     ``near``: (fp distinct) -> (a, b) pairs of fingerprints whose texts are worth comparing first.
     """
     spark = docs.sparkSession
-    texts = docs.select(text_key(F.col("text")).alias("t"), "text")
-    hot = _frequent(texts, words)
+    texts, hot = _with_partners(docs.select(text_key(F.col("text")).alias("t"), "text"), words, percent)
     prints = texts.mapInArrow(partial(_prints, words=words, percent=percent, hot=hot), "t long, n int, fp long, sketch binary, grams array<long>")
-    prints = materialise(prints.dropDuplicates(["t"]), "prints")
+    prints = materialise(prints, "prints")
     parts = max(partitions_for(docs), (prints.agg(F.sum(F.size("grams"))).first()[0] or 0) // GATHER + 1)
     rare = prints.select("t", "n", "grams").mapInArrow(partial(_dealt, parts=parts, hot=hot), "part int, rows binary")
     rare = rare.repartitionById(parts, "part").select("rows").mapInArrow(_shared, "gram long, n long, t long")
@@ -226,13 +312,14 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[Da
     common = prints.select(F.explode("grams").alias("gram"), F.col("n").cast("long").alias("n"), "t").join(F.broadcast(often), "gram", "left_semi")
     shared = materialise(rare.union(common.select("gram", "n", "t")), "shared")
 
-    pairs = shared.repartition("gram").sortWithinPartitions("gram", "n", "t").mapInArrow(partial(_chained, percent=percent), "a long, b long")
+    pairs = shared.repartition("gram").sortWithinPartitions("gram", "n", "t").mapInArrow(partial(_chained, percent=percent), "a long, b long, need int")
+    pairs = _often_enough(pairs)
     if near is not None:
         least = materialise(prints.groupBy("fp").agg(F.min("t").alias("least")), "least")
         same = prints.select("t", "fp").join(least, "fp").where("t <> least").select(F.least("t", "least").alias("a"), F.greatest("t", "least").alias("b"))
         at = lambda k: least.select(F.col("fp").alias(k), F.col("least").alias(f"t_{k}"))
         close = near(least.select("fp")).join(at("a"), "a").join(at("b"), "b").select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
-        pairs = pairs.union(same).union(close)
+        pairs = pairs.union(same).union(close).distinct()
     first = _verified(pairs, texts, prints, words, percent)
 
     rooted = shared.join(connected_components(first), shared["t"] == F.col("node"), "left").select("gram", "n", "t", F.coalesce("root", "t").alias("root"))
@@ -243,8 +330,13 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[Da
     rows = rooted.join(open_, "gram").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cell = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
     rows = rows.select("gram", cell.alias("cell"), "n", "t", "root", "block")
-    rest = rows.repartition("gram", "cell").sortWithinPartitions("gram", "cell", "n", "t").mapInArrow(partial(_compared, percent=percent), "a long, b long")
-    return first.union(_verified(rest, texts, prints, words, percent))
+    rest = rows.repartition("gram", "cell").sortWithinPartitions("gram", "cell", "n", "t").mapInArrow(partial(_compared, percent=percent), "a long, b long, need int")
+    return first.union(_verified(_often_enough(rest), texts, prints, words, percent))
+
+
+def _often_enough(pairs: DataFrame) -> DataFrame:
+    """The pairs that came up for as many shingles as they need."""
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.min("need").alias("need")).where("times >= need").select("a", "b")
 
 
 def components(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

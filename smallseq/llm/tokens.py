@@ -2,30 +2,30 @@
 
 The file's pipeline is: NFC, white space to one space, lower case; pieces by a pattern; bytes spelt as printable
 characters; BPE over a piece whose last character carries the word-end mark. White space never lies within a piece, so a
-text may be cut at white space first: each cut ("chunk") has its own tokens, and natural text repeats chunks. The caches
-below are bounded and only save time.
+text may be cut at white space first: each cut ("chunk") has its own tokens, and natural text repeats chunks. Chunks of
+printable ASCII are split here; all others go through the library's own normaliser and splitter, whose Unicode tables are
+not Python's. The caches below are bounded and only save time.
 """
 
 from __future__ import annotations
 
 import gc
 import json
-import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import regex
 
-#: Fixed values of the tokenizer file: piece pattern and the mark of a word's end.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Fixed values of the tokenizer file: piece pattern (as it reads on lower-case ASCII) and the mark of a word's end.
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 WORD_END = "</w>"
 #: What str.split() takes for white space although the file's pattern does not.
 _CONTROL_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
 _MARKS = frozenset(".,;:!?")
-#: Entries kept by each cache before it starts afresh.
-CACHE_ENTRIES = 200_000
+#: Entries kept by each cache before it starts afresh; characters of the longest chunk or piece that is kept.
+CACHE_ENTRIES, KEPT_LENGTH = 200_000, 256
 
 
 def byte_spelling() -> list[str]:
@@ -55,35 +55,49 @@ def load_file(path: str) -> dict:
         return json.load(f)
 
 
-def lowered(text: str) -> str:
-    """NFC and lower case, character by character (no special final sigma)."""
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+def load_library(path: str, model: bool = True):
+    """The library's tokenizer of a file, or only its normaliser and splitter. Its parallelism stays off: tasks share the cores."""
+    import os
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-def pieces_of(chunk: str) -> list[str]:
-    """The pieces of a normalised chunk; words and words before one mark, the usual cases, need no pattern."""
-    if chunk.isalpha():
-        return [chunk]
-    if chunk[-1] in _MARKS and chunk[:-1].isalpha():
-        return [chunk[:-1], chunk[-1]]
-    return PIECE.findall(chunk)
+    if model:
+        return Tokenizer.from_file(path)
+    spec = load_file(path)
+    return Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": spec["model"] | {"vocab": {}, "merges": []}}))
+
+
+def ascii_pieces(low: str) -> list[str]:
+    """The pieces of a lower-case chunk of printable ASCII; words before one mark, a usual case, need no pattern."""
+    if low.isalpha():
+        return [low]
+    if low[-1] in _MARKS and low[:-1].isalpha():
+        return [low[:-1], low[-1]]
+    return PIECE.findall(low)
 
 
 class ChunkEncoder:
     """Encodes whole texts by chunk, with a bounded chunk cache over a bounded piece cache.
 
-    ``encode_pieces`` maps new, normalised pieces to their token ids (little-endian, 32 bits). Special tokens in a text become their own ids, as
-    the library does by default.
+    ``encode_pieces`` maps new pieces, their bytes spelt as the file asks, to their token ids (little-endian, 32 bits).
+    Special tokens in a text become their own ids, as the library does by default.
     """
 
-    def __init__(self, specials: dict[str, int], encode_pieces: Callable[[list[str]], Iterable[bytes]], entries: int | None = None):
+    def __init__(self, library, specials: dict[str, int], encode_pieces: Callable[[list[str]], Iterable[bytes]], entries: int | None = None):
         self.entries = entries or CACHE_ENTRIES
         self.specials = specials
         self.encode_pieces = encode_pieces
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
+        self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def pieces_of(self, chunk: str) -> list[str]:
+        if chunk.isascii() and chunk.isprintable():
+            return ascii_pieces(chunk.lower())
+        return [piece for piece, _ in self.split(self.normalize(chunk))]
+
     def _learn(self, needed: set[str]) -> None:
         """Make all of these chunks known. A full cache starts afresh before, never between, what one call needs."""
         new = needed.difference(self.chunks)
@@ -92,17 +106,20 @@ class ChunkEncoder:
             new = needed
         if not new:
             return
-        order = list(new)
         get, slow = self.pieces.get, []
-        for chunk, low in zip(order, lowered("\n".join(order)).split("\n"), strict=True):
-            ids = get(low)  # what is known as a piece is that piece
-            if ids is None and low[-1] in _MARKS and low[:-1].isalpha():
-                stem, mark = get(low[:-1]), get(low[-1])
-                ids = stem + mark if stem and mark else None
-            if ids is None:
-                slow.append((chunk, pieces_of(low)))
+        for chunk in new:
+            if chunk.isascii() and chunk.isprintable():
+                low = chunk.lower()
+                ids = get(low)  # what is known as a piece is that piece
+                if ids is None and low[-1] in _MARKS and low[:-1].isalpha():
+                    stem, mark = get(low[:-1]), get(low[-1])
+                    ids = stem + mark if stem and mark else None
+                if ids is not None:
+                    self.chunks[chunk] = ids
+                    continue
+                slow.append((chunk, ascii_pieces(low)))
             else:
-                self.chunks[chunk] = ids
+                slow.append((chunk, self.pieces_of(chunk)))
         pieces = {p for _, parts in slow for p in parts}
         fresh = pieces.difference(self.pieces)
         if len(self.pieces) + len(fresh) > self.entries:
@@ -113,6 +130,9 @@ class ChunkEncoder:
         known = self.pieces.__getitem__
         for chunk, parts in slow:
             self.chunks[chunk] = known(parts[0]) if len(parts) == 1 else b"".join(map(known, parts))
+        for piece in order:
+            if len(piece) > KEPT_LENGTH:
+                del self.pieces[piece]
 
     def _chunks_of(self, text: str) -> list[str]:
         return _SPACE.split(text) if _CONTROL_SPACE.search(text) else text.split()
@@ -136,7 +156,11 @@ class ChunkEncoder:
         new.discard("")
         with no_cycles():
             self._learn(new)
-        return [self._join(parts) for parts in cut]
+        out = [self._join(parts) for parts in cut]
+        for chunk in new:
+            if len(chunk) > KEPT_LENGTH:
+                del self.chunks[chunk]
+        return out
 
     def _join(self, parts: list[tuple[bytes, list[str]]]) -> bytes:
         get = self.chunks.__getitem__

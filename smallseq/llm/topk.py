@@ -13,6 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import materialise, ship
 
 #: Rows of a tile's two sides, and lists merged at once. A tile's products are made in strips of STRIP queries.
 TILE_QUERIES, TILE_VECTORS, STRIP, FAN_IN = 2048, 4096, 256, 16
@@ -23,13 +26,16 @@ def _floored(flat: np.ndarray, scale: float) -> np.ndarray:
     return np.floor(flat.astype("f8") * scale)
 
 
-def _matrix(table: pa.Table, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and the floored matrix of a tile's side (its last two columns), by ascending id."""
-    ids = table.column(table.num_columns - 2).to_numpy()
+def _matrix(table: pa.Table, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, id, whether there is an id, floored matrix) of a tile's side, its last three columns; by id, then row, those
+    without an id last, so that a lower index wins a tie."""
+    row, named = table.column(table.num_columns - 3).to_numpy(), table.column(table.num_columns - 2)
+    has = named.is_valid().to_numpy()
+    ids = named.fill_null(0).to_numpy()
     flat = table.column(table.num_columns - 1).combine_chunks().flatten().to_numpy(zero_copy_only=False)
     m = _floored(flat, scale).reshape(len(ids), len(flat) // max(1, len(ids)))
-    order = np.argsort(ids, kind="stable")
-    return ids[order], m[order]
+    order = np.lexsort((row, ids, ~has))
+    return row[order], ids[order], has[order], m[order]
 
 
 def _strip_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -42,67 +48,65 @@ def _strip_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def tile_best(queries: pa.Table, vectors: pa.Table, k: int, scale: float) -> pa.Table:
-    """Each query's best k of one tile, ties to the smaller id."""
-    out_q, out_c, out_s = [], [], []
+    """Each query row's best k of one tile, ties to the smaller id."""
+    found: list[tuple[np.ndarray, ...]] = []
     if queries.num_rows and vectors.num_rows:
-        q_ids, q = _matrix(queries, scale)
-        c_ids, c = _matrix(vectors, scale)
-    else:  # a tile with one side only
-        q_ids = np.empty(0, "i8")
-    for at in range(0, len(q_ids), STRIP):
-        scores = _strip_scores(q[at : at + STRIP], c)
-        own = q_ids[at : at + STRIP]
-        for i, row in enumerate(scores):
-            pool = np.arange(len(c_ids))
-            if len(pool) > k + 1:  # the query itself may be among them
-                least = np.partition(row, len(row) - k - 1)[len(row) - k - 1]
-                above = np.flatnonzero(row > least)
-                level = np.flatnonzero(row == least)[: k + 1]
-                pool = np.concatenate([above, level])
-            pool = pool[c_ids[pool] != own[i]]
-            pool = pool[np.lexsort((c_ids[pool], ~row[pool]))][:k]  # ~ turns the order without overflow
-            out_q.append(np.full(len(pool), own[i]))
-            out_c.append(c_ids[pool])
-            out_s.append(row[pool])
-    cat = lambda xs: np.concatenate(xs) if xs else np.empty(0, "i8")
-    return pa.table({"query_id": pa.array(cat(out_q), pa.int64()), "vec_id": pa.array(cat(out_c), pa.int64()), "score": pa.array(cat(out_s), pa.int64())})
+        q_row, q_id, _, q = _matrix(queries, scale)
+        c_row, c_id, c_has, c = _matrix(vectors, scale)
+        for at in range(0, len(q_row), STRIP):
+            for i, score in enumerate(_strip_scores(q[at : at + STRIP], c), at):
+                pool = np.arange(len(c_row))
+                if len(pool) > k + 1:  # the query itself may be among them
+                    least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+                    above = np.flatnonzero(score > least)
+                    level = np.flatnonzero(score == least)[: k + 1]
+                    pool = np.concatenate([above, level])
+                pool = pool[c_row[pool] != q_row[i]]
+                pool = pool[np.lexsort((pool, ~score[pool]))][:k]  # ~ turns the order without overflow
+                found.append((np.full(len(pool), q_row[i]), np.full(len(pool), q_id[i]), c_row[pool], c_id[pool], c_has[pool], score[pool]))
+    q_row, q_id, c_row, c_id, has, score = map(np.concatenate, zip(*found, strict=True)) if found else [np.empty(0, "i8")] * 4 + [np.empty(0, bool), np.empty(0, "i8")]
+    return pa.table({"query_row": pa.array(q_row), "query_id": pa.array(q_id), "row": pa.array(c_row), "vec_id": pa.array(c_id, pa.int64(), mask=~has), "score": pa.array(score)})
 
 
 def usable(vectors: DataFrame, scale: float) -> DataFrame:
-    """(vec_id, embedding array<double>) of the rows that take part; rows that repeat a vec_id count once.
+    """(row, vec_id, embedding) of the rows that take part: every row for itself, also those that repeat an id or have none.
 
-    A null id, a null vector, or a null or non-finite component (scaled) leaves a row out. Of rows that share an id, the
-    smallest vector stands for all.
+    A null vector, or a null or non-finite component (scaled) leaves a row out. ``row`` numbers the rows once they are
+    written; floats travel as floats.
     """
-    e = F.col("embedding").cast("array<double>")
-    kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding")).where(
-        F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * F.lit(scale)) < F.lit(float("inf"))))
-    )
-    return kept.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    kind = vectors.schema["embedding"].dataType
+    e = F.col("embedding") if isinstance(kind.elementType, T.FloatType) else F.col("embedding").cast("array<double>")
+    whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * F.lit(scale)) < F.lit(float("inf"))))
+    kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding")).where(F.col("embedding").isNotNull() & whole)
+    return materialise(kept.select(F.monotonically_increasing_id().alias("row"), "vec_id", "embedding"), "vectors")
 
 
 def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20, scale: float = 64.0) -> DataFrame:
-    """(query_id, rank, vec_id, score): the exact k best of every query by inner product of floor(scale * x).
+    """(query_id, rank, vec_id, score): the exact k best of every query row by inner product of floor(scale * x).
 
-    Only vectors of one length are compared. Fewer than k candidates give all of them; no candidates, no rows.
+    Candidates are all other rows, those of the same id and those without one too; ties go to the smaller id, rows without
+    an id last. ``is_query`` reads ``vec_id``; query rows that repeat an id have a list each. Only vectors of one length
+    are compared. Fewer than k candidates give all of them; no candidates, no rows. Other columns are not read.
     """
+    ship(vectors.sparkSession)
     rows = usable(vectors, scale).withColumn("dim", F.size("embedding"))
     n, n_queries = rows.agg(F.count("*"), F.count_if(is_query)).first()
     shards, blocks = max(1, math.ceil(n / TILE_VECTORS)), max(1, math.ceil(n_queries / TILE_QUERIES))
-    place = lambda seed, m: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(m)).cast("int")
-    q = rows.where(is_query).select("dim", place(1, blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "vec_id", "embedding")
-    c = rows.select(F.col("dim").alias("c_dim"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("c_block"), place(2, shards).alias("c_shard"), F.col("vec_id").alias("c_vec_id"), F.col("embedding").alias("c_embedding"))
+    place = lambda seed, m: F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(m)).cast("int")
+    q = rows.where(is_query).select("dim", place(1, blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "row", "vec_id", "embedding")
+    c = rows.select(F.col("dim").alias("c_dim"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("c_block"), place(2, shards).alias("c_shard"), F.col("row").alias("c_row"), F.col("vec_id").alias("c_vec_id"), F.col("embedding").alias("c_embedding"))
 
     def best(key, left: pa.Table, right: pa.Table) -> pa.Table:
         found = tile_best(left, right, k, scale)
         return found.append_column("shard", pa.array([key[2].as_py()] * found.num_rows, pa.int32()))
 
-    lists = q.groupBy("dim", "block", "shard").cogroup(c.groupBy("c_dim", "c_block", "c_shard")).applyInArrow(best, "query_id long, vec_id long, score long, shard int")
+    lists = q.groupBy("dim", "block", "shard").cogroup(c.groupBy("c_dim", "c_block", "c_shard")).applyInArrow(best, "query_row long, query_id long, row long, vec_id long, score long, shard int")
+    order = (F.desc("score"), F.asc_nulls_last("vec_id"), "row")
     left = shards
     while left > 1:
         lists = lists.withColumn("shard", (F.col("shard") / FAN_IN).cast("int"))
-        w = Window.partitionBy("query_id", "shard").orderBy(F.desc("score"), "vec_id")
+        w = Window.partitionBy("query_row", "shard").orderBy(*order)
         lists = lists.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
         left = math.ceil(left / FAN_IN)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("query_row").orderBy(*order)
     return lists.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

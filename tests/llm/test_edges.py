@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from smallseq.llm import bpe, common, decontaminate, idstore, langid, linetree, recompress, repeats, simhash, suffixes, topk, urltree
 from smallseq.llm import queries as Q
@@ -48,17 +49,29 @@ def test_bpe_like_the_library(docs, none):
     assert back["text"] == "a</w>"
 
 
-def test_pieces_of_all_of_unicode():
-    """Both encoders agree with the library on every assigned character, alone and between letters."""
-    from tokenizers import Tokenizer
+def test_all_of_unicode_like_the_library():
+    """Both encoders agree with the library on every code point, assigned or not: alone, between letters, between marks."""
+    library = Tokenizer.from_file(Q.vocabulary())
+    encoders = bpe.RankArrayBpe(Q.vocabulary()), idstore.LibraryEncoder(Q.vocabulary())
+    points = [*range(0xD800), *range(0xE000, 0x32000), *range(0x32000, 0xE0000, 61), *range(0xE0000, 0xE0200), *range(0xE0200, 0x110000, 61)]
+    texts = [f"{c} a{c}b !{c}?" for c in map(chr, points)] + ["İI ŞS", "ΟΔΟΣ ΣΑΣ", "e\u0301 \u0301x", "'S 'Ll I'M'RE", "<|endoftext|>x <|startoftext|>"]
+    for at in range(0, len(texts), 20_000):
+        part = texts[at : at + 20_000]
+        want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(part, add_special_tokens=False)]
+        for encoder in encoders:
+            assert [ascii(t) for t, a, b in zip(part, encoder.encode(part), want, strict=True) if a != b] == []
+
 
-    lib, own = Tokenizer.from_file(Q.vocabulary()), bpe.RankArrayBpe(Q.vocabulary())
-    import unicodedata
+def test_a_long_word_takes_seconds():
+    import time
 
-    chars = [chr(c) for c in range(0x3000) if unicodedata.category(chr(c)) not in ("Cs", "Cn")]
-    texts = [f"{c} a{c}b{c}" for c in chars] + ["İI ŞS", "ΟΔΟΣ ΣΑΣ", "e\u0301 \u0301x", "'S 'Ll I'M'RE"]
-    for text, ids_, lib_ids in zip(texts, own.encode(texts), [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)], strict=True):
-        assert np.frombuffer(ids_, "<u4").tolist() == lib_ids, ascii(text)
+    library, own = Tokenizer.from_file(Q.vocabulary()), bpe.RankArrayBpe(Q.vocabulary())
+    for n in (100, 129, 5000, 1_000_000):
+        word = "".join(chr(97 + (i * i * 7919 + i * 31) % 26) for i in range(n))
+        start = time.time()
+        got = own.encode([word])[0]
+        assert time.time() - start < 60 and np.frombuffer(got, "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
+        assert not any(len(c) > 256 for c in own.encoder.chunks)
 
 
 def test_a_full_cache_loses_nothing(monkeypatch):
@@ -106,16 +119,17 @@ VECTORS = "vec_id long, embedding array<float>, query_id string, rank string, sc
 
 
 def test_top_k_edges(spark):
-    rows = [(0, [1.0, 2.0]), (20, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, None), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (None, [1.0, 1.0]), (7, [1.0]), (8, []), (2, [1.0, 2.0]), (40, [-0.001, 0.5])]
+    """Every row is a candidate but the query's own: rows that repeat an id, and rows without one (last of ties)."""
+    rows = [(0, [1.0, 2.0]), (20, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, None), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (None, [1.0, 2.0]), (7, [1.0]), (8, []), (2, [1.0, 2.0]), (2, [3.0, 2.0]), (40, [-0.001, 0.5]), (20, [1.0, 0.0])]
     df = spark.createDataFrame([(i, e, "q", "r", "s") for i, e in rows], VECTORS)
-    got = topk.top_k(df, topk.F.col("vec_id") % 20 == 0, k=3).collect()
-    full = {0: [1.0, 2.0], 20: [1.0, 2.0], 1: [1.0, 2.0], 2: [1.0, 2.0], 40: [-0.001, 0.5]}
-    want = set()
-    for q in (0, 20, 40):
-        score = lambda a, b: int((np.floor(64 * np.float64(np.float32(a))) * np.floor(64 * np.float64(np.float32(b)))).sum())
-        best = sorted((-score(full[q], full[c]), c) for c in full if c != q)[:3]
-        want |= {(q, n, c, -s) for n, (s, c) in enumerate(best, 1)}
-    assert {tuple(r) for r in got} == want
+    full = [(i, np.floor(64 * np.array(e, "f4").astype("f8"))) for i, e in rows if e and len(e) == 2 and all(x is not None and np.isfinite(x) for x in e)]
+    for k in (3, 7, 100):
+        want = []
+        for a, (q, x) in enumerate(full):
+            if q is not None and q % 20 == 0:
+                best = sorted((-int(x @ y), c is None, c or 0) for b, (c, y) in enumerate(full) if a != b)[:k]
+                want += [(q, n, None if none else c, -s) for n, (s, none, c) in enumerate(best, 1)]
+        assert sorted(map(tuple, topk.top_k(df, topk.F.col("vec_id") % 20 == 0, k=k).collect()), key=repr) == sorted(want, key=repr)
     assert topk.top_k(df.limit(0), topk.F.col("vec_id") % 20 == 0).collect() == []
 
 
@@ -284,7 +298,7 @@ def test_decontamination_edges(spark, docs, none):
 def test_decontamination_shuffled_like_broadcast(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(5, " ".join(f"w{i * 7919 % 30011}" for i in range(20)))], BENCH)
     one = sorted(map(repr, decontaminate.contamination(docs, bench).collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     assert sorted(map(repr, decontaminate.contamination(docs, bench).collect())) == one
 
 
@@ -479,3 +493,49 @@ def test_names_of_the_caller_do_not_clash(spark):
     bench = spark.createDataFrame([(1, "nothing of this")], BENCH)
     for out in (linetree.deduplicate(df, keep_first=True), decontaminate.clean(df, bench)):
         assert out.columns == df.columns and {tuple(r)[2:] for r in out.collect()} == {tuple(range(len(names)))}
+
+
+def _plain_scores(model, word):
+    """Scores of a word by the definition, letter by letter."""
+    import math
+
+    total = [0.0] * len(model.languages)
+    letters = 0
+    runs, last = [], None
+    for c in word.lower():
+        if not c.isalpha():
+            last = None
+            continue
+        script = next(n for s, n in reversed(langid.SCRIPT_STARTS) if s <= ord(c))
+        if script == last:
+            runs[-1][1].append(c)
+        else:
+            runs.append((script, [c]))
+        last = script
+    for script, run in runs:
+        letters += len(run)
+        padded = [" ", *run, " "]
+        grams = run + ["".join(padded[i : i + 3]) for i in range(len(run))]
+        fits = [bool(x) for x in model.scripts[langid.SCRIPTS.index(script)]]
+        score = [sum(float(model.logp[model.grams.get(g, len(model.grams))][k]) for g in grams) / 2 if f or not any(fits) else -math.inf for k, f in enumerate(fits)]
+        most = langid.CLIP * max(1, len(run) / langid.CLIP_LETTERS)
+        total = [t + max(x - max(score), -most) for t, x in zip(total, score, strict=True)]
+    return [max(t - max(total), -langid.CLIP * max(1, letters / langid.CLIP_LETTERS)) for t in total], letters
+
+
+def test_word_scores_by_the_definition(spark):
+    han = "".join(chr(0x4E00 + i * 37 % 900) for i in range(300))
+    rows = [(i, ["der die und das nicht", "the and of that with", "и не на что как", han][i % 4], ["de", "en", "ru", "zh"][i % 4]) for i in range(60)]
+    model = langid.train(spark.createDataFrame(rows + rows, "doc_id long, text string, lang string"))
+    words = ["the", "nicht", "что", "don't", "x1y", "42", "theund", "Как-the", han[:50], "the" + han[:7] + "и", "überстрасse", "a" * 300]
+    scores, letters = model._score(words)
+    for word, got, n in zip(words, scores, letters, strict=True):
+        want, count = _plain_scores(model, word)
+        assert n == count and got == pytest.approx(want, abs=2e-3), word
+    # a run without spaces wins its span, however many words stand around it
+    mixed = "the and of that with " * 4
+    text = spark.createDataFrame([(1, mixed + han + han + han + han + " " + mixed)], "doc_id long, text string")
+    assert [s["lang"] for s in langid.spans(text, model).first()["spans"]] == ["en", "zh", "en"]
+    assert langid.identify(text, model).first()["lang_pred"] == "zh"
+    many = [(i, "the and of", f"l{i % 90:02d}") for i in range(2000)]
+    assert len(langid.train(spark.createDataFrame(many, "doc_id long, text string, lang string")).languages) == 90
