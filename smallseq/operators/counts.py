@@ -54,6 +54,7 @@ def alignment_stats(reads: DataFrame) -> DataFrame:
     """Long form (library, stat, value) of the ten totals."""
     one = lambda cond, value: F.sum(F.when(cond, value).otherwise(F.lit(0.0)))
     some, single = F.col("n_features") > 0, F.col("n_features") == 1
+    # fixed values: the report's labels
     stats = {
         "Total Assigned Reads": F.sum("assigned"),
         "Total Unassigned Reads": F.sum("unassigned"),
@@ -75,6 +76,28 @@ def summary_stats(reads: DataFrame) -> DataFrame:
     return reads.groupBy("library").agg(F.count("*").alias("mapped_sequences"), F.sum(F.col("assigned") + F.col("unassigned")).alias("mapped_reads"), F.sum("assigned").alias("assigned_reads"), F.sum("read_count").alias("raw_reads"))
 
 
+def summary_report(summary: DataFrame, filtered: DataFrame | None = None, unique: DataFrame | None = None) -> DataFrame:
+    """Long form (stat, library, value) of the summary, with the filter's and the collapser's rows where they are known.
+
+    filtered: library, total_reads, retained_reads; unique: library, unique. A row that no library has is left out.
+    """
+    # fixed values: the report's labels
+    labels = {"Total Reads": "total_reads", "Retained Reads": "retained_reads", "Unique Sequences": "unique", "Mapped Sequences": "mapped_sequences", "Mapped Reads": "mapped_reads", "Assigned Reads": "assigned_reads"}
+    df = summary
+    for more in (filtered, unique):
+        if more is not None:
+            df = df.join(more, "library", "left")
+    shown = {label: c for label, c in labels.items() if c in df.columns}
+    wide = df.select("library", *[F.col(c).cast("double").alias(label) for label, c in shown.items()])
+    return wide.unpivot("library", list(shown), "stat", "value").where("value is not null").select("stat", "library", "value")
+
+
+def with_mapped_row(rule_counts: DataFrame, summary: DataFrame) -> DataFrame:
+    """(rule, library, count): counts by rule with each library's mapped reads as a last row."""
+    rows = rule_counts.select(F.col("rule_idx").cast("string").alias("rule"), "library", "count")
+    return rows.unionByName(summary.select(F.lit("Mapped Reads").alias("rule"), "library", F.col("mapped_reads").alias("count")))
+
+
 def nt_length(reads: DataFrame, assigned_only: bool, bases: tuple[str, ...] = ("A", "C", "G", "T")) -> DataFrame:
     """(library, length, A, C, G, T): reads by length and 5' base of their first alignment."""
     value = F.col("assigned") if assigned_only else F.col("assigned") + F.col("unassigned")

@@ -60,6 +60,11 @@ def replicate_pairs(libraries: DataFrame) -> DataFrame:
     return a.join(b, (F.col("grp") == F.col("g2")) & (F.col("rep1") < F.col("rep2"))).drop("g2")
 
 
+def replicate_counts(libraries: DataFrame) -> DataFrame:
+    """(grp, n, replicated): libraries of each group, and whether there are several."""
+    return libraries.groupBy("grp").agg(F.count("*").alias("n")).withColumn("replicated", F.col("n") > 1)
+
+
 def flipped(results: DataFrame) -> DataFrame:
     """The reverse comparison: fold change and statistic change sign."""
     swapped = results.withColumnsRenamed({"cond1": "__c"}).withColumnRenamed("cond2", "cond1").withColumnRenamed("__c", "cond2")

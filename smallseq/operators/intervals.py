@@ -5,41 +5,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bin width of the overlap join: at least the longest alignment, about the usual feature's length. Features that cover
-#: more than LONG bins lie on a second level of wider bins.
-BIN, LONG = 64, 64
-WIDTHS = (BIN, BIN * LONG * LONG)
+#: Bin widths of the overlap join: WIDTH * STEP ** level. An interval lies on the first level on which it is no longer than
+#: SPAN bins, so it covers few bins, and none that is much longer than itself.
+WIDTH, STEP, SPAN, LEVELS = 64, 4, 8, 16
 #: The interval side is broadcast up to so many rows (after binning); beyond, both sides are shuffled by bin.
 BROADCAST_ROWS = 500_000
 
 
-def _bins(start: str, end: str, level: int) -> Column:
-    """The bins of a level that [start, end) covers, as array<struct<level, bin>>."""
-    width = WIDTHS[level]
-    bins = F.sequence(F.floor(F.col(start) / width), F.floor((F.greatest(F.col(end), F.col(start) + 1) - 1) / width))
-    return F.transform(bins, lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin")))
+def _level(start: str, end: str) -> Column:
+    length = F.col(end) - F.col(start)
+    tests = [F.when(length <= WIDTH * SPAN * STEP**k, k) for k in range(LEVELS)]
+    return F.coalesce(*tests, F.lit(LEVELS))
+
+
+def _bins(start: str, end: str, width: Column) -> Column:
+    return F.sequence(F.floor(F.col(start) / width), F.floor((F.greatest(F.col(end), F.col(start) + 1) - 1) / width))
+
+
+def _places(start: str, end: str, levels: list[int]) -> Column:
+    """The bins that [start, end) covers on these levels, as array<struct<level, bin>>."""
+
+    def on(level: int) -> Column:
+        return F.transform(_bins(start, end, F.lit(WIDTH * STEP**level)), lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin")))
+
+    return F.concat(F.array().cast("array<struct<level:int,bin:bigint>>"), *[on(k) for k in levels])
 
 
 def interval_join(left: DataFrame, right: DataFrame, small: bool | None = None) -> DataFrame:
     """Pairs with equal chrom whose [s, e) and [fs, fe) overlap by at least one base.
 
     Both sides go to one row for each bin they cover, meet on (chrom, level, bin), and a pair is kept in its first common
-    bin only, so that nothing has to be made distinct. An interval lies on the level that suits its length, so a long one
-    takes wide bins instead of many; the other side is looked up on both levels in the one join.
-    ``small``: whether the interval side may be broadcast; None counts it first.
+    bin only, so that nothing has to be made distinct. An interval of the right side lies on the level that suits its
+    length; the left side is looked up on the levels that the right side has (one aggregate counts them and their bins).
+    ``small``: whether the interval side may be broadcast; None lets the count of its binned rows decide.
     """
-    right = right.where(F.col("fe") > F.col("fs"))
+    right = right.where(F.col("fe") > F.col("fs")).withColumn("__level", _level("fs", "fe"))
+    right = right.withColumn("__width", F.element_at(F.lit([WIDTH * STEP**k for k in range(LEVELS + 1)]), F.col("__level") + 1))
+    right = right.withColumn("__bins", _bins("fs", "fe", F.col("__width")))
+    found = dict(right.groupBy("__level").agg(F.sum(F.size("__bins"))).collect())  # LEVELS + 1 rows at most
     if small is None:
-        bins = F.floor(F.least(F.col("fe") - F.col("fs"), F.lit(BIN * LONG)) / BIN) + 2
-        small = (right.agg(F.sum(bins)).first()[0] or 0) <= BROADCAST_ROWS
-    long = (F.col("fe") - F.col("fs")) > BIN * LONG
-    a = left.withColumn("__at", F.explode(F.concat(_bins("s", "e", 0), _bins("s", "e", 1))))
-    f = right.withColumn("__fat", F.explode(F.when(long, _bins("fs", "fe", 1)).otherwise(_bins("fs", "fe", 0)))).withColumnRenamed("chrom", "__fchrom")
-    width = F.when(F.col("__at.level") == 0, WIDTHS[0]).otherwise(WIDTHS[1])
-    first = F.greatest(F.floor(F.col("s") / width), F.floor(F.col("fs") / width))
-    same = (F.col("chrom") == F.col("__fchrom")) & (F.col("__at.level") == F.col("__fat.level")) & (F.col("__at.bin") == F.col("__fat.bin"))
-    on = same & (F.col("s") < F.col("fe")) & (F.col("fs") < F.col("e")) & (F.col("__at.bin") == first)
-    return a.join(F.broadcast(f) if small else f, on).drop("__at", "__fat", "__fchrom")
+        small = sum(found.values()) <= BROADCAST_ROWS
+    f = right.select("*", F.explode("__bins").alias("__bin")).drop("__bins").withColumnRenamed("chrom", "__fchrom")
+    a = left.withColumn("__at", F.explode(_places("s", "e", sorted(found))))
+    first = F.greatest(F.floor(F.col("s") / F.col("__width")), F.floor(F.col("fs") / F.col("__width")))
+    same = (F.col("chrom") == F.col("__fchrom")) & (F.col("__at.level") == F.col("__level")) & (F.col("__at.bin") == F.col("__bin"))
+    on = same & (F.col("s") < F.col("fe")) & (F.col("fs") < F.col("e")) & (F.col("__bin") == first)
+    return a.join(F.broadcast(f) if small else f, on).drop("__at", "__bin", "__level", "__width", "__fchrom")
 
 
 def shifted(fs: Column, fe: Column, strand: Column, five: Column, three: Column) -> tuple[Column, Column]:

@@ -53,6 +53,10 @@ def outgroup(averages: DataFrame, results: DataFrame, cutoff: float = 0.05) -> D
     return averages.join(significant(results, cutoff).select(*GENE).distinct(), GENE, "left_anti")
 
 
+def ingroup(averages: DataFrame, results: DataFrame, cutoff: float = 0.05) -> DataFrame:
+    return averages.join(significant(results, cutoff).select(*GENE).distinct(), GENE, "left_semi")
+
+
 def padj_table(results: DataFrame, comparisons: list[str]) -> DataFrame:
     return results.withColumn("comparison", F.concat_ws("_vs_", "cond1", "cond2")).groupBy(*GENE).pivot("comparison", comparisons).agg(F.first("padj"))
 

@@ -119,11 +119,12 @@ def shared_chroms(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select("chrom").intersect(right.select("chrom"))
 
 
-def strandedness(pairs: DataFrame, sample: int = 20_000) -> DataFrame:
+def strandedness(pairs: DataFrame, sample: int | None = 20_000) -> DataFrame:
     """(same_strand, share) over a bounded sample of overlapping pairs: whether a library keeps its strand.
 
-    A probe of a library's kind, not a count: ``sample`` bounds it on purpose.
+    A probe of a library's kind, not a count: ``sample`` bounds it on purpose; None takes all pairs.
     """
-    rows = pairs.where("strand is not null").select((F.col("fwd") == F.col("strand")).alias("same_strand")).limit(sample)
-    counted = rows.groupBy("same_strand").agg(F.count("*").alias("n"))
-    return counted.select("same_strand", (F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))).alias("share"))
+    rows = pairs.where("strand is not null").select((F.col("fwd") == F.col("strand")).alias("same_strand"))
+    counted = (rows if sample is None else rows.limit(sample)).groupBy("same_strand").agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n").alias("total"))
+    return counted.crossJoin(F.broadcast(total)).select("same_strand", (F.col("n") / F.col("total")).alias("share"))

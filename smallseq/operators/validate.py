@@ -45,16 +45,22 @@ def check_sequences(ref_seqs: DataFrame) -> None:
         raise ValueError("; ".join(f"{r['seq_id']}: {r['issue']}" for r in issues))
 
 
+def order_by_file(header: DataFrame) -> DataFrame:
+    """(file, together): whether a header tells that a read's alignments are adjacent; null if it does not say.
+
+    Sorted or grouped by name: yes; by coordinate: no; otherwise by the last program's aligner.
+    """
+    tag = lambda record, key: F.max_by(F.when(F.col("record") == record, F.col("tags")[key]), F.when(F.col("record") == record, F.col("line_no") if "line_no" in header.columns else F.lit(0)))
+    rows = header.groupBy("file").agg(tag("HD", "SO").alias("so"), tag("HD", "GO").alias("go"), tag("PG", "ID").alias("program"))
+    known = F.when((F.col("so") == "queryname") | (F.col("go") == "query"), True).when((F.col("so") == "coordinate") | (F.col("go") == "reference"), False)
+    return rows.select("file", known.when(F.lower("program").isin(*sorted(ORDERED_BY)), True).alias("together"))
+
+
 def check_order(header: DataFrame) -> None:
     """Raises if a header says that a read's alignments are not adjacent. Grouping by name does not need them to be."""
-    rows = {r["record"]: r["tags"] for r in header.where("record in ('HD', 'PG')").orderBy("line_no").collect()}
-    hd = rows.get("HD") or {}
-    if hd.get("SO") == "queryname" or hd.get("GO") == "query":
-        return
-    if hd.get("SO") == "coordinate" or hd.get("GO") == "reference":
-        raise ValueError("alignments are sorted by coordinate")
-    if (rows.get("PG") or {}).get("ID", "").lower() not in ORDERED_BY:
-        raise ValueError("the order of alignments cannot be told")
+    bad = order_by_file(header).where("not coalesce(together, false)").orderBy(F.asc_nulls_last("together")).head()
+    if bad is not None:
+        raise ValueError("the order of alignments cannot be told" if bad["together"] is None else "alignments are sorted by coordinate")
 
 
 def check_features(matches: DataFrame) -> None:

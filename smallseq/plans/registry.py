@@ -11,7 +11,7 @@ from ..durable import durable
 from ..functions import seq as S
 from ..operators import counts as C
 from ..operators import dge, intervals, plotdata, reads, reference, select
-from ..rules import Rule
+from ..rules import Rule, rule_table
 from . import bridge as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def _reads(spark, sf) -> DataFrame:
     return C.by_read(_per_alignment(spark, sf))
 
 
+def _both(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(counts, reads) of one assignment, which is written once."""
+    assigned = durable(_assigned(spark, sf))
+    return C.feature_counts(assigned), C.by_read(C.by_alignment(select.with_loci(B.alignments(spark, sf)), assigned))
+
+
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: R(F.col(c)) for c in cols})
 
@@ -191,9 +197,10 @@ def zero_filled_counts(spark, sf):
 @query(f"""WITH {CTES}, f AS (SELECT library, sum(count) AS feature_sum FROM counts GROUP BY library), r AS (SELECT library, sum(fcorr / n_rules) AS rule_sum FROM sel GROUP BY library), a AS (SELECT library, sum(assigned) AS assigned_reads FROM reads GROUP BY library)
 SELECT library, round(assigned_reads, 6) AS assigned_reads, round(feature_sum, 6) AS feature_sum, round(rule_sum, 6) AS rule_sum, abs(feature_sum - assigned_reads) < 1 AND abs(rule_sum - assigned_reads) < 1 AS agree FROM a JOIN f USING (library) JOIN r USING (library)""")
 def stats_check(spark, sf):
-    assigned = _assigned(spark, sf)
+    assigned = durable(_assigned(spark, sf))
     rules = C.rule_counts(assigned, B.rules(spark), B.libraries(spark, sf))
-    return _rounded(C.stats_check(C.feature_counts(assigned), rules, C.summary_stats(_reads(spark, sf))), "assigned_reads", "feature_sum", "rule_sum")
+    by_read = C.by_read(C.by_alignment(select.with_loci(B.alignments(spark, sf)), assigned))
+    return _rounded(C.stats_check(C.feature_counts(assigned), rules, C.summary_stats(by_read)), "assigned_reads", "feature_sum", "rule_sum")
 
 
 # ---- the interval side ----------------------------------------------------------------------------------------------
@@ -288,7 +295,7 @@ def collapse_threshold(spark, sf):
     return both.groupBy("library", "above").agg(F.count("*").alias("n"), F.sum("read_count").alias("reads"))
 
 
-@query(f"SELECT library, CAST(name AS STRING) AS name, row_key, unnest(range(1, read_count + 1)) AS copy FROM ({B.ALN.format(lineitem='lineitem')}) a WHERE name % 5 = 0")
+@query(f"SELECT library, CAST(name AS STRING) AS name, row_key, unnest(range(1, read_count + 1)) AS copy FROM ({B.ALN.format(lineitem='lineitem')}) a")
 def decollapse(spark, sf):
     aln = B.alignments(spark, sf).withColumn("name", F.concat(F.col("name").cast("string"), F.lit("_count="), F.col("read_count")))
     return reads.decollapse(aln).select("library", "name", "row_key", "copy")
@@ -340,7 +347,11 @@ def kmer_align(spark, sf):
     return reads.align(probes, genome, seed=18).select("seq_id", "chrom", "s", "e", "fwd")
 
 
-@query(_PLACES + " SELECT DISTINCT q.seq_id, chrom, s, fwd, hamming(q, w) AS nm FROM q, k WHERE q.seq_id <= 40 AND hamming(q, w) <= 2")
+# at two mismatches one of three pieces is equal: three equi-joins
+_CLOSE = " UNION ".join(f"SELECT q.seq_id, chrom, s, fwd, hamming(q, w) AS nm FROM q JOIN k ON substring(q, {i}, 6) = substring(w, {i}, 6) WHERE hamming(q, w) <= 2" for i in (1, 7, 13))
+
+
+@query(f"{_PLACES} {_CLOSE}")
 def kmer_align_mismatch(spark, sf):
     probes, genome = _probe_rows(spark, sf)
     return reads.align(probes, genome, mismatches=2, seed=6).select("seq_id", "chrom", "s", "fwd", F.col("nm").cast("long").alias("nm"))
@@ -359,7 +370,8 @@ _NORM = "CASE WHEN library LIKE 'g0%' THEN 'RPM' WHEN library LIKE 'g1%' THEN '2
 @query(f"WITH {CTES}, m AS (SELECT library, sum(assigned + unassigned) AS mapped FROM reads GROUP BY library) SELECT library, feature_id, classifier, round(count / CASE WHEN library LIKE 'g0%' THEN mapped / 1e6 WHEN library LIKE 'g1%' THEN 2.5 ELSE 1 END, 6) AS count FROM counts JOIN m USING (library)")
 def norm_counts(spark, sf):
     libraries = B.libraries(spark, sf).withColumn("norm", F.expr(_NORM))
-    return _rounded(C.normalized(_counts(spark, sf), libraries, C.summary_stats(_reads(spark, sf))), "count")
+    counts, by_read = _both(spark, sf)
+    return _rounded(C.normalized(counts, libraries, C.summary_stats(by_read)), "count")
 
 
 _INT = "ic AS (SELECT library, feature_id, classifier, CAST(trunc(coalesce(count, 0) + 1e-9) AS BIGINT) AS count FROM (SELECT DISTINCT feature_id, classifier FROM fm) CROSS JOIN (SELECT DISTINCT library FROM aln) LEFT JOIN counts USING (library, feature_id, classifier))"
@@ -427,14 +439,36 @@ def _wald(spark, sf):
     return normalized, dge.wald_tests(normalized, groups, comparisons)
 
 
-@query()
+_WALD = f"""WITH {CTES}, {_INT}, {_SF}, nc AS (SELECT split_part(library, '_rep_', 1) AS grp, feature_id, classifier, count / size_factor AS x FROM ic JOIN sf USING (library)),
+st AS (SELECT feature_id, classifier, grp, avg(x) AS mean, coalesce(var_samp(x), 0) AS var, count(*) AS n FROM nc GROUP BY ALL),
+ge AS (SELECT feature_id, classifier, avg(x) AS baseMean FROM nc GROUP BY ALL),
+po AS (SELECT feature_id, classifier, sum(var * (n - 1)) / greatest(sum(n - 1), 1) AS var FROM st GROUP BY ALL),
+ra AS (SELECT feature_id, classifier, baseMean, greatest((var - baseMean) / (baseMean * baseMean + 1e-12::DOUBLE), 1e-8::DOUBLE) AS raw FROM ge JOIN po USING (feature_id, classifier)),
+fi AS (SELECT regr_slope(raw, 1 / baseMean) AS slope, regr_intercept(raw, 1 / baseMean) AS icept FROM ra WHERE baseMean > 0),
+di AS (SELECT feature_id, classifier, baseMean, exp((ln(raw) + ln(greatest(coalesce(icept, 0.1) + coalesce(slope, 0) / greatest(baseMean, 1e-12::DOUBLE), 1e-8::DOUBLE))) / 2) AS d FROM ra, fi),
+wi AS (SELECT cond1, cond2, a.feature_id, a.classifier, baseMean, (ln(b.mean + 0.5) - ln(a.mean + 0.5)) / ln(2.0::DOUBLE) AS lfc, sqrt((1 / (a.mean + 0.5) + d) / a.n + (1 / (b.mean + 0.5) + d) / b.n) / ln(2.0::DOUBLE) AS se
+  FROM (VALUES ('g0', 'g1'), ('g0', 'g2')) c(cond1, cond2) JOIN st a ON a.grp = cond1 JOIN st b ON b.grp = cond2 AND b.feature_id = a.feature_id AND b.classifier = a.classifier
+  JOIN di ON di.feature_id = a.feature_id AND di.classifier = a.classifier),
+tt AS (SELECT *, lfc / se AS stat, 1 / (1 + 0.2316419::DOUBLE * abs(lfc / se)) AS t FROM wi),
+pv AS (SELECT *, CASE WHEN baseMean > 0 THEN least(1.0, 2 * exp(-stat * stat / 2) / sqrt(2 * pi()) * t * (0.319381530::DOUBLE + t * (-0.356563782::DOUBLE + t * (1.781477937::DOUBLE + t * (-1.821255978::DOUBLE + t * 1.330274429::DOUBLE))))) END AS p FROM tt),
+bh AS (SELECT *, p * count(p) OVER (PARTITION BY cond2) / (rank() OVER (PARTITION BY cond2, p IS NULL ORDER BY p) + count(*) OVER (PARTITION BY cond2, p) - 1) AS q FROM pv),
+res AS (SELECT cond1, cond2, feature_id, classifier, baseMean, lfc, se, stat, p, CASE WHEN p IS NOT NULL THEN least(1.0, min(q) OVER (PARTITION BY cond2, p IS NULL ORDER BY p DESC RANGE UNBOUNDED PRECEDING)) END AS padj FROM bh)"""
+_SHOWN = "feature_id, classifier, round(baseMean, 3) AS baseMean, round({0}lfc + 0.0, 3) + 0.0 AS log2FoldChange, round(se, 3) AS lfcSE, round({0}stat + 0.0, 3) + 0.0 AS stat, round(p, 3) AS pvalue, round(padj, 3) AS padj FROM res"
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    names = ("baseMean", "log2FoldChange", "lfcSE", "stat", "pvalue", "padj")
+    return df.withColumns({c: F.round(F.col(c), 3) + 0.0 for c in names})
+
+
+@query(f"{_WALD} SELECT cond1, cond2, {_SHOWN.format('')}")
 def wald_dge(spark, sf):
-    return _wald(spark, sf)[1]
+    return _shown(_wald(spark, sf)[1])
 
 
-@query()
+@query(f"{_WALD} SELECT cond2 AS cond1, cond1 AS cond2, {_SHOWN.format('-')}")
 def dge_flipped(spark, sf):
-    return dge.flipped(_wald(spark, sf)[1])
+    return _shown(dge.flipped(_wald(spark, sf)[1]))
 
 
 @query()
@@ -458,13 +492,16 @@ SELECT library, {label}, round(proportion, 6) AS proportion FROM p UNION ALL SEL
 
 @query(_share_sql("classifier", "SELECT library, classifier, sum(count) AS count FROM counts GROUP BY ALL", "_UNASSIGNED_"))
 def class_props(spark, sf):
-    return _rounded(plotdata.proportions(plotdata.class_counts(_counts(spark, sf)), C.summary_stats(_reads(spark, sf)), "classifier"), "proportion")
+    counts, by_read = _both(spark, sf)
+    return _rounded(plotdata.proportions(plotdata.class_counts(counts), C.summary_stats(by_read), "classifier"), "proportion")
 
 
 @query(_share_sql("rule_idx", "SELECT library, rule_idx, coalesce(sum(fcorr / n_rules), 0) AS count FROM (SELECT DISTINCT library FROM aln) CROSS JOIN (SELECT rule_idx FROM rules) LEFT JOIN sel USING (library, rule_idx) GROUP BY ALL", "N"))
 def rule_props(spark, sf):
-    counts = C.rule_counts(_assigned(spark, sf), B.rules(spark), B.libraries(spark, sf))
-    return _rounded(plotdata.proportions(counts, C.summary_stats(_reads(spark, sf)), "rule_idx", unassigned="N"), "proportion")
+    assigned = durable(_assigned(spark, sf))
+    counts = C.rule_counts(assigned, B.rules(spark), B.libraries(spark, sf))
+    by_read = C.by_read(C.by_alignment(select.with_loci(B.alignments(spark, sf)), assigned))
+    return _rounded(plotdata.proportions(counts, C.summary_stats(by_read), "rule_idx", unassigned="N"), "proportion")
 
 
 _AVG = f"WITH {CTES}, z AS (SELECT library, feature_id, classifier, coalesce(count, 0) AS count FROM (SELECT DISTINCT feature_id, classifier FROM fm) CROSS JOIN (SELECT DISTINCT library FROM aln) LEFT JOIN counts USING (library, feature_id, classifier)), av AS (SELECT feature_id, classifier, split_part(library, '_rep_', 1) AS grp, avg(count) AS count FROM z GROUP BY ALL)"
@@ -520,18 +557,35 @@ def r_safe_names(spark, sf):
 
 @query("SELECT p_brand AS name, row_number() OVER (ORDER BY split_part(p_brand, '#', 1), CAST(split_part(p_brand, '#', 2) AS INT)) AS n FROM (SELECT DISTINCT p_brand FROM part)")
 def natural_sort(spark, sf):
+    """Class names in their order (one row for each distinct name, sorted within one array)."""
     names = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_brand").alias("name")).distinct()
-    return names.withColumn("n", F.row_number().over(Window.orderBy(S.natural_key(F.col("name")))).cast("long"))
+    order = names.agg(F.array_sort(F.collect_set(F.struct(S.natural_key(F.col("name")).alias("key"), "name"))).alias("x"))
+    return order.select(F.posexplode("x").alias("n", "x")).select("x.name", (F.col("n") + 1).cast("long").alias("n"))
 
 
-@query("SELECT c_mktsegment, c_nationkey, min(c_custkey) AS c_custkey FROM customer GROUP BY ALL")
+@query("SELECT min(n_nationkey) AS rule_idx, CAST(n_regionkey AS VARCHAR) AS val, CAST(arg_min(n_nationkey % 7, n_nationkey) AS INT) AS hierarchy FROM nation GROUP BY n_regionkey")
 def dup_rules(spark, sf):
-    """The first of the rows that agree in all selectors."""
-    w = Window.partitionBy("c_mktsegment", "c_nationkey").orderBy("c_custkey")
-    rows = spark.read.parquet(f"{sf}/customer.parquet").select("c_mktsegment", "c_nationkey", "c_custkey")
-    return rows.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
+    """A sheet of one rule for each nation; of those that differ in their hierarchy alone the first stays."""
+    nations = spark.read.parquet(f"{sf}/nation.parquet").select("n_nationkey", "n_regionkey").orderBy("n_nationkey").collect()
+    return rule_table(spark, [Rule("region", str(r[1]), "c", hierarchy=r[0] % 7) for r in nations]).select(F.col("rule_idx").cast("long").alias("rule_idx"), "val", "hierarchy")
+
 
+#: What the sheet of the bridge means, written out by hand: the check of the parser.
+_PARSED = """SELECT * FROM (VALUES
+ (0, 'class', 'small', 'little', 1, 'nested', 0, 0, TRUE, NULL, NULL),
+ (1, 'class', 'hot', 'hot', 2, 'partial', 0, 0, FALSE, NULL, NULL),
+ (2, 'class', 'red', 'red', 2, 'anchored', 0, 0, NULL, NULL, NULL),
+ (3, 'brand', 'brand#4', 'b4', 1, '5'' anchored', -3, 2, NULL, NULL, NULL),
+ (4, 'brand', NULL, 'any brand', 3, '3'' anchored', 0, 0, NULL, 'A,T', NULL),
+ (5, 'class', 'blue', 'blue', 3, 'partial', -2, 5, NULL, NULL, '15,16,17,18,19,20,25'),
+ (6, NULL, NULL, 'rest', 5, 'nested', 0, 0, NULL, 'C,G', '18,19,20,21,22,23,24,25,26,27,28,29,30,31,32'),
+ (7, 'class', 'blue', 'blue too', 3, 'partial', 0, 0, NULL, NULL, '15,16,17,18,19,20,21,22,23,24')
+) v(rule_idx, key, val, classifier, hierarchy, overlap, shift5, shift3, sense, nts, lengths)"""
 
-@query(f"WITH {CTES} SELECT rule_idx, key, val, classifier, hierarchy, overlap, shift5, shift3, sense, array_to_string(nts, ',') AS nts, array_to_string(lengths, ',') AS lengths FROM rules")
+
+@query(_PARSED)
 def parsed_rules(spark, sf):
-    return B.rules(spark).select("rule_idx", "key", "val", "classifier", "hierarchy", "overlap", "shift5", "shift3", "sense", F.array_join("nts", ",").alias("nts"), F.array_join(F.col("lengths").cast("array<string>"), ",").alias("lengths"))
+    return B.rules(spark).select("rule_idx", "key", "val", "classifier", "hierarchy", "overlap", "shift5", "shift3", "sense", F.array_join(F.array_sort("nts"), ",").alias("nts"), F.array_join(F.col("lengths").cast("array<string>"), ",").alias("lengths"))
+
+
+from . import files  # noqa: E402, F401  (registers the queries that go through files)

@@ -1,28 +1,41 @@
-"""BAM files: BGZF blocks are inflated and records decoded in Arrow batches, one task for each file."""
+"""BAM files: blocks are inflated and records decoded as a stream, in Arrow batches, one task for each file.
+
+A file comes as one value of Spark's binary source, which bounds it to 2 GB compressed; larger ones raise there. What is
+inflated is never held whole.
+"""
 
 from __future__ import annotations
 
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import partial
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
+from ..durable import ship
 from . import textual
 
 #: Fixed values of the format: base codes and CIGAR operations.
 BASES, OPERATIONS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
-_BATCH = 10_000
+_BATCH, _PIECE = 10_000, 1 << 16
 
 
-def inflate(raw: bytes) -> Iterator[bytes]:
-    while raw:
-        d = zlib.decompressobj(31)
-        yield d.decompress(raw)
-        raw = d.unused_data
+def inflate(raw: bytes | memoryview) -> Iterator[bytes]:
+    """The contents of a file's gzip members, in pieces; each byte is looked at once."""
+    view, at = memoryview(raw), 0
+    while at < len(view):
+        member = zlib.decompressobj(31)
+        while not member.eof and at < len(view):
+            part = view[at : at + _PIECE]
+            out = member.decompress(part)
+            at += len(part) - len(member.unused_data)
+            if out:
+                yield out
 
 
 def _int_tags(raw: bytes) -> str:
@@ -36,53 +49,73 @@ def _int_tags(raw: bytes) -> str:
     return ""
 
 
-def records(raw: bytes) -> Iterator[tuple]:
-    """(name, flag, chrom, pos 0-based, cigar, seq, NM tag) of a whole file's records, in order."""
-    data = b"".join(inflate(raw))
-    if data[:4] != b"BAM\1":
+class _Stream:
+    """Bytes of inflated blocks, taken as they are needed."""
+
+    def __init__(self, blocks: Iterator[bytes]):
+        self.blocks, self.held, self.at = blocks, b"", 0
+
+    def take(self, n: int) -> bytes:
+        """The next n bytes; fewer only at the end."""
+        while len(self.held) - self.at < n:
+            more = next(self.blocks, None)
+            if more is None:
+                break
+            self.held, self.at = self.held[self.at :] + more, 0
+        out = self.held[self.at : self.at + n]
+        self.at += len(out)
+        return out
+
+
+def header(stream: _Stream) -> list[str]:
+    """Names of the reference sequences; the stream is then at the first record."""
+    if stream.take(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", data, 4)[0]
-    n_ref = struct.unpack_from("<i", data, at)[0]
-    at += 4
+    stream.take(struct.unpack("<i", stream.take(4))[0])
     names = []
-    for _ in range(n_ref):
-        size = struct.unpack_from("<i", data, at)[0]
-        names.append(data[at + 4 : at + 3 + size].decode())
-        at += 8 + size
-    while at < len(data):
-        size, ref, pos, l_name, _, _, n_cigar, flag, l_seq = struct.unpack_from("<iiiBBHHHi", data, at)
-        body = at + 36
-        name = data[body : body + l_name - 1].decode()
-        cigar_at = body + l_name
+    for _ in range(struct.unpack("<i", stream.take(4))[0]):
+        size = struct.unpack("<i", stream.take(4))[0]
+        names.append(stream.take(size)[:-1].decode())
+        stream.take(4)
+    return names
+
+
+def records(raw: bytes | memoryview) -> Iterator[tuple]:
+    """(name, flag, chrom, pos 0-based, cigar, seq, NM tag) of a whole file's records, in order."""
+    stream = _Stream(inflate(raw))
+    names = header(stream)
+    while len(size := stream.take(4)) == 4:
+        data = stream.take(struct.unpack("<i", size)[0])
+        ref, pos, l_name, _, _, n_cigar, flag, l_seq = struct.unpack_from("<iiBBHHHi", data)
+        cigar_at = 32 + l_name
         ops = struct.unpack_from(f"<{n_cigar}I", data, cigar_at)
         seq_at = cigar_at + 4 * n_cigar
         packed = data[seq_at : seq_at + (l_seq + 1) // 2]
         seq = "".join(BASES[b >> 4] + BASES[b & 15] for b in packed)[:l_seq]
-        tags = data[seq_at + len(packed) + l_seq : at + 4 + size]
-        yield name, flag, names[ref] if ref >= 0 else "*", pos, "".join(f"{x >> 4}{OPERATIONS[x & 15]}" for x in ops) or "*", seq, _int_tags(tags)
-        at += 4 + size
+        tags = data[seq_at + len(packed) + l_seq :]
+        yield data[32 : 31 + l_name].decode(), flag, names[ref] if ref >= 0 else "*", pos, "".join(f"{x >> 4}{OPERATIONS[x & 15]}" for x in ops) or "*", seq, _int_tags(tags)
+
+
+_DDL = "row_key long, name string, flag int, chrom string, s long, cigar string, seq string, tag string"
+_KINDS = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """(content) of whole files -> their records, or the first ``limit`` of each."""
+    names = [x.split(" ")[0] for x in _DDL.split(", ")]
+    for batch in batches:
+        for raw in batch.column(0):
+            found = islice(enumerate(records(raw.as_buffer())), limit)
+            while held := [(i, *r) for i, r in islice(found, _BATCH)]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), _KINDS, strict=True)], names)
 
 
 def alignments(spark: SparkSession, path: str, library: str) -> DataFrame:
     """Mapped alignments of a BAM file, like ``textual.alignments``."""
-    ddl = "row_key long, name string, flag int, chrom string, s long, cigar string, seq string, tag string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
-        names = [x.split(" ")[0] for x in ddl.split(", ")]
-        for batch in batches:
-            for raw in batch.column(0):
-                held: list[tuple] = []
-                for i, r in enumerate(records(raw.as_buffer().to_pybytes())):
-                    held.append((i, *r))
-                    if len(held) == _BATCH:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
-                        held = []
-                if held:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
-
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ddl)
-    first = rows.orderBy("row_key").head()
+    ship(spark)
+    files = spark.read.format("binaryFile").load(path).select("content")
+    rows = files.mapInArrow(_decoded, _DDL)
+    first = files.mapInArrow(partial(_decoded, limit=1), _DDL).head()  # decodes one record
     if first is None:
         raise ValueError(f"alignment file is empty: {path}")
     if not first["seq"]:

@@ -66,7 +66,12 @@ def read_samples(path: str | Path) -> list[Sample]:
     """Samples of a sheet, files relative to it; rows that repeat one whole are read once."""
     base = Path(path).resolve().parent
     found = [Sample(str(base / r["file"]), r["group"], r["replicate"], r["control"].lower() in ("t", "true", "1", "yes"), r["norm"]) for r in read_sheet(path, SAMPLES)]
-    return list(dict.fromkeys(found))
+    return unique_samples(found)
+
+
+def unique_samples(samples: list[Sample]) -> list[Sample]:
+    """The first of samples that agree in everything."""
+    return list(dict.fromkeys(samples))
 
 
 def check_samples(samples: list[Sample], files: bool = True) -> None:

@@ -23,7 +23,7 @@ def decollapsed_alignments(raw: DataFrame, header: list[str], path: str) -> None
     """Alignment text with each line as often as its read was seen (``fields`` of raw alignments), header first."""
     from ..operators.reads import decollapse
 
-    body = decollapse(raw).select("row_key", "copy", F.array_join(F.concat(F.array("name"), F.slice("fields", 2, 1000)), "\t").alias("value"))
+    body = decollapse(raw).select("row_key", "copy", F.array_join(F.concat(F.array("name"), F.slice("fields", F.lit(2), F.size("fields"))), "\t").alias("value"))
     head = raw.sparkSession.createDataFrame([(-1, i, h) for i, h in enumerate(header)], "row_key long, copy long, value string")
     head.unionByName(body).repartitionByRange("row_key", "copy").sortWithinPartitions("row_key", "copy").select("value").write.mode("errorifexists").text(path)
 

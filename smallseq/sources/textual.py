@@ -30,17 +30,22 @@ def fastq_sequences(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return lines(spark, path).where("line_no % 4 = 1").select("file", F.floor(F.col("line_no") / 4).alias("read_idx"), F.col("value").alias("seq"))
 
 
-def fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, name, seq): records; a name is its header's first word. Lines of a sequence are joined."""
-    rows = lines(spark, path)
-    head = F.col("value").startswith(">")
-    w = Window.partitionBy("file").orderBy("line_no")
-    starts = rows.where(head).select("file", F.col("line_no").alias("start"), F.regexp_extract("value", r"^>\s*(\S*)", 1).alias("name"))
-    starts = starts.withColumn("stop", F.coalesce(F.lead("start").over(w.orderBy("start")), F.lit(2**62)))
-    body = rows.where(~head).withColumnRenamed("file", "f")
-    joined = starts.join(body, (F.col("file") == F.col("f")) & (F.col("line_no") > F.col("start")) & (F.col("line_no") < F.col("stop")), "left")
-    parts = F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("line_no", F.trim("value").alias("v")))))
-    return joined.groupBy("file", "start", "name").agg(F.array_join(F.transform(parts, lambda x: x["v"]), "").alias("seq")).drop("start")
+def fasta(spark: SparkSession, path: str | list[str], piece: int = 1 << 16) -> DataFrame:
+    """(file, name, seq): records; a name is its header's first word. Lines of a sequence are joined.
+
+    A line's record is the last header at or before it: a running maximum within ranges of ``piece`` lines, over what the
+    ranges before hold, so that no task reads a file alone and nothing is compared with every header.
+    """
+    rows = lines(spark, path).withColumn("b", F.floor(F.col("line_no") / piece)).withColumn("head", F.col("value").startswith(">"))
+    own = F.max(F.when(F.col("head"), F.col("line_no"))).over(Window.partitionBy("file", "b").orderBy("line_no"))
+    last = rows.where("head").groupBy("file", "b").agg(F.max("line_no").alias("last"))
+    ranges = rows.select("file", "b").distinct().join(last, ["file", "b"], "left")
+    before = F.max("last").over(Window.partitionBy("file").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.withColumn("own", own).join(ranges.select("file", "b", before.alias("before")), ["file", "b"])
+    placed = placed.select("file", F.coalesce("own", "before").alias("start"), "line_no", "head", "value").where("start is not null")
+    parts = F.array_sort(F.collect_list(F.when(~F.col("head"), F.struct("line_no", F.trim("value").alias("v")))))
+    found = placed.groupBy("file", "start").agg(F.max(F.when(F.col("head"), F.regexp_extract("value", r"^>\s*(\S*)", 1))).alias("name"), parts.alias("parts"))
+    return found.select("file", "name", F.array_join(F.transform("parts", lambda x: x["v"]), "").alias("seq"))
 
 
 def collapsed_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -64,7 +69,7 @@ def alignment_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line_no, record, tags map): header lines; a value may hold colons."""
     rows = lines(spark, path).where(F.col("value").startswith("@"))
     parts = F.split("value", "\t")
-    tags = F.transform(F.filter(F.slice(parts, 2, 1000), lambda x: x.contains(":")), lambda x: F.struct(F.substring(x, 1, 2).alias("key"), F.substring(x, F.lit(4), F.length(x)).alias("value")))
+    tags = F.transform(F.filter(F.slice(parts, F.lit(2), F.size(parts)), lambda x: x.contains(":")), lambda x: F.struct(F.substring(x, 1, 2).alias("key"), F.substring(x, F.lit(4), F.length(x)).alias("value")))
     last = F.filter(tags, lambda x, i: ~F.exists(F.slice(tags, i + 2, F.size(tags)), lambda y: y["key"] == x["key"]))
     return rows.select("file", "line_no", F.substring(parts[0], 2, 2).alias("record"), F.map_from_entries(last).alias("tags"))
 
@@ -80,6 +85,7 @@ def collapser_kind(name: str | None) -> str | None:
 
     if name is None:
         return None
+    # fixed values: how the two collapsers name a read
     if re.fullmatch(r"\d+_count=\d+", name):
         return "="
     return "_x" if re.fullmatch(r"seq\d+_x(\d+)", name) else None
@@ -100,7 +106,7 @@ def alignments(spark: SparkSession, path: str, library: str, raw: bool = False)
         raise ValueError(f"alignments without sequences: {path}")
     kind = collapser_kind(first["p"][0])
     has_tag = any(t.startswith("NM:") for t in first["p"][11:])
-    tags = F.slice(F.col("p"), 12, 10_000)
+    tags = F.slice(F.col("p"), F.lit(12), F.size("p"))
     edits = S.tag_edits(tags) if has_tag else S.cigar_edits(F.col("p")[5])
     df = rows.select("line_no", parts.alias("p")).withColumn("flag", F.col("p")[1].cast("int")).where(S.is_mapped(F.col("flag")))
     start = F.col("p")[3].cast("long") - 1
