@@ -5,27 +5,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_root: list[str] = []
-
+from ..durable import ship
 
-def ship(spark: SparkSession) -> None:
-    """Send the package's source to the executors, once for each application, so that they need no copy of their own."""
-    context = spark.sparkContext
-    if getattr(context, "_shipped_package", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, str(f.relative_to(package.parent)))
-    context.addPyFile(str(archive))
-    context._shipped_package = True
+_own_root: list[str] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,14 +51,14 @@ def own_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
 
     This cuts the lineage durably: a lost executor costs the re-read of a file, never a recomputation.
     """
     spark = df.sparkSession
     path = f"{own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -58,11 +58,13 @@ def templates(lines: DataFrame, min_docs: int) -> DataFrame:
     alone = tokens.where("several is null").groupBy("key").agg(F.count("*").alias("docs"))
     beside = tokens.where("several").select("key", "d", "t").distinct().groupBy("key").agg(F.count("*").alias("docs"))
     common = alone.union(beside).groupBy("key").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-    levels = F.filter(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.col("docs") >= F.lit(min_docs).cast("long") * F.pow(F.lit(float(1 << STEP_BITS)), k))
-    common = broadcast_if_small(materialise(common.select("key", levels.alias("levels")), "common"))
-    constant = tokens.select("leaf", "line", "size", "p", "key").join(common, "key").select("leaf", "line", "size", "p", "key", F.explode("levels").alias("level"))
-    constant = constant.groupBy("leaf", "line", "size", "level").agg(F.array_sort(F.collect_set(F.struct("p", "key"))).alias("kept"))
-    named = constant.where(F.size("kept") + 1 >= F.lit(CONSTANT) * F.col("size"))  # and the first token
+    reached = F.filter(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.col("docs") >= F.lit(min_docs).cast("long") * F.pow(F.lit(float(1 << STEP_BITS)), k))
+    common = broadcast_if_small(materialise(common.select("key", (F.size(reached) - 1).alias("top")), "common"))
+    constant = tokens.select("leaf", "line", "size", "p", "key").join(common, "key")
+    constant = constant.groupBy("leaf", "line", "size").agg(F.collect_set(F.struct("p", "key", "top")).alias("found"), F.max("top").alias("top"))
+    constant = constant.select("leaf", "line", "size", "found", F.explode(F.sequence(F.lit(0), F.col("top"))).alias("level"))
+    kept = F.array_sort(F.transform(F.filter("found", lambda x: x["top"] >= F.col("level")), lambda x: F.struct(x["p"].alias("p"), x["key"].alias("key"))))
+    named = constant.select("leaf", "line", "size", "level", kept.alias("kept")).where(F.size("kept") + 1 >= F.lit(CONSTANT) * F.col("size"))  # and the first token
     named = named.select("line", "level", F.xxhash64("leaf", "kept").alias("template"))
     return named.groupBy("line", "template").agg(F.max("level").alias("level"))
 
@@ -72,7 +74,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool =
 
     ``keep_first`` spares the first line (smallest document, then position) of each line's most general such template.
     """
-    lines = materialise(line_table(docs), "lines")
+    lines = materialise(line_table(docs), "lines", compression="zstd")
     plain = lines.select("d", "t", "i", "line", (F.col("size") >= LONG).alias("long"))
     named = plain.join(broadcast_if_small(materialise(templates(lines, min_docs), "templates")), "line", "left")
     named = materialise(named.select("d", "t", "i", "long", F.coalesce("template", "line").alias("template"), F.coalesce("level", F.lit(0)).alias("level")), "named")
