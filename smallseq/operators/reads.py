@@ -77,36 +77,56 @@ def mismatch_count(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda d: d))
 
 
-def align(reads: DataFrame, genome: DataFrame, mismatches: int = 0, seed: int | None = None, strands: tuple[bool, ...] = (True, False), max_hits: int | None = None, tile: int = 1024, longest: int = 64) -> DataFrame:
+def align(reads: DataFrame, genome: DataFrame, mismatches: int = 0, seed: int | None = None, strands: tuple[bool, ...] = (True, False), max_hits: int | None = None, best: bool = False, limit: int | None = None, tile: int = 1024) -> DataFrame:
     """(seq_id, seq) x (chrom, seq) -> (seq_id, seq, chrom, s, e, fwd, nm): every place with at most so many mismatches.
 
-    A read is cut into mismatches + 1 seeds, one of which must match exactly (pigeonhole); seeds meet the genome's k-mers in
-    an equi-join, and the rest of the read is compared at the place. The genome is cut into overlapping tiles first, so
-    that no row carries more than ``tile + longest`` bases. ``max_hits`` drops reads with more places. ``longest`` must be
-    at least the longest read's length, ``seed`` at most the shortest one's over the number of seeds.
+    A read is cut into mismatches + 1 seeds, one of which must match exactly (pigeonhole); seeds meet the genome's k-mers,
+    which carry their position alone, in an equi-join, and only the places found meet the genome's tiles to be compared in
+    full. ``seed`` is as long as the shortest read allows unless it is given. ``best`` keeps each read's places of fewest
+    mismatches, ``max_hits`` drops reads with more places, ``limit`` reports so many places of a read (by mismatches, then
+    position).
     """
     pieces = mismatches + 1
-    seed = seed or 15 // pieces
-    tiles = genome.select("chrom", F.col("seq").alias("g"), F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.length("seq") - 1, F.lit(0)) / tile).cast("int"))).alias("b"))
-    tiles = tiles.select("chrom", (F.col("b") * tile).alias("base"), F.substring("g", F.greatest(F.col("b") * tile - longest, F.lit(0)) + 1, F.lit(tile + 2 * longest)).alias("ctx"), F.greatest(F.col("b") * tile - longest, F.lit(0)).alias("ctx_at"))
-    at = F.explode(F.sequence(F.lit(0), F.lit(tile - 1)))
-    index = tiles.select("*", at.alias("o")).select("chrom", (F.col("base") + F.col("o")).alias("pos"), F.substring("ctx", F.col("base") + F.col("o") - F.col("ctx_at") + 1, F.lit(seed)).alias("kmer"), "ctx", "ctx_at").where(F.length("kmer") == seed)
+    shortest, longest = reads.agg(F.min(F.length("seq")), F.max(F.length("seq"))).first()
+    seed, longest = seed or max(1, (shortest or 1) // pieces), longest or 1
+    numbers = F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.length("seq") - 1, F.lit(0)) / tile).cast("int")))
+    tiles = genome.select("chrom", F.col("seq").alias("g"), numbers.alias("b"))
+    cut = lambda more: F.substring("g", F.col("b") * tile + 1, F.lit(tile + more))
+    index = tiles.select("chrom", "b", cut(seed - 1).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(tile - 1))).alias("o"))
+    index = index.select("chrom", (F.col("b").cast("long") * tile + F.col("o")).alias("pos"), F.substring("g", F.col("o") + 1, F.lit(seed)).alias("kmer")).where(F.length("kmer") == seed)
     oriented = F.explode(F.array(*[F.struct(F.lit(f).alias("fwd"), (F.col("seq") if f else reverse_complement(F.col("seq"))).alias("q")) for f in strands]))
     probe = reads.select("seq_id", "seq", oriented.alias("x")).select("seq_id", "seq", "x.fwd", "x.q")
     starts = F.explode(F.array(*[F.lit(i * seed) for i in range(pieces)]))
     probe = probe.select("*", starts.alias("so")).withColumn("kmer", F.substring("q", F.col("so") + 1, F.lit(seed))).where(F.length("kmer") == seed)
-    hit = probe.join(index, "kmer").withColumn("s", F.col("pos") - F.col("so")).where("s >= 0")
-    place = F.substring("ctx", F.col("s") - F.col("ctx_at") + 1, F.length("q"))
-    hit = hit.where(F.col("s") >= F.col("ctx_at")).withColumn("place", place).where(F.length("place") == F.length("q"))
+    hit = probe.join(index, "kmer").withColumn("s", F.col("pos") - F.col("so")).where("s >= 0").select("seq_id", "seq", "fwd", "q", "chrom", "s")
+    hit = hit.distinct() if pieces > 1 else hit
+    hit = hit.withColumn("b", F.floor(F.col("s") / tile).cast("int")).join(tiles.select("chrom", "b", cut(longest).alias("ctx")), ["chrom", "b"])
+    hit = hit.withColumn("place", F.substring("ctx", (F.col("s") % tile).cast("int") + 1, F.length("q"))).where(F.length("place") == F.length("q"))
     if mismatches:
         hit = hit.withColumn("nm", mismatch_count(F.col("place"), F.col("q"))).where(F.col("nm") <= mismatches)
     else:
         hit = hit.where(F.col("place") == F.col("q")).withColumn("nm", F.lit(0))
-    found = hit.select("seq_id", "seq", "chrom", F.col("s").cast("long").alias("s"), (F.col("s") + F.length("q")).cast("long").alias("e"), "fwd", "nm").distinct()
+    found = hit.select("seq_id", "seq", "chrom", "s", (F.col("s") + F.length("q")).cast("long").alias("e"), "fwd", "nm")
+    each = Window.partitionBy("seq_id")
+    if best:
+        found = found.withColumn("__least", F.min("nm").over(each)).where("nm = __least").drop("__least")
     if max_hits is not None:
-        found = found.withColumn("__n", F.count("*").over(Window.partitionBy("seq_id"))).where(F.col("__n") <= max_hits).drop("__n")
+        found = found.withColumn("__n", F.count("*").over(each)).where(F.col("__n") <= max_hits).drop("__n")
+    if limit is not None:
+        found = found.withColumn("__n", F.row_number().over(each.orderBy("nm", "chrom", "s", "fwd"))).where(F.col("__n") <= limit).drop("__n")
     return found
 
 
+def as_alignments(found: DataFrame, collapsed: DataFrame) -> DataFrame:
+    """``align``'s places of a library's collapsed reads, as the assignment reads alignments."""
+    rows = found.join(collapsed.select("library", "seq_id", "read_count"), "seq_id")
+    seq = F.when(F.col("fwd"), F.col("seq")).otherwise(reverse_complement(F.col("seq")))
+    key = F.xxhash64("chrom", "s", "fwd")
+    return rows.select(
+        "library", F.concat(F.col("seq_id").cast("string"), F.lit("_count="), "read_count").alias("name"), key.alias("row_key"), "chrom", "s", "e", "fwd",
+        F.substring("seq", 1, 1).alias("nt5"), F.length("seq").alias("length"), F.col("nm").cast("int").alias("nm"), F.col("read_count").cast("long").alias("read_count"), seq.alias("seq"),
+    )
+
+
 def unaligned(reads: DataFrame, alignments: DataFrame) -> DataFrame:
     return reads.join(alignments.select("seq_id").distinct(), "seq_id", "left_anti")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import shutil
+import time
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -85,16 +87,25 @@ def count_tables(alignments: DataFrame, matches: DataFrame, rules: DataFrame, li
     return out
 
 
-def count(spark: SparkSession, samples: list[sheets.Sample], rules: list[Rule], annotation: list[str], options: CountOptions = CountOptions()) -> Counted:
-    """Counts alignments by annotation, or by the reference sequences of their headers if there is none."""
-    alignments = load_alignments(spark, samples)
+def count(spark: SparkSession, samples: list[sheets.Sample], rules: list[Rule], annotation: list[str], options: CountOptions = CountOptions(), alignments: DataFrame | None = None, genome: list[str] | None = None) -> Counted:
+    """Counts alignments by annotation, or by the reference sequences of their headers if there is none.
+
+    ``alignments``: those of reads aligned here; otherwise the samples' files are read, and their headers' order is checked.
+    """
+    from_files = alignments is None
+    alignments = load_alignments(spark, samples) if from_files else alignments
     libraries = sheets.library_table(spark, samples)
     warnings: list[str] = []
+    text = [s.file for s in samples if not s.file.endswith(".bam")]
+    if from_files and text:
+        order = validate.order_by_file(textual.alignment_header(spark, text)).where("not coalesce(together, false)")
+        warnings += [f"{r['file']}: " + ("the order of alignments cannot be told" if r["together"] is None else "sorted by coordinate") + "; reads are grouped by name" for r in order.orderBy("file").collect()]  # one row a file
     names = known = None
     if annotation:
         rows = textual.annotation(spark, annotation)
         validate.check_annotation(rows)
-        if note := validate.check_chroms(rows, alignments):
+        chroms = textual.genome_chroms(spark, genome) if genome else None
+        if note := validate.check_chroms(rows, alignments, chroms):
             warnings.append(note)
         matches, names, known = annotated_matches(spark, annotation, rules, options)
         matches = durable(matches)
@@ -109,15 +120,83 @@ def count(spark: SparkSession, samples: list[sheets.Sample], rules: list[Rule],
     return out
 
 
-def write_tables(result: Counted, folder: str) -> None:
-    """Long tables as Parquet (for later steps) and CSV reports beside them."""
+def timestamp() -> str:
+    # fixed value: the format of run names
+    return time.strftime("%Y-%m-%d_%H-%M-%S")
+
+
+def wide_reports(tables: dict[str, DataFrame], rules: list[Rule] | None = None) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The reports with a column for each library, and what they are ordered by. Labels are fixed values of the reports."""
+    out: dict[str, tuple[DataFrame, list[str]]] = {}
+    libraries = sorted(r[0] for r in tables["feature_counts"].select("library").distinct().collect())
+    names = {"feature_id": "Feature ID", "classifier": "Classifier", "feature_name": "Feature Name"}
+    for table in ("feature_counts", "norm_counts"):
+        if table in tables:
+            keys = [k for k in names if k in tables[table].columns]
+            out[table] = (sinks.wide(tables[table], keys, libraries).withColumnsRenamed(names), [names[k] for k in keys])
+    if "counts_by_rule" in tables:
+        report = sinks.wide(C.with_mapped_row(tables["counts_by_rule"], tables["summary_stats"]), ["rule"], libraries)
+        if rules is not None:
+            text = tables["counts_by_rule"].sparkSession.createDataFrame([(str(i), r.describe()) for i, r in enumerate(rules)], "rule string, text string")
+            report = report.join(F.broadcast(text), "rule", "left").select(F.col("rule").alias("Rule Index"), F.coalesce("text", F.lit("")).alias("Rule String"), *[F.col(f"`{x}`") for x in libraries])
+        else:
+            report = report.withColumnRenamed("rule", "Rule Index")
+        out["counts_by_rule"] = (report.withColumn("o", F.coalesce(F.col("Rule Index").try_cast("int"), F.lit(1 << 30))), ["o"])
+    if "summary_stats" in tables:
+        out["summary_stats"] = (sinks.wide(tables["summary_report"] if "summary_report" in tables else C.summary_report(tables["summary_stats"]), ["stat"], libraries).withColumnRenamed("stat", "Summary Statistics"), ["Summary Statistics"])
+    if "alignment_stats" in tables:
+        out["alignment_stats"] = (sinks.wide(tables["alignment_stats"], ["stat"], libraries, "value").withColumnRenamed("stat", "Alignment Statistics"), ["Alignment Statistics"])
+    return out
+
+
+def write_tables(result: Counted, folder: str, rules: list[Rule] | None = None) -> None:
+    """Long tables as Parquet (for later steps), and CSV reports beside them."""
+    again = {}
     for name, df in result.tables.items():
         df.write.mode("errorifexists").parquet(f"{folder}/tables/{name}")
-        again = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/tables/{name}")
+        again[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/tables/{name}")
+    wide = wide_reports(again, rules) if "summary_stats" in again and "feature_counts" in again else {}
+    for name, df in again.items():
         if name == "alignment_table":
-            sinks.alignment_tables(again, f"{folder}/{name}")
-        else:
-            sinks.report(again, f"{folder}/{name}", again.columns[:2])
+            sinks.alignment_tables(df, f"{folder}/{name}")
+        elif name in wide:
+            report, order = wide[name]
+            sinks.report(report, f"{folder}/{name}", order, hidden=[c for c in order if c == "o"])
+        elif name != "summary_report":
+            sinks.report(df, f"{folder}/{name}", df.columns[:2])
+
+
+def step_folder(folder: str, step: str, fresh: bool) -> str:
+    """Where a step writes: the run's own folder, or a stamped one beside it when a run is taken up again."""
+    return f"{folder}/{step}_{timestamp()}" if fresh else f"{folder}/{step}"
+
+
+def latest(folder: str, step: str) -> str:
+    """The newest folder of a step that has tables."""
+    found = sorted((p for p in Path(folder).glob(f"{step}*") if (p / "tables").is_dir()), key=lambda p: (p.name != step, p.name))
+    if not found:
+        raise ValueError(f"{folder} has no results of the step {step}")
+    return str(found[-1])
+
+
+def aligned_reads(spark: SparkSession, samples: list[sheets.Sample], genome: list[str], config: dict, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Raw reads filtered, collapsed (written as FASTA) and aligned: (alignments, the summary's rows for each library).
+
+    Keys of the configuration are the operators' parameters, with the prefixes ``filter_`` and ``align_``.
+    """
+    given = lambda prefix: {k.removeprefix(prefix): v for k, v in config.items() if k.startswith(prefix)}
+    chroms = durable(textual.fasta(spark, genome).select(F.col("name").alias("chrom"), F.upper("seq").alias("seq")))
+    out = stats = None
+    for s in samples:
+        raw = textual.fastq(spark, s.file)
+        kept = durable(reads.quality_filter(raw, **given("filter_")))
+        collapsed = durable(reads.collapse(kept.withColumn("library", F.lit(s.library))))
+        sinks.fasta(collapsed, f"{folder}/collapse/{s.library}", int(config.get("threshold") or 0))
+        found = reads.as_alignments(reads.align(collapsed, chroms, **given("align_")), collapsed)
+        counted = reads.filter_report(raw, kept).crossJoin(collapsed.agg(F.count("*").alias("unique")))
+        counted = counted.select(F.lit(s.library).alias("library"), F.col("before").alias("total_reads"), F.col("after").alias("retained_reads"), "unique")
+        out, stats = (found, counted) if out is None else (out.unionByName(found), stats.unionByName(counted))
+    return durable(out), durable(stats)
 
 
 def compare(counts: DataFrame, samples: list[sheets.Sample], control: str | None = None, drop_zero: bool = False) -> dict[str, DataFrame]:
@@ -164,39 +243,85 @@ def _session() -> SparkSession:
     return SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
-def run(spark: SparkSession, config_file: str, steps: tuple[str, ...] = ("count", "dge", "plot")) -> None:
-    """Steps of a run named in a configuration: samples_csv, features_csv, gff_files, run_directory, control.
+def run(spark: SparkSession, config_file: str, steps: tuple[str, ...] = ("align", "count", "dge", "plot"), again: bool = False) -> None:
+    """Steps of a run named in a configuration: samples_csv, features_csv, gff_files, genome_files, run_directory.
 
-    Every step reads what the one before has written, so a run can be taken up at any step.
+    Samples that are FASTQ files are filtered, collapsed and aligned to the genome first; alignment files go straight to
+    the counts. Every step reads what the one before has written. ``again`` takes a run up: its steps write to folders of
+    their own, stamped with the time, and later steps read the newest.
     """
     config = sheets.read_config(config_file)
+    listed = lambda key: [sheets.resolved(g["path"] if isinstance(g, dict) else g, config_file) for g in config.get(key) or []]
     at = lambda key: sheets.resolved(config[key], config_file)
     folder = at("run_directory")
     samples = sheets.read_samples(at("samples_csv"))
     sheets.check_samples(samples, files="count" in steps)
+    place = lambda step: step_folder(folder, step, again)
+    profile(config_file, config, folder)
     if "count" in steps:
-        gff = [sheets.resolved(g["path"] if isinstance(g, dict) else g, config_file) for g in config.get("gff_files") or []]
+        rules, genome = sheets.read_rules(at("features_csv")), listed("genome_files")
         options = CountOptions(**{k: config[k] for k in CountOptions.__dataclass_fields__ if k in config and k != "aliases"})
-        result = count(spark, samples, sheets.read_rules(at("features_csv")), gff, options)
-        write_tables(result, f"{folder}/count")
+        raw = all(Path(s.file).suffix.lower() in (".fastq", ".fq", ".gz") for s in samples)
+        out = place("count")
+        alignments, stats = aligned_reads(spark, samples, genome, config, out) if raw else (None, None)
+        result = count(spark, samples, rules, listed("gff_files"), options, alignments, genome)
+        if stats is not None:
+            parts = stats.select("library", "total_reads", "retained_reads"), stats.select("library", "unique")
+            result.tables["summary_report"] = C.summary_report(result.tables["summary_stats"], *parts)
+        write_tables(result, out, rules)
+        if options.decollapse and not raw:
+            for s in samples:
+                if not s.file.endswith(".bam"):
+                    head = [r[0] for r in textual.lines(spark, s.file).where(F.col("value").startswith("@")).orderBy("line_no").select("value").collect()]  # the header alone
+                    sinks.decollapsed_alignments(textual.alignments(spark, s.file, s.library, raw=True), head, f"{out}/{s.library}_decollapsed")
         for w in result.warnings:
             print(f"warning: {w}")
-    read = lambda name: spark.read.parquet(f"{folder}/count/tables/{name}")
+    read = lambda name: spark.read.parquet(f"{latest(folder, 'count')}/tables/{name}")
     if "dge" in steps and sheets.enough_replicates(samples):
         control = next((s.group for s in samples if s.control), None)
-        write_tables(Counted(compare(read("feature_counts"), samples, control)), f"{folder}/dge")
+        write_tables(Counted(compare(read("feature_counts"), samples, control, bool(config.get("drop_zero")))), place("dge"))
     if "plot" in steps:
         tables = {name: read(name) for name in ("feature_counts", "counts_by_rule", "summary_stats", "mapped_nt_len_dist", "assigned_nt_len_dist")}
-        write_tables(Counted(plot_tables(tables)), f"{folder}/plots")
+        out = place("plots")
+        write_tables(Counted(plot_tables(tables)), out)
+        draw(spark, out, [s.library for s in samples])
+
+
+def profile(config_file: str, config: dict, folder: str) -> None:
+    """Copies of a run's configuration and sheets beside its results, so that they say how they were made."""
+    target = Path(folder) / "config"
+    target.mkdir(parents=True, exist_ok=True)
+    for source in [config_file, *(sheets.resolved(config[k], config_file) for k in ("samples_csv", "features_csv") if k in config)]:
+        shutil.copyfile(source, target / Path(source).name)
+
+
+def draw(spark: SparkSession, folder: str, libraries: list[str]) -> list[str]:
+    """Plots of the data in ``folder``, where matplotlib is at hand: names of the files."""
+    from . import plots
+
+    made: list[str] = []
+    if not plots.available():
+        return made
+    kinds = {"len_dist_mapped": None, "len_dist_assigned": None, "class_charts": "classifier", "rule_charts": "rule_idx"}
+    for table, label in kinds.items():
+        if (Path(folder) / "tables" / table).is_dir():
+            data = spark.read.parquet(f"{folder}/tables/{table}")
+            for library in libraries:
+                made.append(f"{folder}/{table}_{library}.pdf")
+                if label is None:
+                    plots.stacked_lengths(data, library, made[-1])
+                else:
+                    plots.proportion_bars(data, library, label, made[-1])
+    return made
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="smallseq")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name, steps in (("run", "count dge plot"), ("recount", "count dge plot"), ("replot", "plot")):
+    for name, steps in (("run", "align count dge plot"), ("recount", "count dge plot"), ("replot", "plot")):
         p = sub.add_parser(name, help=f"steps: {steps}")
         p.add_argument("--config", required=True)
-        p.set_defaults(steps=tuple(steps.split()))
+        p.set_defaults(steps=tuple(steps.split()), again=name != "run")
     p = sub.add_parser("collapse")
     p.add_argument("-i", "--input", required=True)
     p.add_argument("-o", "--output", required=True)
@@ -212,7 +337,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = _session()
     if args.command == "collapse":
         return collapse(spark, args.input, args.output, args.threshold, args.compress, args.five, args.three)
-    run(spark, args.config, args.steps)
+    run(spark, args.config, args.steps, args.again)
 
 
 def write_templates(folder: str) -> None:
@@ -228,6 +353,5 @@ def write_templates(folder: str) -> None:
             target.write_text(text)
 
 
-
 if __name__ == "__main__":
     main()

@@ -28,16 +28,18 @@ def decollapsed_alignments(raw: DataFrame, header: list[str], path: str) -> None
     head.unionByName(body).repartitionByRange("row_key", "copy").sortWithinPartitions("row_key", "copy").select("value").write.mode("errorifexists").text(path)
 
 
-def report(df: DataFrame, path: str, order: list[str], single: bool = True, digits: int | None = 2) -> None:
-    """A CSV report: doubles rounded half to even, rows in order."""
+def report(df: DataFrame, path: str, order: list[str], single: bool = True, digits: int | None = 2, hidden: list[str] | None = None) -> None:
+    """A CSV report: doubles rounded half to even, rows in order; ``hidden`` columns serve the order alone."""
     if digits is not None:
         df = df.withColumns({c: F.bround(c, digits) for c, kind in df.dtypes if kind == "double"})
     df = df.orderBy(*order) if order else df
+    df = df.drop(*(hidden or []))
     (df.coalesce(1) if single else df).write.mode("errorifexists").csv(path, header=True)
 
 
 def wide(df: DataFrame, keys: list[str], libraries: list[str], value: str = "count") -> DataFrame:
     """One column for each library, as the reports have them."""
+    value = value if value in df.columns else "value"
     return df.groupBy(*keys).pivot("library", sorted(libraries)).agg(F.first(value)).fillna(0.0, sorted(libraries))
 
 

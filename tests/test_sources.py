@@ -187,6 +187,34 @@ def test_run_from_files(spark, files):
     assert (files / "out/plots/tables/class_charts").exists()
 
 
+    # taken up again: new folders beside the run's, the newest of which the plots read
+    pipeline.main(["recount", "--config", str(files / "run.yml")])
+    pipeline.main(["replot", "--config", str(files / "run.yml")])
+    again = [p for p in (files / "out").glob("count_*")]
+    assert len(again) == 1 and pipeline.latest(str(files / "out"), "count") == str(again[0])
+    assert len(list((files / "out").glob("plots_*"))) >= 1 and (files / "out/config/run.yml").exists()
+    report = spark.read.csv(f"{again[0]}/counts_by_rule", header=True).collect()
+    assert report[0]["Rule String"].startswith("Select for: Class; with value: CSR") and report[-1]["Rule Index"] == "Mapped Reads" and report[-1]["cond_rep_1"] == "5.0"
+    assert set(spark.read.csv(f"{again[0]}/feature_counts", header=True).columns) == {"Feature ID", "Classifier", "Feature Name", "cond_rep_1"}
+
+
+def test_run_from_raw_reads(spark, files):
+    genome = "".join("ACGT"[(i * i * 7 + i // 3) % 4] for i in range(1000))
+    (files / "g.fa").write_text(">I one\n" + "\n".join(genome[i : i + 60] for i in range(0, 1000, 60)) + "\n")
+    rc = genome[310:332].translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    seqs = [genome[105:127]] * 3 + [rc] * 2 + ["A" * 50]
+    (files / "r.fastq").write_text("".join(f"@r{i}\n{x}\n+\n{'I' * len(x)}\n" for i, x in enumerate(seqs)))
+    (files / "features.csv").write_text(FEATURES + ",,all,,,1,both,all,all,partial,\n")
+    (files / "samples.csv").write_text("Input Files,Sample/Group Name,Replicate Number,Control,Normalization\nr.fastq,raw,1,,\n")
+    (files / "run.yml").write_text("samples_csv: samples.csv\nfeatures_csv: features.csv\ngff_files:\n  - path: a.gff3\ngenome_files:\n  - path: g.fa\nrun_directory: raw\nfilter_max_length: 35\nalign_mismatches: 0\n")
+    pipeline.run(spark, str(files / "run.yml"))
+    summary = {r["Summary Statistics"]: float(r["raw_rep_1"]) for r in spark.read.csv(str(files / "raw/count/summary_stats"), header=True).collect()}
+    assert summary["Total Reads"] == 6 and summary["Retained Reads"] == 5 and summary["Unique Sequences"] == 2 and summary["Mapped Reads"] == 5
+    counts = {r["feature_id"]: r["count"] for r in spark.read.parquet(str(files / "raw/count/tables/feature_counts")).collect()}
+    assert counts["g2"] > 0 and sum(counts.values()) <= 5
+    assert spark.read.text(str(files / "raw/count/collapse/raw_rep_1")).count() == 4
+
+
 def test_decollapsed_alignments(spark, files):
     raw = textual.alignments(spark, str(files / "a.sam"), "l", raw=True)
     sinks.decollapsed_alignments(raw, ["@HD\tSO:unsorted"], str(files / "d"))
