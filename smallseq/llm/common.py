@@ -9,11 +9,21 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..durable import ship
+from .. import durable
 
 _own_root: list[str] = []
 
 
+#: Bytes of a batch that a worker gets at once (Spark's default counts rows alone, whatever their texts' length).
+BATCH_BYTES = 4 << 20
+
+
+def ship(spark: SparkSession) -> None:
+    """Make ready for workers: the package's source on the executors, and batches bounded by bytes, not by rows alone."""
+    durable.ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, through Spark's reader (the path may be remote)."""
     ship(spark)

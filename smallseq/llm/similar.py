@@ -31,8 +31,7 @@ from .shingles import shingle_set, simhash
 #: on the work only, never on the result.
 SAMPLE, OFTEN, HOT = 4000, 3, 200_000
 #: Shingles that a task gathers; texts of one shingle that are compared in one block; prefix shingles that two texts share.
-GATHER, BLOCK, SHARED = 2_000_000, 5000, 3
-_DOC = np.dtype([("t", "<i8"), ("n", "<i4"), ("hot", "<i4")])
+GATHER, BLOCK, SHARED = 1_000_000, 5000, 3
 _ROW = np.dtype([("gram", "<u8"), ("t", "<i8"), ("n", "<i4")])
 
 
@@ -78,65 +77,70 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 
 
 def _spread(batches: Iterator[pa.RecordBatch], words: int, parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(t, text) -> (part, rows): for each range of shingles the texts that have some, and these shingles; hot ones are counted only.
+    """(t, text) -> (part, t, n, hot, rows): a row for each text with its set's size and the number of its hot shingles, and
+    one for each range of shingles, which packs the texts that have some there, and these shingles. Hot ones are not packed.
 
-    A text that a task has seen is left out. Every text is in one range at least, even if all its shingles are hot.
+    A text that a task has seen is left out.
     """
     nothing_held()
     seen: set[int] = set()
     for batch in by_volume(batches):
-        docs, grams = [], []
+        ids, sizes, common, grams = [], [], [], []
         for t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if t not in seen:
                 seen.add(t)
                 s = shingle_set(text, words)
                 late = _member(s, hot)
-                docs.append((t, len(s), int(late.sum())))
+                ids.append(t)
+                sizes.append(len(s))
+                common.append(int(late.sum()))
                 grams.append(s[~late])
-        if not docs:
+        if not ids:
             continue
-        table = np.array(docs, _DOC)
-        gram, owner = np.concatenate(grams), np.repeat(np.arange(len(docs), dtype="<u4"), [len(g) for g in grams])
+        t = np.array(ids, "<i8")
+        gram, owner = np.concatenate(grams), np.repeat(np.arange(len(ids), dtype="<u4"), [len(g) for g in grams])
         part = ((gram >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype("i4")
         order = np.argsort(part, kind="stable")
         low, owner, part = gram.astype("<u4")[order], owner[order], part[order]
-        home = table["t"] % parts
-        every = np.unique(np.concatenate([part, home.astype("i4")]))
-        ends = np.searchsorted(part, every, "right")
+        cut = np.flatnonzero(np.diff(part, prepend=-1))
         packed = []
-        for p, a, b in zip(every.tolist(), np.searchsorted(part, every, "left").tolist(), ends.tolist(), strict=True):
-            who, at = np.unique(np.concatenate([owner[a:b], np.flatnonzero(home == p).astype("<u4")]), return_inverse=True)
-            packed.append(b"".join([np.array([len(who), b - a], "<u4").tobytes(), table[who].tobytes(), low[a:b].tobytes(), at[: b - a].astype("<u2" if len(who) < 1 << 16 else "<u4").tobytes()]))
-        yield pa.RecordBatch.from_arrays([pa.array(every, pa.int32()), pa.array(packed, pa.binary())], ["part", "rows"])
+        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(part)], strict=True):
+            who, at = np.unique(owner[a:b], return_inverse=True)
+            packed.append(b"".join([np.array([len(who), b - a], "<u4").tobytes(), t[who].tobytes(), low[a:b].tobytes(), at.astype("<u2" if len(who) < 1 << 16 else "<u4").tobytes()]))
+        none = [None] * len(packed)
+        columns = [[*(x % parts for x in ids), *part[cut].tolist()], ids + none, sizes + none, common + none, [None] * len(ids) + packed]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["part", "t", "n", "hot", "rows"])
     give_back()
 
 
 def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     docs, rows = np.frombuffer(packed, "<u4", 2).tolist()
-    at = 8 + docs * _DOC.itemsize
-    return np.frombuffer(packed, _DOC, docs, 8), np.frombuffer(packed, "<u4", rows, at), np.frombuffer(packed, "<u2" if docs < 1 << 16 else "<u4", rows, at + 4 * rows)
+    at = 8 + 8 * docs
+    return np.frombuffer(packed, "<i8", docs, 8), np.frombuffer(packed, "<u4", rows, at), np.frombuffer(packed, "<u2" if docs < 1 << 16 else "<u4", rows, at + 4 * rows)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The packed rows of a range of shingles -> (t, n, hot, shared): how many of a text's shingles another text has too."""
+    """Rows of a range of shingles -> (t, n, shared): texts with their size and hot shingles, and (n null) how many of a text's
+    shingles in the range another text has too."""
     nothing_held()
-    found = [_unpacked(x.as_py()) for batch in batches for x in batch.column(0)]
+    found = []
+    for batch in batches:
+        own = batch.filter(batch.column(0).is_valid())
+        if own.num_rows:
+            yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), own.column(2)], ["t", "n", "shared"])
+        found += [_unpacked(x.as_py()) for x in batch.column(3) if x.is_valid]
     if found:
-        docs = np.concatenate([d for d, _, _ in found])
         begin = np.cumsum([0, *(len(d) for d, _, _ in found)])
-        t, first, own = np.unique(docs["t"], return_index=True, return_inverse=True)
-        low = np.concatenate([x for _, x, _ in found]).astype("u8")
-        owner = own[np.concatenate([at.astype("i8") + b for (_, _, at), b in zip(found, begin[:-1], strict=True)])] if len(low) else np.zeros(0, "i8")
-        del found
-        key = np.unique(low << np.uint64(32) | owner.astype("u8"))  # a text counts once for a shingle
+        t, own = np.unique(np.concatenate([d for d, _, _ in found]), return_inverse=True)
+        key = np.concatenate([x for _, x, _ in found]).astype("u8") << np.uint64(32)
+        key |= own[np.concatenate([at.astype("i8") + b for (_, _, at), b in zip(found, begin[:-1], strict=True)])].astype("u8")
+        del found, own
+        key = np.unique(key)  # a text counts once for a shingle
         same = key[1:] >> np.uint64(32) == key[:-1] >> np.uint64(32)
-        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(key) else np.zeros(0, bool)
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         many = np.bincount((key[shared] & np.uint64(0xFFFFFFFF)).astype("i8"), minlength=len(t))
-        docs = docs[first]
-        some = np.flatnonzero((many > 0) | (docs["hot"] > 0))
-        for at in range(0, len(some), 100_000):
-            x = some[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(t[x]), pa.array(docs["n"][x].copy()), pa.array(docs["hot"][x].copy()), pa.array(many[x], pa.int32())], ["t", "n", "hot", "shared"])
+        some = np.flatnonzero(many)
+        yield pa.RecordBatch.from_arrays([pa.array(t[some]), pa.nulls(len(some), pa.int32()), pa.array(many[some], pa.int32())], ["t", "n", "shared"])
     give_back()
 
 
@@ -289,9 +293,10 @@ def _with_partners(texts: DataFrame, words: int, percent: int) -> tuple[DataFram
     n, chars = texts.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     hot = _frequent(texts, words, n)
     parts = max(partitions_for(texts), (chars or 0) // 5 // GATHER + 1)
-    spread = texts.mapInArrow(partial(_spread, words=words, parts=parts, hot=hot), "part int, rows binary")
-    counted = spread.repartitionById(parts, "part").select("rows").mapInArrow(_counted, "t long, n int, hot int, shared int")
-    totals = counted.groupBy("t").agg(F.max("n").alias("n"), (F.max("hot") + F.sum("shared")).alias("shared"))
+    spread = texts.mapInArrow(partial(_spread, words=words, parts=parts, hot=hot), "part int, t long, n int, hot int, rows binary")
+    counted = spread.repartitionById(parts, "part").select("t", "n", "hot", "rows").mapInArrow(_counted, "t long, n int, shared int")
+    sizes, shared = F.when(F.col("n").isNotNull(), F.col("shared")), F.when(F.col("n").isNull(), F.col("shared"))
+    totals = counted.groupBy("t").agg(F.max("n").alias("n"), (F.max(sizes) + F.coalesce(F.sum(shared), F.lit(0))).alias("shared"))
     some = materialise(totals.where(100 * F.col("shared") >= percent * F.col("n")).select("t"), "with-partners")
     return materialise(texts.join(broadcast_if_small(some), "t", "left_semi").dropDuplicates(["t"]), "near-texts"), hot
 

@@ -405,9 +405,15 @@ def test_one_cache_at_a_time():
     assert (a.dropped, b.dropped, c.dropped) == (1, 1, 0)
 
 
-def test_near_copies_of_five_words_are_all_found(spark):
+@pytest.mark.parametrize("large", [False, True])
+def test_near_copies_of_five_words_are_all_found(spark, monkeypatch, large):
+    """``large``: nothing is broadcast, and a shingle's texts are compared in many blocks."""
     from smallseq.llm import similar
 
+    if large:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(similar, "BLOCK", 3)
+
     rng = random.Random(4)
     rows = []
     for g in range(12):  # originals, and copies with some words replaced: similarities on both sides of 0.8
@@ -416,8 +422,8 @@ def test_near_copies_of_five_words_are_all_found(spark):
         for k in range(6):
             at = set(rng.sample(range(120), k + 1))
             rows.append(" ".join(f"x{rng.randrange(5000)}" if i in at else w for i, w in enumerate(words)))
-    common = " ".join(f"c{i}" for i in range(40))
-    rows += [f"{common} {' '.join(f'u{rng.randrange(9999)}' for _ in range(60))}" for _ in range(30)]
+    passage = " ".join(f"c{i}" for i in range(40))
+    rows += [f"{passage} {' '.join(f'u{rng.randrange(9999)}' for _ in range(60))}" for _ in range(30)]
     sets = [set(similar.shingle_set(t).tolist()) for t in rows]
     root = list(range(len(rows)))
     pairs = [(a, b) for a in root for b in root if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
@@ -539,3 +545,35 @@ def test_word_scores_by_the_definition(spark):
     assert langid.identify(text, model).first()["lang_pred"] == "zh"
     many = [(i, "the and of", f"l{i % 90:02d}") for i in range(2000)]
     assert len(langid.train(spark.createDataFrame(many, "doc_id long, text string, lang string")).languages) == 90
+
+
+def test_near_copies_edges(spark, docs, none):
+    """Texts without words are alike; texts shorter than a shingle are one; copies of one id, and rows without an id."""
+    from smallseq.llm import similar
+
+    found = similar.components(docs).collect()
+    assert ids(found) == WANT
+    by = {r["doc_id"]: r["component_id"] for r in found if r["doc_id"] is not None}
+    assert by[2] == by[3] == by[6] == 2 and by[4] == by[5] == 4 and by[7] == 7
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [1, 2, 4, 7, 8]
+    assert simhash.keep_first(none).collect() == []
+
+
+def test_sketches_never_rule_out_what_two_sets_share():
+    from smallseq.llm import similar
+
+    rng = np.random.default_rng(5)
+    for n, m, common_ in [(1, 1, 1), (3, 4, 3), (50, 60, 45), (1000, 1200, 990), (5000, 4100, 4000)]:
+        pool = rng.integers(0, 1 << 63, n + m - common_, dtype="u8")
+        a, b = np.unique(pool[:n]), np.unique(np.concatenate([pool[:common_], pool[n:]]))
+        assert similar.most_common(similar.sketch(a), similar.sketch(b)) >= len(np.intersect1d(a, b))
+
+
+def test_lines_without_broadcasts(spark, monkeypatch):
+    word = lambda k, c: c + "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    rows = [(i, f"This page was written by {word(i % 50, 'n')} of the town {word(i * 7 % 61, 'c')} and printed for all readers\nown {word(i, 'x')}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = sorted(map(tuple, linetree.digests(df).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    assert sorted(map(tuple, linetree.digests(df).collect())) == one and {r[2] for r in one} == {1}

@@ -126,6 +126,69 @@ def test_op10_held_out_accuracy(spark, duck):
     assert len(held) > 200 and sum(held) / len(held) > 0.97
 
 
+def without_repeated_lines(docs):
+    """Lines whose template recurs go, but for the first of the most general one: by the definition, on Python's tables."""
+    from smallseq.llm.linetree import CONSTANT, LONG, LONG_DOCS, MIN_DOCS
+
+    lines = []
+    for d, text in docs.items():
+        for i, raw in enumerate(text.split("\n")):
+            flat = re.sub("[ \t\r\x0b\f]+", " ", raw).strip(" ")
+            if flat:
+                tokens = tuple("<*>" if re.search("[0-9]", x) else x for x in flat.split(" "))
+                lines.append((d, i, (len(tokens), *tokens[:2]), tokens))
+    support, leaf_docs, kinds = collections.defaultdict(set), collections.defaultdict(set), collections.defaultdict(set)
+    for d, _, leaf, tokens in lines:
+        leaf_docs[leaf].add(d)
+        kinds[leaf].add(tokens)
+        for p, x in enumerate(tokens):
+            support[leaf, p, x].add(d)
+
+    def templates(leaf, tokens):
+        found = {}
+        if len(kinds[leaf]) > 1 and len(leaf_docs[leaf]) >= MIN_DOCS:
+            for level in range(12):
+                constant = tuple((p, x) for p, x in enumerate(tokens) if len(support[leaf, p, x]) >= MIN_DOCS * 4**level)
+                if len(constant) >= CONSTANT * len(tokens):
+                    found[leaf, constant] = level
+        return found or {(leaf, tokens): 0}
+
+    docs_of, first = collections.defaultdict(set), {}
+    for d, i, leaf, tokens in lines:
+        for x in templates(leaf, tokens):
+            docs_of[x].add(d)
+            first[x] = min(first.get(x, (d, i)), (d, i))
+    gone = set()
+    for d, i, leaf, tokens in lines:
+        needed = LONG_DOCS if len(tokens) >= LONG else MIN_DOCS
+        often = [(level, x) for x, level in templates(leaf, tokens).items() if len(docs_of[x]) >= needed]
+        if often and first[max(often)[1]] != (d, i):
+            gone.add((d, i))
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in docs.items()}
+
+
+def without_near_copies(docs):
+    """The first of each group of texts whose sets of 5-word shingles have a similarity of 0.8 or more."""
+    sets = {}
+    for d, text in docs.items():
+        w = text.translate({i: i + 32 for i in range(65, 91)})
+        w = re.findall("[^\x20\x09-\x0d]+", w)
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    root = {d: d for d in docs}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a in sorted(docs):
+        for b in sorted(docs):
+            if b < a and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: t for d, t in docs.items() if find(d) == d}
+
+
 def test_pipeline_against_its_operators_by_hand(spark, duck, library):
     import corpus_pipeline as P
     from smallseq.llm import langid
@@ -137,38 +200,10 @@ def test_pipeline_against_its_operators_by_hand(spark, duck, library):
         names, score = model.predict([t])
         if names[0] != "und" and score[0] >= P.LEAST_LANGUAGE_SHARE:
             kept[d] = t
-    # lines: templates by the SQL's rules, on hand-made tables
+    kept = without_repeated_lines(kept)
+    kept = without_near_copies(kept)
     con = duckdb.connect()
-    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?)", list(kept.items()))
-    from smallseq.llm import linetree
-
-    sql = linetree.oracle()
-    every = con.execute(sql[: sql.index("), often AS")] + ") SELECT doc_id, i, n, a, b, template FROM every").fetchall()
-    docs_of = collections.defaultdict(set)
-    for d, i, *key in every:
-        docs_of[tuple(key)].add(d)
-    first = {}
-    for d, i, *key in every:
-        first[tuple(key)] = min(first.get(tuple(key), (d, i)), (d, i))
-    gone = {(d, i) for d, i, *key in every if len(docs_of[tuple(key)]) >= linetree.MIN_DOCS and first[tuple(key)] != (d, i)}
-    kept = {d: "\n".join(x for i, x in enumerate(t.split("\n"), 1) if (d, i) not in gone) for d, t in kept.items()}
-    # groups: links of 2 bits
-    from smallseq.llm.simhash import fingerprint
-
-    fps = {d: fingerprint(t) for d, t in kept.items()}
-    root = {d: d for d in fps}
-    order = sorted(fps)
-    changed = True
-    while changed:
-        changed = False
-        for a in order:
-            for b in order:
-                if (fps[a] ^ fps[b]).bit_count() <= 2 and root[b] < root[a]:
-                    root[a], changed = root[b], True
-    kept = {d: t for d, t in kept.items() if root[d] == d}
     # contamination: the SQL's rule
-    con.execute("DROP TABLE documents")
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", list(kept.items()))
     con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{SF}/benchmark.parquet'")
