@@ -140,6 +140,14 @@ def stats_check(counts: DataFrame, rules: DataFrame, summary: DataFrame) -> Data
     return joined.withColumn("agree", agree)
 
 
+def class_check(counts: DataFrame, rule_counts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(library, classifier, feature_sum, rule_sum, agree): the totals of each classifier by features and by its rules."""
+    f = counts.groupBy("library", "classifier").agg(F.sum("count").alias("feature_sum"))
+    r = rule_counts.join(F.broadcast(rules.select("rule_idx", "classifier")), "rule_idx").groupBy("library", "classifier").agg(F.sum("count").alias("rule_sum"))
+    joined = r.join(f, ["library", "classifier"], "full").fillna(0.0, ["feature_sum", "rule_sum"])
+    return joined.withColumn("agree", F.abs(F.col("feature_sum") - F.col("rule_sum")) < 1)
+
+
 def normalized(counts: DataFrame, libraries: DataFrame, mapped: DataFrame) -> DataFrame:
     """Counts by each library's ``norm``: null, blank or 1 unchanged; a number divides; ``rpm`` divides by million mapped reads."""
     text = F.lower(F.trim(F.coalesce("norm", F.lit(""))))

@@ -95,6 +95,11 @@ def wald_tests(normalized: DataFrame, groups: DataFrame, comparisons: DataFrame)
     return bh_adjusted(wide.withColumn("pvalue", p).select("cond1", "cond2", *GENE, "baseMean", "log2FoldChange", "lfcSE", "stat", "pvalue"), ["cond1", "cond2"])
 
 
+def with_metadata(results: DataFrame, features: DataFrame) -> DataFrame:
+    """Comparison rows with the names of their features (feature_id, classifier, feature_name); others are left out."""
+    return results.join(features.select(*GENE, "feature_name").distinct(), GENE)
+
+
 def two_sided(z):
     """2 * (1 - Phi(|z|)), by the rational approximation 26.2.17 of Abramowitz and Stegun (error below 1e-7)."""
     x = F.abs(z)

@@ -67,6 +67,35 @@ def scatter_points(averages: DataFrame, x: str, y: str) -> DataFrame:
     return wide.select(*GENE, F.col(f"`{x}`").alias("x"), F.col(f"`{y}`").alias("y")).where("x > 0 or y > 0")
 
 
+def scatter_groups(points: DataFrame, results: DataFrame, cutoff: float = 0.05, by_class: bool = True, rest: str = "p >= cutoff") -> DataFrame:
+    """Points with their group: the classifier (or one group) of those below the cutoff, ``rest`` for the others.
+
+    ``place`` is the order of drawing: groups by size, the largest first, so that small ones lie on top.
+    """
+    hits = significant(results, cutoff).select(*GENE).distinct().withColumn("hit", F.lit(True))
+    name = F.col("classifier") if by_class else F.lit("p < cutoff")
+    grouped = points.join(hits, GENE, "left").withColumn("grp", F.when(F.col("hit"), name).otherwise(rest)).drop("hit")
+    sizes = grouped.groupBy("grp").agg(F.count("*").alias("n"))
+    order = sizes.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "grp"))).alias("x"))  # one row a group
+    places = order.select(F.posexplode("x").alias("place", "x")).select("place", "x.grp")
+    return grouped.join(F.broadcast(places), "grp").select(*GENE, "x", "y", "grp", "place")
+
+
+def class_colours(classes: list[str], palette: list[str]) -> dict[str, str]:
+    """A colour for each class, in order; an error if the palette has too few."""
+    if len(classes) > len(palette):
+        raise ValueError(f"{len(classes)} classes, but {len(palette)} colours")
+    return dict(zip(sorted(classes), palette, strict=False))
+
+
+def replicate_points(counts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(feature_id, classifier, grp, rep1, rep2, x, y): counts of each pair of replicates; genes without any are left out."""
+    side = lambda k: counts.select(*GENE, F.col("library").alias(f"library{k}"), F.col("count").alias("xy"[k - 1]))
+    named = pairs.select("grp", "rep1", "rep2", *[F.concat("grp", F.lit("_rep_"), f"rep{k}").alias(f"library{k}") for k in (1, 2)])
+    both = side(1).join(F.broadcast(named), "library1").join(side(2), ["library2", *GENE])
+    return both.where("x > 0 or y > 0").select(*GENE, "grp", "rep1", "rep2", "x", "y")
+
+
 def view_limits(averages: DataFrame) -> DataFrame:
     """(lo, hi): log2 of the least count above zero and of the greatest; zeros are drawn at lo."""
     return averages.agg(F.log2(F.min(F.when(F.col("count") > 0, F.col("count")))).alias("lo"), F.log2(F.max("count")).alias("hi"))

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from ..durable import durable
 from .intervals import merge_intervals, with_shift
 
-#: Rounds of pointer jumping for lineages: chains of up to 2**ROUNDS generations; a longer one, or a cycle, is an error.
-ROUNDS = 12
-
 
 def has_identity(attrs: Column, key: Column, val: Column) -> Column:
     """Whether the attributes hold the (key, value) pair, without case; a null key or value matches any."""
@@ -51,7 +48,7 @@ def roots(parents: DataFrame, matched: DataFrame) -> DataFrame:
     state = nodes.join(links, nodes["id"] == links["child"], "left").select("id", F.col("parent").alias("up"))
     state = state.join(hit, state["up"] == hit["m"], "left").select("id", "up", F.col("m").alias("best"))
     # up: the ancestor reached; best: the highest match among those passed, up included
-    for _ in range(ROUNDS):
+    for _ in range(nodes.count().bit_length() + 1):  # enough for one chain of all ids
         above = state.select(F.col("id").alias("a"), F.col("up").alias("a_up"), F.col("best").alias("a_best"))
         state = state.join(above, state["up"] == above["a"], "left").select("id", F.col("a_up").alias("up"), F.coalesce("a_best", "best").alias("best"), F.col("up").isNotNull().alias("moving"))
         state = durable(state)

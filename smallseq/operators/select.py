@@ -67,10 +67,12 @@ def choose(pairs: DataFrame) -> DataFrame:
 
 def with_hits(chosen: DataFrame, normalize: bool = True) -> DataFrame:
     """Adds hits (features with classifier of the alignment), n_rules (rules of the pair) and fcorr (the pair's share)."""
-    hits = F.size(F.collect_set(F.struct(*PAIR)).over(Window.partitionBy(*ROW)))
+    # one sort by row and pair serves all three windows
+    pair = F.dense_rank().over(Window.partitionBy(*ROW).orderBy(*PAIR))
     n_rules = F.count("*").over(Window.partitionBy(*ROW, *PAIR))
     share = F.col("corr") / F.col("hits").cast("double") if normalize else F.col("corr")
-    return chosen.withColumns({"hits": hits, "n_rules": n_rules}).withColumn("fcorr", share)
+    ranked = chosen.withColumns({"__pair": pair, "n_rules": n_rules})
+    return ranked.withColumn("hits", F.max("__pair").over(Window.partitionBy(*ROW))).drop("__pair").withColumn("fcorr", share)
 
 
 def assign(alignments: DataFrame, matches: DataFrame, norm_loci: bool = True, norm_hits: bool = True, small: bool | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .durable import durable
 from .operators import counts as C
 from .operators import dge, plotdata, reads, reference, select, validate
+from .report import Report
 from .rules import Rule, rule_table
 from .sources import bam, sheets, sinks, textual
 
@@ -217,20 +218,46 @@ def compare(counts: DataFrame, samples: list[sheets.Sample], control: str | None
     return {"norm_counts": normalized, "comparisons": results, "pca": dge.principal_components(normalized)}
 
 
-def plot_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The data of every plot that the given tables allow."""
+@dataclass(frozen=True)
+class PlotOptions:
+    """What is drawn: significance, the lengths' axis, classes with or without, and what the unassigned rest is called."""
+
+    p_value: float = 0.05
+    len_dist_min: int | None = None
+    len_dist_max: int | None = None
+    classes_include: tuple[str, ...] = ()
+    classes_exclude: tuple[str, ...] = ()
+    unassigned_class: str = "_UNASSIGNED_"
+    unknown_class: str = "_UNKNOWN_"
+    plots: tuple[str, ...] = ("len_dist", "class_charts", "rule_charts", "replicate_scatter", "sample_avg_scatter_by_dge")
+
+
+def plot_tables(tables: dict[str, DataFrame], options: PlotOptions = PlotOptions()) -> dict[str, DataFrame]:
+    """The data of every wanted plot that the given tables allow."""
     out = {}
-    mapped = tables.get("summary_stats")
-    if "mapped_nt_len_dist" in tables:
-        out["len_dist_mapped"] = plotdata.length_proportions(tables["mapped_nt_len_dist"])
-    if "assigned_nt_len_dist" in tables:
-        out["len_dist_assigned"] = plotdata.length_proportions(tables["assigned_nt_len_dist"])
-    if mapped is not None and "feature_counts" in tables:
-        out["class_charts"] = plotdata.proportions(plotdata.class_counts(tables["feature_counts"]), mapped, "classifier")
-    if mapped is not None and "counts_by_rule" in tables:
+    mapped, want = tables.get("summary_stats"), set(options.plots)
+    axis = {"shortest": options.len_dist_min, "longest": options.len_dist_max}
+    for kind in ("mapped", "assigned"):
+        if "len_dist" in want and f"{kind}_nt_len_dist" in tables:
+            out[f"len_dist_{kind}"] = plotdata.length_proportions(tables[f"{kind}_nt_len_dist"], **axis)
+    if "class_charts" in want and mapped is not None and "feature_counts" in tables:
+        named = tables["feature_counts"].withColumn("classifier", F.when(F.trim("classifier") == "", options.unknown_class).otherwise(F.col("classifier")))
+        out["class_charts"] = plotdata.proportions(plotdata.class_counts(named), mapped, "classifier", unassigned=options.unassigned_class)
+    if "rule_charts" in want and mapped is not None and "counts_by_rule" in tables:
         out["rule_charts"] = plotdata.proportions(tables["counts_by_rule"], mapped, "rule_idx", unassigned="N")
-    if "norm_counts" in tables:
-        out["sample_averages"] = plotdata.sample_averages(tables["norm_counts"])
+    if "norm_counts" not in tables:
+        return out
+    chosen = plotdata.class_filter(tables["norm_counts"], list(options.classes_include), list(options.classes_exclude))
+    averages = out["sample_averages"] = plotdata.sample_averages(chosen)
+    libraries = chosen.select("library").distinct()
+    if "replicate_scatter" in want:
+        pairs = dge.replicate_pairs(libraries.select(F.split("library", "_rep_")[0].alias("grp"), F.split("library", "_rep_")[1].alias("replicate")))
+        out["replicate_scatter"] = plotdata.replicate_points(chosen, pairs)
+    if "sample_avg_scatter_by_dge" in want and "comparisons" in tables:
+        results = tables["comparisons"]
+        for a, b in sorted(results.select("cond1", "cond2").distinct().collect()):  # one row a comparison
+            points = plotdata.scatter_points(averages, a, b)
+            out[f"scatter_{a}_vs_{b}"] = plotdata.scatter_groups(points, results.where((F.col("cond1") == a) & (F.col("cond2") == b)), options.p_value)
     return out
 
 
@@ -243,7 +270,7 @@ def _session() -> SparkSession:
     return SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
-def run(spark: SparkSession, config_file: str, steps: tuple[str, ...] = ("align", "count", "dge", "plot"), again: bool = False) -> None:
+def run(spark: SparkSession, config_file: str, steps: tuple[str, ...] = ("align", "count", "dge", "plot"), again: bool = False, options: dict | None = None) -> None:
     """Steps of a run named in a configuration: samples_csv, features_csv, gff_files, genome_files, run_directory.
 
     Samples that are FASTQ files are filtered, collapsed and aligned to the genome first; alignment files go straight to
@@ -251,6 +278,7 @@ def run(spark: SparkSession, config_file: str, steps: tuple[str, ...] = ("align"
     their own, stamped with the time, and later steps read the newest.
     """
     config = sheets.read_config(config_file)
+    sheets.check_paths(config, config_file)
     listed = lambda key: [sheets.resolved(g["path"] if isinstance(g, dict) else g, config_file) for g in config.get(key) or []]
     at = lambda key: sheets.resolved(config[key], config_file)
     folder = at("run_directory")
@@ -260,7 +288,7 @@ def run(spark: SparkSession, config_file: str, steps: tuple[str, ...] = ("align"
     profile(config_file, config, folder)
     if "count" in steps:
         rules, genome = sheets.read_rules(at("features_csv")), listed("genome_files")
-        options = CountOptions(**{k: config[k] for k in CountOptions.__dataclass_fields__ if k in config and k != "aliases"})
+        options = CountOptions(**{k: config[k] for k in CountOptions.__dataclass_fields__ if k in config and k != "aliases"} | (options or {}))
         raw = all(Path(s.file).suffix.lower() in (".fastq", ".fq", ".gz") for s in samples)
         out = place("count")
         alignments, stats = aligned_reads(spark, samples, genome, config, out) if raw else (None, None)
@@ -274,16 +302,23 @@ def run(spark: SparkSession, config_file: str, steps: tuple[str, ...] = ("align"
                 if not s.file.endswith(".bam"):
                     head = [r[0] for r in textual.lines(spark, s.file).where(F.col("value").startswith("@")).orderBy("line_no").select("value").collect()]  # the header alone
                     sinks.decollapsed_alignments(textual.alignments(spark, s.file, s.library, raw=True), head, f"{out}/{s.library}_decollapsed")
-        for w in result.warnings:
-            print(f"warning: {w}")
+        if result.warnings:
+            told = Report()
+            for w in result.warnings:
+                told.warning(w)
+            print(told.text())
     read = lambda name: spark.read.parquet(f"{latest(folder, 'count')}/tables/{name}")
     if "dge" in steps and sheets.enough_replicates(samples):
         control = next((s.group for s in samples if s.control), None)
         write_tables(Counted(compare(read("feature_counts"), samples, control, bool(config.get("drop_zero")))), place("dge"))
     if "plot" in steps:
         tables = {name: read(name) for name in ("feature_counts", "counts_by_rule", "summary_stats", "mapped_nt_len_dist", "assigned_nt_len_dist")}
+        if sheets.enough_replicates(samples):
+            compared = latest(folder, "dge")
+            tables |= {name: spark.read.parquet(f"{compared}/tables/{name}") for name in ("norm_counts", "comparisons")}
+        given = {k.removeprefix("plot_"): tuple(v) if isinstance(v, list) else v for k, v in config.items() if k.startswith("plot_") and k.removeprefix("plot_") in PlotOptions.__dataclass_fields__}
         out = place("plots")
-        write_tables(Counted(plot_tables(tables)), out)
+        write_tables(Counted(plot_tables(tables, PlotOptions(**given))), out)
         draw(spark, out, [s.library for s in samples])
 
 
@@ -329,6 +364,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("-c", "--compress", action="store_true")
     p.add_argument("--5p-trim", dest="five", type=int, default=0)
     p.add_argument("--3p-trim", dest="three", type=int, default=0)
+    p = sub.add_parser("count", help="counts alone, with their options")
+    p.add_argument("--config", required=True)
+    p.add_argument("-ng", "--no-genomic-normalization", dest="normalize_by_genomic_hits", action="store_false")
+    p.add_argument("-nf", "--no-feature-normalization", dest="normalize_by_feature_hits", action="store_false")
+    p.add_argument("-vs", "--no-verify-stats", dest="verify_stats", action="store_false")
+    p.add_argument("-dc", "--decollapse", action="store_true")
+    p.add_argument("-d", "--report-diags", action="store_true")
+    p.add_argument("-a", "--all-features", action="store_true")
     p = sub.add_parser("templates")
     p.add_argument("-o", "--output", default=".")
     args = parser.parse_args(argv)
@@ -337,6 +380,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = _session()
     if args.command == "collapse":
         return collapse(spark, args.input, args.output, args.threshold, args.compress, args.five, args.three)
+    if args.command == "count":
+        return run(spark, args.config, ("count",), again=True, options={k: getattr(args, k) for k in CountOptions.__dataclass_fields__ if hasattr(args, k)})
     run(spark, args.config, args.steps, args.again)
 
 

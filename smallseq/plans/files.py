@@ -305,3 +305,45 @@ def strandedness(spark, sf):
 def replicate_counts(spark, sf):
     libraries = _part(spark, sf).select(F.col("p_brand").alias("grp"), F.col("p_size").alias("replicate")).distinct()
     return dge.replicate_counts(libraries)
+
+
+@query(f"""WITH {CTES}, f AS (SELECT library, classifier, sum(count) AS feature_sum FROM counts GROUP BY ALL), n AS (SELECT DISTINCT library FROM aln),
+r AS (SELECT library, rules.classifier, coalesce(sum(fcorr / n_rules), 0) AS rule_sum FROM n CROSS JOIN rules LEFT JOIN sel USING (library, rule_idx) GROUP BY ALL)
+SELECT library, classifier, round(coalesce(feature_sum, 0), 6) AS feature_sum, round(coalesce(rule_sum, 0), 6) AS rule_sum, abs(coalesce(feature_sum, 0) - coalesce(rule_sum, 0)) < 1 AS agree FROM r FULL JOIN f USING (library, classifier)""")
+def class_check(spark, sf):
+    """Totals of each classifier by features against those by rules."""
+    from ..durable import durable
+    from .registry import _assigned
+
+    assigned = durable(_assigned(spark, sf))
+    rules = B.rules(spark)
+    found = C.class_check(C.feature_counts(assigned), C.rule_counts(assigned, rules, B.libraries(spark, sf)), rules)
+    return _rounded(found, "feature_sum", "rule_sum")
+
+
+_POINTS = _AVG + """, w AS (SELECT feature_id, classifier, sum(count) FILTER (grp = 'g0') AS x, sum(count) FILTER (grp = 'g1') AS y FROM av GROUP BY ALL),
+p AS (SELECT feature_id, classifier, x, y, CASE WHEN EXISTS (SELECT 1 FROM part WHERE CAST(p_partkey AS STRING) = w.feature_id AND p_size < 5) THEN classifier ELSE 'p >= cutoff' END AS grp FROM w WHERE x > 0 OR y > 0),
+o AS (SELECT grp, row_number() OVER (ORDER BY count(*) DESC, grp) - 1 AS place FROM p GROUP BY grp)"""
+
+
+@query(_POINTS + " SELECT feature_id, classifier, round(x, 6) AS x, round(y, 6) AS y, grp, CAST(place AS INTEGER) AS place FROM p JOIN o USING (grp)")
+def scatter_groups(spark, sf):
+    """Points of a scatter with their group and its place in the order of drawing."""
+    results = _part(spark, sf).selectExpr("cast(p_partkey as string) as feature_id", "p_size / 100 as padj").join(B.matches(spark, sf).select("feature_id", "classifier").distinct(), "feature_id")
+    return _rounded(plotdata.scatter_groups(plotdata.scatter_points(_averages(spark, sf), "g0", "g1"), results), "x", "y")
+
+
+@query(f"WITH {CTES}, z AS (SELECT * FROM counts) SELECT a.feature_id, a.classifier, split_part(a.library, '_rep_', 1) AS grp, split_part(a.library, '_rep_', 2) AS rep1, split_part(b.library, '_rep_', 2) AS rep2, round(a.count, 6) AS x, round(b.count, 6) AS y FROM z a JOIN z b ON a.feature_id = b.feature_id AND a.classifier = b.classifier AND split_part(a.library, '_rep_', 1) = split_part(b.library, '_rep_', 1) AND a.library < b.library")
+def replicate_points(spark, sf):
+    """Counts of genes in each pair of replicates (here of genes that both have)."""
+    libs = B.libraries(spark, sf)
+    pairs = dge.replicate_pairs(libs.select(S.group_of(F.col("library")).alias("grp"), F.split("library", "_rep_")[1].alias("replicate")))
+    return _rounded(plotdata.replicate_points(_counts(spark, sf), pairs), "x", "y")
+
+
+@query(f"SELECT cond1, feature_id, classifier, padj, 'name of ' || feature_id AS feature_name FROM ({_RESULTS.format(part='part')}) r WHERE feature_id < 'm'")
+def dge_with_metadata(spark, sf):
+    """Comparison rows with their features' names."""
+    rows = spark.sql(_RESULTS, part=_part(spark, sf))
+    names = rows.where("feature_id < 'm'").select("feature_id", "classifier", F.concat(F.lit("name of "), "feature_id").alias("feature_name"))
+    return dge.with_metadata(rows, names).select("cond1", "feature_id", "classifier", "padj", "feature_name")

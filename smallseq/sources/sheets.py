@@ -170,6 +170,46 @@ def resolved(path: str, config_file: str | Path) -> str:
     return str(p if p.is_absolute() else (Path(config_file).resolve().parent / p))
 
 
+def check_paths(config: dict, config_file: str | Path, required: tuple[str, ...] = ("samples_csv", "features_csv", "run_directory"), lists: tuple[str, ...] = ("gff_files", "genome_files")) -> None:
+    """Raises for keys that a configuration lacks, and for files that it names and that are not there."""
+    if missing := [k for k in required if not config.get(k)]:
+        raise ValueError(f"{config_file}: missing: {', '.join(missing)}")
+    named = [config[k] for k in required if k.endswith("_csv")]
+    for key in lists:
+        entries = config.get(key) or []
+        if not isinstance(entries, list):
+            raise ValueError(f"{config_file}: {key} has to be a list")
+        named += [x["path"] if isinstance(x, dict) else x for x in entries]
+    if gone := [x for x in named if x and not Path(resolved(x, config_file)).is_file()]:
+        raise ValueError(f"{config_file}: no such file: {', '.join(gone)}")
+
+
+@dataclass(frozen=True)
+class Upgrade:
+    """What a version changed in configurations: keys renamed, keys added with a value; ``blocked``: by hand only."""
+
+    version: str
+    rename: tuple[tuple[str, str], ...] = ()
+    add: tuple[tuple[str, object], ...] = ()
+    blocked: bool = False
+
+
+def version_key(text: str | None) -> tuple[int, ...]:
+    return tuple(int(x) for x in re.findall(r"\d+", text or "0"))
+
+
+def upgraded(config: dict, upgrades: list[Upgrade]) -> dict:
+    """A configuration brought to the newest version, keys in their place; raises if a step on the way is blocked."""
+    steps = sorted((u for u in upgrades if version_key(u.version) > version_key(config.get("version"))), key=lambda u: version_key(u.version))
+    if blocked := [u.version for u in steps if u.blocked]:
+        raise ValueError(f"the configuration is too old to be upgraded: version {blocked[0]} has to be followed by hand")
+    for u in steps:
+        names = dict(u.rename)
+        config = {names.get(k, k): v for k, v in config.items()}
+        config = config | {k: v for k, v in u.add if k not in config} | {"version": u.version}
+    return config
+
+
 def filter_reports(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, total_reads, retained_reads) of read filters' JSON reports; a malformed one gives nulls."""
     schema = "summary struct<before_filtering struct<total_reads bigint>, after_filtering struct<total_reads bigint>>"

@@ -225,3 +225,38 @@ def test_decollapsed_alignments(spark, files):
 def test_templates(tmp_path):
     pipeline.main(["templates", "-o", str(tmp_path)])
     assert sheets.read_rules(tmp_path / "features.csv") == []
+
+
+def test_report_text():
+    from smallseq.report import Report
+
+    r = Report({"x": "The x"})
+    r.warning("careful", {"x": {"a": 1, "b": []}, "y": ["p", "q"], "z": {}})
+    r.error("bad", "why")
+    lines = r.text().split("\n")
+    assert lines[0].startswith("========[ ERROR ]==") and lines[1:3] == ["bad", "why"]
+    assert "\tThe x: " in lines and "\t\ta: 1" in lines and "\t\t\t[ NONE ]" in lines and "\t\tp" in lines and "\t\t{ NONE }" in lines
+
+
+def test_configurations_are_upgraded():
+    steps = [sheets.Upgrade("1.10", add=(("k", 3),)), sheets.Upgrade("1.2", rename=(("old", "new"),)), sheets.Upgrade("0.9", blocked=True)]
+    got = sheets.upgraded({"old": 1, "other": 2, "version": "v1.1"}, steps)
+    assert got == {"new": 1, "other": 2, "version": "1.10", "k": 3} and list(got)[0] == "new"
+    assert sheets.upgraded(got, steps) == got
+    with pytest.raises(ValueError, match="by hand"):
+        sheets.upgraded({"old": 1}, steps)
+
+
+def test_paths_are_checked(files):
+    with pytest.raises(ValueError, match="missing: features_csv"):
+        sheets.check_paths({"samples_csv": "a", "run_directory": "r"}, files / "c.yml")
+    with pytest.raises(ValueError, match="no such file: gone.gff"):
+        sheets.check_paths({"samples_csv": "a.sam", "features_csv": "a.sam", "run_directory": "r", "gff_files": ["a.gff3", {"path": "gone.gff"}]}, files / "c.yml")
+
+
+def test_colours():
+    from smallseq.operators import plotdata
+
+    assert plotdata.class_colours(["b", "a"], ["red", "blue", "green"]) == {"a": "red", "b": "blue"}
+    with pytest.raises(ValueError):
+        plotdata.class_colours(["b", "a"], ["red"])
