@@ -160,8 +160,13 @@ def unaligned_sink(spark, sf):
     return textual.fasta(spark, path).select("name", "seq")
 
 
+#: Two decimals, half to even, in whole millionths (a double just below a half would go the other way).
+_MILLIONTHS = "CAST(round(count * 1000000) AS BIGINT)"
+_CENTS = f"({_MILLIONTHS} // 10000 + CASE WHEN {_MILLIONTHS} % 10000 > 5000 OR ({_MILLIONTHS} % 10000 = 5000 AND {_MILLIONTHS} // 10000 % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE"
+
+
 # ---- reports --------------------------------------------------------------------------------------------------------
-@query(f"WITH {CTES} SELECT feature_id, classifier, library, round_even(round(count, 6), 2) AS count FROM counts")
+@query(f"WITH {CTES} SELECT feature_id, classifier, library, {_CENTS} AS count FROM counts")
 def counts_report(spark, sf):
     """The long report as CSV, two decimals half to even, read back."""
     path = new_folder(spark, "report")
@@ -178,7 +183,7 @@ def counts_wide(spark, sf):
     return _rounded(sinks.wide(_counts(spark, sf), ["feature_id", "classifier"], _LIBRARIES), *_LIBRARIES)
 
 
-@query(f"WITH {CTES} SELECT library, feature_id, classifier, round_even(round(count, 6), 2) AS count FROM counts")
+@query(f"WITH {CTES} SELECT library, feature_id, classifier, {_CENTS} AS count FROM counts")
 def counts_reread(spark, sf):
     """The wide report written and read again in long form; zeros that were filled in are left out."""
     path = new_folder(spark, "report")
