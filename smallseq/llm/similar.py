@@ -32,6 +32,7 @@ from .shingles import shingle_set, simhash
 SAMPLE, OFTEN, HOT = 4000, 3, 200_000
 #: Shingles that a task gathers; texts of one shingle that are compared in one block; prefix shingles that two texts share.
 GATHER, BLOCK, SHARED = 1_000_000, 5000, 3
+_COUNT, _COUNTED = np.dtype([("t", "<i8"), ("shared", "<i4")]), ["home", "t", "n", "hot", "counts"]
 _ROW = np.dtype([("gram", "<u8"), ("t", "<i8"), ("n", "<i4")])
 
 
@@ -70,6 +71,12 @@ def most_common(x: bytes, y: bytes) -> int:
     return int(np.minimum(a.reshape(k, -1).sum(axis=1), b.reshape(k, -1).sum(axis=1)).sum())
 
 
+def similar_enough(n: int, m: int, x: bytes | None, y: bytes | None, percent: int) -> bool:
+    """Whether two sets of n and m members can be so similar, by their sketches."""
+    common = min(n, m) if x is None or y is None else most_common(x, y)
+    return 100 * common >= percent * (n + m - common)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(t, text) -> (t, grams): the whole set."""
     for batch in by_volume(batches):
@@ -119,15 +126,16 @@ def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(packed, "<i8", docs, 8), np.frombuffer(packed, "<u4", rows, at), np.frombuffer(packed, "<u2" if docs < 1 << 16 else "<u4", rows, at + 4 * rows)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a range of shingles -> (t, n, shared): texts with their size and hot shingles, and (n null) how many of a text's
-    shingles in the range another text has too."""
+def _counted(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a range of shingles -> (home, t, n, hot, counts): texts with their size and hot shingles as they came, and,
+    packed for each home of texts, how many of a text's shingles in the range another text has too."""
     nothing_held()
     found = []
     for batch in batches:
         own = batch.filter(batch.column(0).is_valid())
         if own.num_rows:
-            yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), own.column(2)], ["t", "n", "shared"])
+            home = pa.array((own.column(0).to_numpy() % parts).astype("i4"))
+            yield pa.RecordBatch.from_arrays([home, own.column(0), own.column(1), own.column(2), pa.nulls(own.num_rows, pa.binary())], _COUNTED)
         found += [_unpacked(x.as_py()) for x in batch.column(3) if x.is_valid]
     if found:
         begin = np.cumsum([0, *(len(d) for d, _, _ in found)])
@@ -140,10 +148,35 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         many = np.bincount((key[shared] & np.uint64(0xFFFFFFFF)).astype("i8"), minlength=len(t))
         some = np.flatnonzero(many)
-        yield pa.RecordBatch.from_arrays([pa.array(t[some]), pa.nulls(len(some), pa.int32()), pa.array(many[some], pa.int32())], ["t", "n", "shared"])
+        t, many = t[some], many[some]
+        home = t % parts
+        order = np.argsort(home, kind="stable")
+        cut = np.flatnonzero(np.diff(home[order], prepend=-1))
+        rows = np.empty(len(t), _COUNT)
+        rows["t"], rows["shared"] = t[order], many[order]
+        packed = [x.tobytes() for x in np.split(rows, cut[1:])] if len(cut) else []
+        none = pa.nulls(len(packed), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(home[order][cut], pa.int32()), pa.nulls(len(packed), pa.int64()), none, none, pa.array(packed, pa.binary())], _COUNTED)
     give_back()
 
 
+def _summed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Texts' sizes and hot shingles, and packed counts of their ranges -> (t): texts with enough shared shingles."""
+    sizes, counts = [], []
+    for batch in batches:
+        own = batch.filter(batch.column(0).is_valid())
+        sizes.append(np.stack([own.column(i).to_numpy().astype("i8") for i in range(3)], axis=1))
+        counts += [np.frombuffer(x.as_py(), _COUNT) for x in batch.column(3) if x.is_valid]
+    if sizes:
+        size = np.concatenate(sizes)
+        t, first = np.unique(size[:, 0], return_index=True)
+        n, shared = size[first, 1], size[first, 2].copy()
+        if counts and len(t):
+            count = np.concatenate(counts)
+            np.add.at(shared, np.searchsorted(t, count["t"]), count["shared"])
+        yield pa.RecordBatch.from_arrays([pa.array(t[100 * shared >= percent * n])], ["t"])
+
+
 def _prints(batches: Iterator[pa.RecordBatch], words: int, percent: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(t, text) -> (t, n, fp, sketch, grams): the set's size, fingerprint, sketch and prefix."""
     for batch in by_volume(batches):
@@ -207,24 +240,24 @@ def _chained(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 
 def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, cell, n, t, root, block), sorted -> pairs within a cell, of different groups and of sizes near enough.
+    """Rows (gram, cell, n, t, root, block, sketch), sorted -> pairs within a cell, of different groups, of sizes near enough,
+    that their sketches do not rule out.
 
     A cell holds one block of a gram's texts, or two, whose pairs across are meant.
     """
-    tail = None
+    nothing_held()
+    rows, sketches = np.empty((0, 6), "i8"), []
     for batch in batches:
-        rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
-        if tail is not None:
-            rows = np.concatenate([tail, rows])
+        rows = np.concatenate([rows, np.stack([batch.column(i).to_numpy() for i in range(6)], axis=1)])
+        sketches += batch.column(6).to_pylist()
         cut = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1))
         end = int(cut[-1]) + 1 if len(cut) else 0
-        yield from _pairs(rows[:end], percent)
-        tail = rows[end:]
-    if tail is not None:
-        yield from _pairs(tail, percent)
+        yield from _pairs(rows[:end], sketches[:end], percent)
+        rows, sketches = rows[end:], sketches[end:]
+    yield from _pairs(rows, sketches, percent)
 
 
-def _pairs(rows: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+def _pairs(rows: np.ndarray, sketches: list[bytes | None], percent: int) -> Iterator[pa.RecordBatch]:
     gram, cell, n, t, root, block = rows.T
     if not len(rows):
         return
@@ -238,6 +271,7 @@ def _pairs(rows: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
         alive = alive[near]
         other = alive + step
         found = alive[(root[alive] != root[other]) & (~two[alive] | (block[alive] != block[other]))]
+        found = found[[similar_enough(int(n[i]), int(n[i + step]), sketches[i], sketches[i + step], percent) for i in found.tolist()]] if len(found) else found
         if len(found):
             yield _pair_batch(t[found], t[found + step], n[found], percent)
         step += 1
@@ -258,10 +292,7 @@ def _alike(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """(a, b, sizes, sketches) -> the pairs that their sketches do not rule out."""
     for batch in batches:
-        keep = []
-        for p, q, x, y in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
-            common = min(p, q) if x is None or y is None else most_common(x, y)
-            keep.append(100 * common >= percent * (p + q - common))
+        keep = [similar_enough(*case, percent) for case in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -294,10 +325,9 @@ def _with_partners(texts: DataFrame, words: int, percent: int) -> tuple[DataFram
     hot = _frequent(texts, words, n)
     parts = max(partitions_for(texts), (chars or 0) // 5 // GATHER + 1)
     spread = texts.mapInArrow(partial(_spread, words=words, parts=parts, hot=hot), "part int, t long, n int, hot int, rows binary")
-    counted = spread.repartitionById(parts, "part").select("t", "n", "hot", "rows").mapInArrow(_counted, "t long, n int, shared int")
-    sizes, shared = F.when(F.col("n").isNotNull(), F.col("shared")), F.when(F.col("n").isNull(), F.col("shared"))
-    totals = counted.groupBy("t").agg(F.max("n").alias("n"), (F.max(sizes) + F.coalesce(F.sum(shared), F.lit(0))).alias("shared"))
-    some = materialise(totals.where(100 * F.col("shared") >= percent * F.col("n")).select("t"), "with-partners")
+    counted = spread.repartitionById(parts, "part").select("t", "n", "hot", "rows").mapInArrow(partial(_counted, parts=parts), "home int, t long, n int, hot int, counts binary")
+    some = counted.repartitionById(parts, "home").select("t", "n", "hot", "counts").mapInArrow(partial(_summed, percent=percent), "t long")
+    some = materialise(some, "with-partners")
     return materialise(texts.join(broadcast_if_small(some), "t", "left_semi").dropDuplicates(["t"]), "near-texts"), hot
 
 
@@ -332,9 +362,10 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80, near: Callable[[Da
     open_ = rooted.groupBy("gram").agg(F.count("*").alias("texts"), F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
     open_ = materialise(open_.select("gram", F.floor((F.col("texts") + (BLOCK - 1)) / BLOCK).cast("long").alias("blocks")), "open")
     block = F.pmod(F.xxhash64("t"), F.col("blocks"))
-    rows = rooted.join(open_, "gram").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    seen = prints.select("t", "sketch")
+    rows = rooted.join(open_, "gram").join(seen, "t").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cell = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
-    rows = rows.select("gram", cell.alias("cell"), "n", "t", "root", "block")
+    rows = rows.select("gram", cell.alias("cell"), "n", "t", "root", "block", "sketch")
     rest = rows.repartition("gram", "cell").sortWithinPartitions("gram", "cell", "n", "t").mapInArrow(partial(_compared, percent=percent), "a long, b long, need int")
     return first.union(_verified(_often_enough(rest), texts, prints, words, percent))
 
