@@ -213,7 +213,7 @@ SELECT stat, library, round(value, 6) AS value FROM (
  UNION ALL SELECT 'Mapped Sequences', library, seqs FROM x UNION ALL SELECT 'Mapped Reads', library, mapped FROM x UNION ALL SELECT 'Assigned Reads', library, assigned FROM x)""")
 def summary_report(spark, sf):
     """Every row of the summary: the filter's (here: twice what it retained), the collapser's, the counts'."""
-    rows = spark.sql(B.ALN, lineitem=B.lineitem(spark, sf)).select("library", F.col("row_key").alias("read_idx"), "seq")
+    rows = B.alignments(spark, sf).select("library", F.col("row_key").alias("read_idx"), "seq")
     collapsed = reads.collapse(rows)
     unique = collapsed.groupBy("library").agg((F.max("seq_id") + 1).alias("unique"))
     filtered = collapsed.groupBy("library").agg((2 * F.sum("read_count")).alias("total_reads"), F.sum("read_count").alias("retained_reads"))
