@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..durable import durable
+
 #: Bin widths of the overlap join: WIDTH * STEP ** level. An interval lies on the first level on which it is no longer than
 #: SPAN bins, so it covers few bins, and none that is much longer than itself.
 WIDTH, STEP, SPAN, LEVELS = 64, 4, 8, 16
 #: The interval side is broadcast up to so many rows (after binning); beyond, both sides are shuffled by bin.
 BROADCAST_ROWS = 500_000
+#: So many tiles (of up to 256 places) are broadcast in a lookup of counts; beyond, both sides are shuffled by tile.
+TILE_ROWS = 2_000
 
 
 def _level(start: str, end: str) -> Column:
@@ -53,6 +57,47 @@ def interval_join(left: DataFrame, right: DataFrame, small: bool | None = None)
     return a.join(F.broadcast(f) if small else f, on).drop("__at", "__bin", "__level", "__width", "__fchrom")
 
 
+def _tiles(points: DataFrame, tile: int) -> DataFrame:
+    """(chrom, pos) -> (chrom, tile, before, marks, last): points before each tile, and those in it as sums up to each place.
+
+    Every tile from a chromosome's first to its last has a row (``last``: its number); distinct places bound a tile's marks.
+    """
+    places = points.groupBy("chrom", "pos").agg(F.count("*").alias("n")).withColumn("tile", F.floor(F.col("pos") / tile))
+    upto = F.sum("n").over(Window.partitionBy("chrom", "tile").orderBy("pos"))
+    marks = F.collect_list(F.struct("pos", F.col("upto"))).alias("marks")
+    found = places.withColumn("upto", upto).groupBy("chrom", "tile").agg(F.sum("n").alias("n"), marks)
+    w = Window.partitionBy("chrom").orderBy("tile")
+    found = found.withColumns({"before": F.sum("n").over(w) - F.col("n"), "next": F.lead("tile").over(w), "last": F.max("tile").over(Window.partitionBy("chrom"))})
+    each = found.select("chrom", "last", "n", "before", "marks", "tile", F.explode(F.sequence("tile", F.coalesce(F.col("next") - 1, "tile"))).alias("t"))
+    own = F.col("t") == F.col("tile")
+    return each.select("chrom", "last", F.col("t").alias("tile"), F.when(own, F.col("before")).otherwise(F.col("before") + F.col("n")).alias("before"), F.when(own, F.col("marks")).alias("marks"))
+
+
+def _points_upto(left: DataFrame, points: DataFrame, at: Column, out: str, tile: int) -> DataFrame:
+    """Adds ``out``: the points (chrom, pos) of the row's chromosome at ``at`` or before."""
+    tiles = durable(_tiles(points, tile))
+    last = tiles.select(F.col("chrom").alias("__c"), F.col("last").alias("__last")).distinct()
+    rows = left.withColumn("__at", at).join(F.broadcast(last), F.col("chrom") == F.col("__c"), "left").withColumn("__tile", F.least(F.floor(F.col("__at") / tile), F.col("__last"))).drop("__c", "__last")
+    tiles = tiles.select(F.col("chrom").alias("__c"), F.col("tile").alias("__t"), F.col("before").alias("__before"), F.col("marks").alias("__marks"))
+    if tiles.count() <= TILE_ROWS:
+        tiles = F.broadcast(tiles)
+    rows = rows.join(tiles, (F.col("chrom") == F.col("__c")) & (F.col("__tile") == F.col("__t")), "left")
+    within = F.array_max(F.transform(F.filter("__marks", lambda m: m["pos"] <= F.col("__at")), lambda m: m["upto"]))
+    count = F.coalesce("__before", F.lit(0)) + F.coalesce(within, F.lit(0))
+    return rows.withColumn(out, count).drop("__at", "__tile", "__c", "__t", "__before", "__marks")
+
+
+def overlap_counts(left: DataFrame, right: DataFrame, out: str, tile: int = 256) -> DataFrame:
+    """Adds ``out``: how many intervals [fs, fe) of ``right`` overlap a row's [s, e) by at least one base.
+
+    Those that begin before its end, less those that end at its begin or before: no pair is made, whatever the depth.
+    """
+    right = right.where(F.col("fe") > F.col("fs"))
+    rows = _points_upto(left, right.select("chrom", F.col("fs").alias("pos")), F.col("e") - 1, "__begun", tile)
+    rows = _points_upto(rows, right.select("chrom", F.col("fe").alias("pos")), F.col("s"), "__ended", tile)
+    return rows.withColumn(out, F.col("__begun") - F.col("__ended")).drop("__begun", "__ended")
+
+
 def shifted(fs: Column, fe: Column, strand: Column, five: Column, three: Column) -> tuple[Column, Column]:
     """An interval's ends moved by a (5', 3') shift: along the strand, outwards by the larger one if unstranded."""
     both = F.greatest(five, three)

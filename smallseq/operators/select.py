@@ -6,10 +6,13 @@ Matches: feature_id, classifier, chrom, fs, fe (shifted), strand, record_id, and
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import interval_join
+from ..durable import durable
+from .intervals import interval_join, merge_intervals, overlap_counts
 
 ROW, PAIR = ["library", "name", "row_key"], ["feature_id", "classifier"]
 
@@ -84,5 +87,22 @@ def assign(alignments: DataFrame, matches: DataFrame, norm_loci: bool = True, no
 
 
 def candidate_counts(alignments: DataFrame, matches: DataFrame, small: bool | None = None) -> DataFrame:
-    """(library, name, row_key, candidates): distinct feature records that overlap; alignments without one have no row."""
-    return candidate_pairs(alignments, matches, small).groupBy(*ROW).agg(F.count_distinct("record_id").alias("candidates"))
+    """(library, name, row_key, candidates): distinct feature records that overlap; alignments without one have no row.
+
+    Records of one interval on a chromosome are counted by their ends, without pairs; those of several by their pairs, and
+    so are keys that several places share.
+    """
+    pieces = durable(merge_intervals(matches.where("fs < fe").select("record_id", "chrom", "fs", "fe").distinct(), ["record_id", "chrom"]))
+    each = pieces.withColumn("__n", F.count("*").over(Window.partitionBy("record_id", "chrom")))
+    several = each.where("__n > 1").drop("__n")
+    rows = alignments.where("s < e").groupBy(*ROW).agg(F.collect_set(F.struct("chrom", "s", "e")).alias("__places"))
+    rows = durable(rows)
+    single = rows.where(F.size("__places") == 1).select(*ROW, F.inline("__places"))
+    shared = rows.where(F.size("__places") > 1).select(*ROW, F.inline("__places"))
+    counts = [overlap_counts(single, each.where("__n = 1"), "candidates").where("candidates > 0").select(*ROW, "candidates")]
+    for some, records in ((single, several), (shared, pieces)):
+        if not some.isEmpty() and not records.isEmpty():
+            counts.append(interval_join(some, records, small).groupBy(*ROW).agg(F.count_distinct("record_id").alias("candidates")))
+    if len(counts) == 1:
+        return counts[0]
+    return reduce(DataFrame.unionByName, counts).groupBy(*ROW).agg(F.sum("candidates").alias("candidates"))

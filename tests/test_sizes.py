@@ -40,3 +40,25 @@ def test_keys_beyond_64_bits_are_whole(spark, shifted):
     rest = lambda r, key, name: tuple(r.asDict().values())[3:] + (key, name)
     got = {rest(r, int(r["row_key"]), r["name"]) for r in big.collect()}
     assert got == {rest(r, r["row_key"] + step, r["name"] + SHIFT) for r in small.collect()}
+
+
+def test_candidates_are_counted_without_pairs(spark):
+    """Alignments and features at one place: the pairs would be the product of both."""
+    from smallseq.operators import select
+
+    n = 40_000
+    places = spark.range(n).selectExpr("'l' as library", "id as name", "id as row_key", "if(id % 4 = 3, 'empty', 'c') as chrom", "id % 3000 as s", "id % 3000 + 20 as e")
+    places = places.unionByName(places.where("name in (1, 2)"))  # a repeated row counts once
+    features = spark.range(n).selectExpr("'c' as chrom", "id % 40 as fs", "2000 + id % 40 as fe", "id as record_id")
+    # one record of two intervals, and one whose intervals overlap
+    more = spark.createDataFrame([("c", 5000, 5010, -1), ("c", 2990, 2995, -1), ("c", 3000, 3001, -1), ("c", 100, 200, -2), ("c", 150, 300, -2)], "chrom string, fs long, fe long, record_id long")
+    got = {r["name"]: r["candidates"] for r in select.candidate_counts(places, features.unionByName(more)).collect()}
+    want = {}
+    for s in range(3000):
+        e = s + 20
+        if e - 1 >= 39 and s < 2000:
+            hit = n
+        else:
+            hit = sum(n // 40 for k in range(40) if k < e and s < 2000 + k)
+        want[s] = hit + (s < 2995 and e > 2990 or s < 3001 and e > 3000) + (s < 300 and e > 100)
+    assert got == {i: want[i % 3000] for i in range(n) if i % 4 < 3 and want[i % 3000]}
