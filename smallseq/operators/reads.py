@@ -95,10 +95,11 @@ def align(reads: DataFrame, genome: DataFrame, mismatches: int = 0, seed: int |
     index = tiles.select("chrom", "b", cut(seed - 1).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(tile - 1))).alias("o"))
     index = index.select("chrom", (F.col("b").cast("long") * tile + F.col("o")).alias("pos"), F.substring("g", F.col("o") + 1, F.lit(seed)).alias("kmer")).where(F.length("kmer") == seed)
     oriented = F.explode(F.array(*[F.struct(F.lit(f).alias("fwd"), (F.col("seq") if f else reverse_complement(F.col("seq"))).alias("q")) for f in strands]))
-    probe = reads.select("seq_id", "seq", oriented.alias("x")).select("seq_id", "seq", "x.fwd", "x.q")
+    # a sequence is looked up once, however many reads have it
+    probe = reads.select("seq").distinct().select("seq", oriented.alias("x")).select("seq", "x.fwd", "x.q")
     starts = F.explode(F.array(*[F.lit(i * seed) for i in range(pieces)]))
     probe = probe.select("*", starts.alias("so")).withColumn("kmer", F.substring("q", F.col("so") + 1, F.lit(seed))).where(F.length("kmer") == seed)
-    hit = probe.join(index, "kmer").withColumn("s", F.col("pos") - F.col("so")).where("s >= 0").select("seq_id", "seq", "fwd", "q", "chrom", "s")
+    hit = probe.join(index, "kmer").withColumn("s", F.col("pos") - F.col("so")).where("s >= 0").select("seq", "fwd", "q", "chrom", "s")
     hit = hit.distinct() if pieces > 1 else hit
     hit = hit.withColumn("b", F.floor(F.col("s") / tile).cast("int")).join(tiles.select("chrom", "b", cut(longest).alias("ctx")), ["chrom", "b"])
     hit = hit.withColumn("place", F.substring("ctx", (F.col("s") % tile).cast("int") + 1, F.length("q"))).where(F.length("place") == F.length("q"))
@@ -106,7 +107,9 @@ def align(reads: DataFrame, genome: DataFrame, mismatches: int = 0, seed: int |
         hit = hit.withColumn("nm", mismatch_count(F.col("place"), F.col("q"))).where(F.col("nm") <= mismatches)
     else:
         hit = hit.where(F.col("place") == F.col("q")).withColumn("nm", F.lit(0))
-    found = hit.select("seq_id", "seq", "chrom", "s", (F.col("s") + F.length("q")).cast("long").alias("e"), "fwd", "nm")
+    places = hit.select("seq", "chrom", "s", (F.col("s") + F.length("q")).cast("long").alias("e"), "fwd", "nm")
+    named = reads.select("seq_id", "seq").distinct() if pieces > 1 else reads.select("seq_id", "seq")
+    found = named.join(places, "seq").select("seq_id", "seq", "chrom", "s", "e", "fwd", "nm")
     each = Window.partitionBy("seq_id")
     if best:
         found = found.withColumn("__least", F.min("nm").over(each)).where("nm = __least").drop("__least")
