@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
-from .batches import by_volume
+from .batches import by_volume, lean
 from .common import broadcast_if_small, materialise
 from .graph import connected_components
 from .shingles import hash64, simhash, words_of
@@ -44,6 +44,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): a fingerprint (signed long) for every row; null and empty texts have 0."""
     out_id = docs.schema["doc_id"].dataType.simpleString()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_volume(batches):
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], "u8").view("i8")
@@ -134,6 +135,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+@lean
 def _shard_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Rows (mask, val, fp) of whole, sorted shards -> links (a, b) from each fingerprint to its component's first."""
     held: list[pa.RecordBatch] = []

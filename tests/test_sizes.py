@@ -76,3 +76,16 @@ def test_a_repeated_sequence_is_aligned_once(spark):
     found = reads.align(probes, genome, mismatches=2, seed=6).groupBy("chrom", "s", "fwd", "nm").count().collect()
     assert sorted(map(tuple, found)) == [("c", 44_000, True, 0, 60_000), ("d", 0, True, 1, 60_000)]
     assert time.time() - began < 40
+
+
+def test_a_task_leaves_its_worker_without_its_memory(monkeypatch):
+    """Every task of the near-duplicate stage gives back what it took, also if it is not read to its end."""
+    from smallseq.llm import batches, similar, simhash
+
+    given = []
+    monkeypatch.setattr(batches, "give_back", lambda: given.append(1))
+    for name in ("_spread", "_counted", "_summed", "_prints", "_dealt", "_shared", "_chained", "_compared", "_alike", "_possible", "_sets"):
+        assert hasattr(getattr(similar, name), "__wrapped__"), name
+    assert hasattr(simhash._shard_links, "__wrapped__")
+    before = len(given)
+    assert list(similar._possible(iter([]), 80)) == [] and len(given) == before + 1
