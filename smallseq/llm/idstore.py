@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, tokens
-from .batches import by_volume, hold
+from .batches import by_volume, hold, nothing_held
 
 MAGIC = b"IDS2"
 _HEAD = struct.Struct("<4sB32sII")
@@ -155,6 +155,7 @@ def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts:
             yield pa.RecordBatch.from_arrays([pa.array(bucket), batch.column(0), pa.array(count, pa.int64()), pa.array(frames, pa.binary())], ["bucket", "doc_id", "n_tokens", "frame"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_held()  # the encoder's caches: this worker may have encoded before
         part, block, before = TaskContext.get().partitionId(), 0, 0
         ids: list[int | None] = []
         counts: list[int] = []
@@ -211,6 +212,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     raw, blocks = _open(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_held()
         for batch in batches:
             for start, image in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 b = Block(image.as_buffer().to_pybytes(), raw)
@@ -231,6 +233,7 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
     raw, blocks = _open(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_held()
         for batch in batches:
             for start, image in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 b = Block(image.as_buffer().to_pybytes(), raw)

@@ -3,8 +3,8 @@
 The file's pipeline is: NFC, white space to one space, lower case; pieces by a pattern; bytes spelt as printable
 characters; BPE over a piece whose last character carries the word-end mark. White space never lies within a piece, so a
 text may be cut at white space first: each cut ("chunk") has its own tokens, and natural text repeats chunks. Chunks of
-printable ASCII are split here; all others go through the library's own normaliser and splitter, whose Unicode tables are
-not Python's. The caches below are bounded and only save time.
+printable ASCII and letters of Latin-1 are split here; all others go through the library's own normaliser and splitter,
+whose Unicode tables are not Python's. The caches below are bounded and only save time.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ from contextlib import contextmanager
 import numpy as np
 import regex
 
-#: Fixed values of the tokenizer file: piece pattern (as it reads on lower-case ASCII) and the mark of a word's end.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Fixed values of the tokenizer file: piece pattern (as it reads on lower-case ASCII and letters of Latin-1) and the mark of
+#: a word's end.
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
+#: Chunks of these characters are in the file's normal form but for their case.
+_LATIN = regex.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 WORD_END = "</w>"
 #: What str.split() takes for white space although the file's pattern does not.
 _CONTROL_SPACE = regex.compile("[\x1c-\x1f]")
@@ -40,6 +43,9 @@ def byte_spelling() -> list[str]:
     return out
 
 
+_SPELT = dict(enumerate(byte_spelling()))
+
+
 @contextmanager
 def no_cycles() -> Iterator[None]:
     """Stop the cycle collector for a while: the caches hold many objects but no cycles, and it would walk them all."""
@@ -69,7 +75,7 @@ def load_library(path: str, model: bool = True):
 
 
 def ascii_pieces(low: str) -> list[str]:
-    """The pieces of a lower-case chunk of printable ASCII; words before one mark, a usual case, need no pattern."""
+    """The pieces of a lower-case chunk of printable ASCII and letters of Latin-1; words before one mark, a usual case, need no pattern."""
     if low.isalpha():
         return [low]
     if low[-1] in _MARKS and low[:-1].isalpha():
@@ -77,6 +83,11 @@ def ascii_pieces(low: str) -> list[str]:
     return PIECE.findall(low)
 
 
+def latin_pieces(low: str) -> list[str]:
+    """The same, spelt as the file asks: letters beyond ASCII are two bytes each."""
+    return [piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELT) for piece in ascii_pieces(low)]
+
+
 class ChunkEncoder:
     """Encodes whole texts by chunk, with a bounded chunk cache over a bounded piece cache.
 
@@ -96,6 +107,8 @@ class ChunkEncoder:
     def pieces_of(self, chunk: str) -> list[str]:
         if chunk.isascii() and chunk.isprintable():
             return ascii_pieces(chunk.lower())
+        if _LATIN.fullmatch(chunk):
+            return latin_pieces(chunk.lower())
         return [piece for piece, _ in self.split(self.normalize(chunk))]
 
     def _learn(self, needed: set[str]) -> None:
