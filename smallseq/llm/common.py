@@ -128,3 +128,21 @@ def broadcast_if_small(df: DataFrame, otherwise: str | None = None) -> DataFrame
     if volume(df) <= BROADCAST_BYTES:
         return F.broadcast(df)
     return df.hint(otherwise) if otherwise else df
+
+
+#: Bits of the map that ``likely`` broadcasts (4 MB), in rows of so many.
+MAP_BITS, ROW_BITS = 1 << 25, 1 << 15
+
+
+def likely(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose key is in ``keys``, and few others: a map of bits rules rows out before a join moves them.
+
+    The map has a fixed size. None of the keys is missed; of other rows one in MAP_BITS / (keys) stays.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(MAP_BITS))
+    part, bit = (place / ROW_BITS).cast("long"), F.pmod(place, F.lit(ROW_BITS))
+    found = keys.select(part.alias("__part"), bit.alias("__bit")).repartition("__part").groupBy("__part").agg(F.bitmap_construct_agg("__bit").alias("__map"))
+    marked = rows.withColumns({"__at": part, "__bit": bit.cast("int")})
+    byte = F.conv(F.hex(F.substring("__map", F.floor(F.col("__bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.expr("shiftleft(1, __bit % 8)")) != 0
+    return marked.join(F.broadcast(found), F.col("__at") == F.col("__part")).where(is_set).select(*rows.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import by_volume
-from .common import broadcast_if_small, materialise, remove, row_key
+from .common import BROADCAST_BYTES, likely, materialise, remove, row_key, volume
 from .shingles import mix
 
 _U = np.uint64
@@ -146,7 +146,10 @@ def window_rows(texts: DataFrame, scheme: Scheme) -> DataFrame:
 def edge_texts(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """The texts that hold edges, with them: (d, t, text, ranges array<struct<kh, lo, n>>), one row for each key."""
     by_text = materialise(edges.groupBy("d", "t").agg(F.collect_list(F.struct("kh", "lo", "n")).alias("ranges")), "ranges")
-    return rows.select("d", "t", "text").join(broadcast_if_small(by_text), ["d", "t"])
+    texts = rows.select("d", "t", "text")
+    if volume(by_text) <= BROADCAST_BYTES:
+        return texts.join(F.broadcast(by_text), ["d", "t"])
+    return likely(texts, by_text, ["d", "t"]).join(by_text, ["d", "t"])
 
 
 def by_count(rows: DataFrame, edges: DataFrame, scheme: Scheme, keep_first: bool = False) -> DataFrame:

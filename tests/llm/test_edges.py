@@ -588,3 +588,24 @@ def test_lines_without_broadcasts(spark, monkeypatch):
     one = sorted(map(tuple, linetree.digests(df).collect()))
     monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     assert sorted(map(tuple, linetree.digests(df).collect())) == one and {r[2] for r in one} == {1}
+
+
+def test_texts_without_edges_are_not_moved(spark, monkeypatch):
+    """Where edges are too many for a broadcast, other texts stay out of the join's shuffle, and results are the same."""
+    from pyspark.sql import functions as F
+
+    likely = common.likely
+    words = [f"w{random.Random(7).randrange(10**6)}x{i}" for i in range(3000)]
+    texts = [" ".join(words[40 * i : 40 * i + 60] if i < 6 else [f"own{i}n{k}" for k in range(50)]) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = [sorted(map(tuple, digests(docs).collect())) for digests in (recompress.digests, suffixes.digests)]
+    assert sum(r[2] for r in want[1]) > 0
+    moved = []
+    monkeypatch.setattr(repeats, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(repeats, "likely", lambda *args: moved.append(likely(*args).count()) or likely(*args))
+    assert [sorted(map(tuple, digests(docs).collect())) for digests in (recompress.digests, suffixes.digests)] == want
+    assert moved and max(moved) < 20
+    keys = docs.select(F.col("doc_id").alias("d")).where("d % 3 = 0")
+    left = common.likely(docs.withColumnRenamed("doc_id", "d"), keys, ["d"])
+    assert left.join(keys, "d", "left_semi").count() == 100 and left.columns == ["d", "text"]
+    assert common.likely(docs, keys.limit(0).withColumnRenamed("d", "doc_id"), ["doc_id"]).count() == 0
