@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .select import PAIR, ROW
+from ..durable import durable
+from .intervals import running_sums
+from .select import PAIR, ROW, assign, candidate_pairs, choose, passes_for, with_hits, with_loci
+
+#: Kinds of matches (rule and strand) up to which counts go by the ends of intervals; each is a column of that plan.
+KINDS = 64
+#: So many numbers of a table of places are broadcast; beyond, alignments are shuffled by their places.
+PLACE_NUMBERS = 4_000_000
+#: What an alignment gives to a feature, summed exactly: sums are taken from each other.
+SHARE = "decimal(38, 18)"
 
 
 def rounded(x: Column) -> Column:
@@ -17,6 +26,74 @@ def feature_counts(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("library", *PAIR).agg(F.sum(F.col("fcorr") / F.col("n_rules")).alias("count"))
 
 
+def _overlapping(alignments: DataFrame, matches: DataFrame, n: int) -> DataFrame:
+    """Adds ``__n``: array of the matches of each of n kinds that overlap the alignment, and, at last, of those marked several.
+
+    They are those that begin before its end, less those that end at its begin or before, looked up by place.
+    """
+    ends = matches.select("chrom", "kind", "several", F.explode(F.array(F.struct(F.col("fs").alias("pos"), F.lit(True).alias("begin")), F.struct(F.col("fe").alias("pos"), F.lit(False).alias("begin")))).alias("x")).select("*", "x.*")
+    tests = [F.col("kind") == i for i in range(n)] + [F.col("several")]
+    sums = [f"{side}{i}" for side in "be" for i in range(n + 1)]
+    marks = ends.select("chrom", "pos", *[F.when(test & begin, 1).otherwise(0).cast("long").alias(f"{side}{i}") for side, begin in (("b", F.col("begin")), ("e", ~F.col("begin"))) for i, test in enumerate(tests)], F.lit(False).alias("asked"))
+    asked = alignments.select("chrom", F.explode(F.array(F.col("s"), F.col("e") - 1)).alias("pos")).where("chrom is not null and pos is not null").distinct()
+    asked = asked.select("*", *[F.lit(0).cast("long").alias(c) for c in sums], F.lit(True).alias("asked"))
+    places = durable(marks.union(asked).groupBy("chrom", "pos").agg(*[F.sum(c).alias(c) for c in sums], F.max("asked").alias("asked")))
+    places = durable(running_sums(places, ["chrom"], sums).where("asked"))
+    small = places.count() * (n + 3) <= PLACE_NUMBERS
+    rows = alignments
+    for side, at in (("b", F.col("e") - 1), ("e", F.col("s"))):
+        found = places.select(F.col("chrom").alias("__c"), F.col("pos").alias("__p"), *[f"{side}{i}" for i in range(n + 1)])
+        rows = rows.join(F.broadcast(found) if small else found, (F.col("chrom") == F.col("__c")) & (at == F.col("__p"))).drop("__c", "__p")
+    return rows.withColumn("__n", F.array(*[F.col(f"b{i}") - F.col(f"e{i}") for i in range(n + 1)])).drop(*sums)
+
+
+def selected_counts(alignments: DataFrame, matches: DataFrame, norm_loci: bool = True, norm_hits: bool = True) -> DataFrame:
+    """``feature_counts`` of ``assign``; without pairs where every rule asks for a partial overlap.
+
+    An alignment's hits are then counted by the ends of intervals for each kind of match, and a feature's count is what
+    alignments that begin before its end give, less what those give that end at its begin or before. Alignments whose key
+    recurs, or that meet one of several matches of a pair, are assigned by their pairs; so are all with other overlaps.
+    """
+    matches = durable(matches.where("fs < fe"))
+    kinds = matches.select("rule_idx", "strand", "overlap", "hierarchy", "sense", "nts", "lengths", "mismatches").distinct().collect()  # rules x strands
+    if not kinds or len(kinds) > KINDS or any(k["overlap"] != "partial" for k in kinds):
+        return feature_counts(assign(alignments, matches, norm_loci, norm_hits))
+    n = len(kinds)
+    kind = F.coalesce(*[F.when((F.col("rule_idx") == k["rule_idx"]) & F.col("strand").eqNullSafe(F.lit(k["strand"]).cast("boolean")), i) for i, k in enumerate(kinds)])
+    marked = matches.select(*PAIR, "chrom", "fs", "fe", kind.alias("kind"), (F.count("*").over(Window.partitionBy(*PAIR)) > 1).alias("several"))
+    marked = durable(marked.where("chrom is not null"))
+    rows = with_loci(alignments, norm_loci).withColumn("__same", F.count("*").over(Window.partitionBy(*ROW)))
+    rows = _overlapping(rows, marked, n)
+    # arrays, not a column for each kind: the optimiser's constraints grow with the columns' combinations
+    level = F.array(*[F.lit(k["hierarchy"]) for k in kinds])
+    by_pairs = (F.col("__same") > 1) | (F.element_at("__n", -1) > 0) | (F.col("s") > F.col("e"))
+    rows = rows.withColumn("__by_pairs", by_pairs).withColumn("__n", F.array(*[F.when(passes_for(k), F.get("__n", F.lit(i))).otherwise(0) for i, k in enumerate(kinds)]))
+    rows = rows.withColumn("__best", F.array_min(F.transform("__n", lambda x, i: F.when(x > 0, F.get(level, i)))))
+    rows = rows.withColumn("__n", F.transform("__n", lambda x, i: F.when(F.get(level, i) == F.col("__best"), x).otherwise(0)))
+    rows = rows.withColumn("__hits", F.aggregate("__n", F.lit(0).cast("long"), lambda a, x: a + x))
+    share = (F.col("corr") / F.col("__hits").cast("double") if norm_hits else F.col("corr")).cast(SHARE)
+
+    own = F.when(F.col("__by_pairs"), F.array(F.lit(-1))).otherwise(F.filter(F.transform("__n", lambda x, i: F.when(x > 0, i)), lambda x: x.isNotNull()))
+    given = rows.where("__by_pairs or __best is not null").select("library", "chrom", "s", "e", F.when(~F.col("__by_pairs"), share).alias("share"), F.explode(own).alias("kind"))
+    sides = F.explode(F.array(F.struct(F.lit(True).alias("begin"), F.col("s").alias("pos")), F.struct(F.lit(False).alias("begin"), F.col("e").alias("pos")))).alias("x")
+    given = given.select("library", "chrom", "kind", "share", sides).select("library", "chrom", "kind", "x.begin", F.when(F.col("kind") >= 0, F.col("x.pos")).alias("pos"), "share")
+    given = durable(given.groupBy("library", "chrom", "kind", "begin", "pos").agg(F.sum("share").cast(SHARE).alias("count"), F.count("*").alias("n")))
+
+    by = ["library", "chrom", "kind", "begin"]
+    features = marked.where("not several").crossJoin(F.broadcast(given.select("library").distinct()))
+    ends = F.explode(F.array(F.struct(F.lit(True).alias("begin"), (F.col("fe") - 1).alias("pos"), F.lit(1).alias("sign")), F.struct(F.lit(False).alias("begin"), F.col("fs").alias("pos"), F.lit(-1).alias("sign")))).alias("x")
+    asked = features.select("library", "chrom", "kind", *PAIR, ends).select("library", "chrom", "kind", "x.begin", "x.pos", F.lit(0).cast(SHARE).alias("count"), F.lit(0).cast("long").alias("n"), *PAIR, "x.sign")
+    given_rows = given.where("kind >= 0").select(*asked.columns[:7], *[F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in (*PAIR, "sign")])
+    sums = running_sums(given_rows.union(asked).withColumns({"count": F.col("count").cast(SHARE)}), by, ["count", "n"]).where("sign is not null")
+    signed = lambda c: F.sum(F.when(F.col("sign") > 0, F.col(c)).otherwise(-F.col(c)))
+    # what 18 decimal places cut off an exact share is rounded away
+    found = sums.groupBy("library", *PAIR).agg(signed("count").alias("count"), signed("n").alias("n")).where("n > 0").select("library", *PAIR, F.round("count", 12).cast("double").alias("count"))
+    if given.where("kind < 0").isEmpty():
+        return found
+    paired = with_hits(choose(candidate_pairs(rows.where("__by_pairs").select(*alignments.columns, "loci", "corr"), matches)), norm_hits)
+    return found.union(feature_counts(paired)).groupBy("library", *PAIR).agg(F.sum("count").alias("count"))
+
+
 def rule_counts(assigned: DataFrame, rules: DataFrame, libraries: DataFrame) -> DataFrame:
     """(library, rule_idx, count): a pair's share is split among its rules; all rules of all libraries have a row."""
     counts = assigned.groupBy("library", "rule_idx").agg(F.sum(F.col("fcorr") / F.col("n_rules")).alias("count"))

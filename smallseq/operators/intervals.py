@@ -98,6 +98,19 @@ def overlap_counts(left: DataFrame, right: DataFrame, out: str, tile: int = 256)
     return rows.withColumn(out, F.col("__begun") - F.col("__ended")).drop("__begun", "__ended")
 
 
+def running_sums(rows: DataFrame, by: list[str], sums: list[str], tile: int = 4096) -> DataFrame:
+    """Each row with ``sums`` replaced by their totals over its group's rows at its ``pos`` or before.
+
+    A group is summed in tiles of places, which tasks share, and by one row for each tile that has any.
+    """
+    rows = rows.withColumn("__tile", F.floor(F.col("pos") / tile))
+    keys = [*by, "__tile"]
+    w, upto = Window.partitionBy(*by).orderBy("__tile"), Window.partitionBy(*keys).orderBy("pos")
+    totals = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    before = totals.select(*keys, *[(F.sum(c).over(w) - F.col(c)).alias(f"__before_{c}") for c in sums])
+    return rows.withColumns({c: F.sum(c).over(upto) for c in sums}).join(before, keys).withColumns({c: F.col(c) + F.col(f"__before_{c}") for c in sums}).drop("__tile", *[f"__before_{c}" for c in sums])
+
+
 def shifted(fs: Column, fe: Column, strand: Column, five: Column, three: Column) -> tuple[Column, Column]:
     """An interval's ends moved by a (5', 3') shift: along the strand, outwards by the larger one if unstranded."""
     both = F.greatest(five, three)

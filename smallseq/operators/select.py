@@ -47,6 +47,14 @@ def passes() -> Column:
     return overlaps(F.col("overlap")) & _member("mismatches", "nm") & passes_strand() & _member("nts", "nt5") & _member("lengths", "length")
 
 
+def passes_for(kind) -> Column:
+    """``passes`` but for the overlap, of the alignments alone: with one rule and strand, given as a row."""
+    tests = [F.col(value).isin(allowed) for allowed, value in ((kind["mismatches"], "nm"), (kind["nts"], "nt5"), (kind["lengths"], "length")) if allowed is not None]
+    if kind["sense"] is not None and kind["strand"] is not None:
+        tests.append((F.col("fwd") == kind["strand"]) == kind["sense"])
+    return F.coalesce(reduce(Column.__and__, tests, F.lit(True)), F.lit(False))
+
+
 def with_loci(alignments: DataFrame, normalize: bool = True) -> DataFrame:
     """Adds loci (alignments of the read) and corr (its count shared among them, or whole)."""
     loci = F.count("*").over(Window.partitionBy("library", "name"))

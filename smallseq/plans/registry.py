@@ -94,7 +94,7 @@ def illegal_shifts(spark, sf):
 
 def _selected_query(name: str, sheet: list[Rule]) -> None:
     def run(spark, sf):
-        return _rounded(C.feature_counts(_assigned(spark, sf, sheet)), "count")
+        return _rounded(C.selected_counts(B.alignments(spark, sf), B.matches(spark, sf, sheet)), "count")
 
     QUERIES[name] = run
     ORACLES[name] = f"WITH {B.assignment_sql(sheet)} SELECT library, feature_id, classifier, round(count, 6) AS count FROM counts"

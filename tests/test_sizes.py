@@ -99,3 +99,34 @@ def test_a_task_leaves_its_worker_without_its_memory(monkeypatch):
     assert hasattr(simhash._shard_links, "__wrapped__")
     before = len(given)
     assert list(similar._possible(iter([]), 80)) == [] and len(given) == before + 1
+
+
+def test_selected_counts_without_pairs(spark, tmp_path):
+    """Alignments and features at one place: the pairs would be the product of both."""
+    n = 30_000
+    spark.range(n).selectExpr("id * 150000 as l_orderkey", "1 as l_linenumber", "0L as l_partkey", "0L as l_suppkey", "'O' as l_linestatus", "5.0D as l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(n).selectExpr("id * 50000 as p_partkey", "30 as p_size", "'b' as p_brand", "'t' as p_type", "'cold x' as p_name").write.parquet(f"{tmp_path}/part.parquet")
+    got = registry.QUERIES["strand_select"](spark, str(tmp_path))
+    chosen = [i * 50000 for i in range(n) if i * 50000 % 3 != 2]  # unstranded, or on the reads' strand
+    count = round(sum(1 + i * 150000 % 7 for i in range(n)) / len(chosen), 6)
+    assert _rows(got.select("library", "feature_id", "classifier")) == sorted((("g0_rep_1", str(p), "s") for p in chosen), key=repr)
+    assert [r[0] for r in got.select("count").distinct().collect()] == [count]
+
+
+def test_selected_counts_are_those_of_the_assignment(spark):
+    """Keys that recur, pairs with several matches, hierarchies, no strand, nulls and empty alignments."""
+    from smallseq.operators import counts, reference, select
+    from smallseq.rules import Rule, rule_table
+
+    places = spark.range(3000).selectExpr("concat('l', id % 2) as library", "id div 3 as name", "if(id % 50 < 2, 0, id) as row_key", "if(id % 41 = 0, null, concat('c', id % 3)) as chrom", "(id * 37) % 9000 as s", "id % 25 as length",
+        "if(id % 31 = 0, null, id % 2 = 0) as fwd", "substring('ACGT', cast(id % 4 + 1 as int), 1) as nt5", "cast(id % 3 as int) as nm", "id % 5 as read_count", "'' as seq")
+    alignments = places.selectExpr("library", "name", "row_key", "chrom", "s", "s + length as e", "fwd", "nt5", "cast(length as int) as length", "nm", "read_count", "seq")
+    rows = spark.range(400).selectExpr("cast(if(id % 20 = 0, 0, id) as string) as feature_id", "concat('c', id % 3) as chrom", "(id * 53) % 9000 as fs", "(id * 53) % 9000 + 20 + if(id % 40 = 1, 5000, 0) as fe",
+        "if(id % 3 = 0, null, id % 3 = 1) as strand", "'b' as source", "concat('t', id % 4) as type", "array(named_struct('key', 'Class', 'key_lc', 'class', 'vals', array('x'), 'vals_lc', array('x'))) as attrs")
+    sheet = [Rule(classifier="s", strand="sense", hierarchy=2, nt5="A,C"), Rule(classifier="s", type="t1", strand="antisense", hierarchy=1, overlap="partial, 3, -2"), Rule(classifier="m", mismatch="1", length="10-20", hierarchy=1, type="t2, t3")]
+    for rules in (sheet, [Rule(classifier="n", overlap="nested")], [Rule(type="none")]):
+        matches = reference.feature_matches(reference.stage_one(rows, rule_table(spark, rules)))
+        for shares in ((True, True), (False, False))[: 2 if rules == sheet else 1]:
+            want, got = ({tuple(r)[:3]: r["count"] for r in df.collect()} for df in (counts.feature_counts(select.assign(alignments, matches, *shares)), counts.selected_counts(alignments, matches, *shares)))
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+            assert bool(want) == (rules[0].type != "none")
