@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import by_volume
+from .batches import by_volume, lean
 from .common import BROADCAST_BYTES, likely, materialise, remove, row_key, volume
 from .shingles import mix
 
@@ -117,6 +117,7 @@ def _raw(column: pa.Array) -> list[bytes]:
 
 
 def anchor_table(rows: DataFrame, scheme: Scheme) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_volume(batches, 2, limit=1 << 20):
             text, lo, n, kh, ch = scheme.anchors([scheme.units(b) for b in _raw(batch.column(2))])
@@ -130,6 +131,7 @@ def window_rows(texts: DataFrame, scheme: Scheme) -> DataFrame:
     """(d, t, text, ranges) -> (kh, wh, d, t, s): the hash of every window in the ranges."""
     w = scheme.window
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_volume(batches, 2, limit=1 << 20):
             for d, t, raw, ranges in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _raw(batch.column(2)), batch.column(3).to_pylist(), strict=True):
@@ -191,6 +193,7 @@ def finished(rows: DataFrame, ranges: DataFrame, finish: Callable[[bytes, np.nda
     by_text = ranges.groupBy("d", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")).hint("shuffle_hash")
     out_id = rows.schema["doc_id"].dataType.simpleString()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_volume(batches, 1, limit=2 << 20):
             cases = batch.column(2)

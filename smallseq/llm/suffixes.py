@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .batches import by_volume
+from .batches import by_volume, lean
 from .repeats import RangeHash, Scheme, mix
 
 _U = np.uint64
@@ -46,10 +46,13 @@ class Bytes(Scheme):
 
 
 def _dense(key: np.ndarray) -> np.ndarray:
+    kind = "i4" if len(key) < 1 << 31 else "i8"
     order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    out = np.empty(len(key), "i8")
-    out[order] = np.cumsum(np.concatenate([[0], (ranked[1:] != ranked[:-1]).astype("i8")]))
+    key = key[order]
+    new = np.zeros(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    out = np.empty(len(key), kind)
+    out[order] = np.cumsum(new, dtype=kind)
     return out
 
 
@@ -64,9 +67,11 @@ def prefix_ranks(text: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
     while size < depth:
         step = min(size, depth - size)
         rank = levels[-1][1]
-        after = np.zeros(n, "i8")
-        after[: max(0, n - step)] = rank[step:] + 1
-        levels.append((size + step, _dense(rank * (n + 1) + after)))
+        key = rank.astype("i8")
+        key *= n + 1
+        key[: max(0, n - step)] += rank[step:]
+        key[: max(0, n - step)] += 1
+        levels.append((size + step, _dense(key)))
         size += step
     return levels
 
@@ -119,6 +124,7 @@ def previous_factors(text: np.ndarray, starts: np.ndarray, depth: int) -> tuple[
     return lpf, source
 
 
+@lean
 def _shard_ranges(batches: Iterator[pa.RecordBatch], window: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """(kh, d, t, lo, n, context) of whole, sorted shards -> (d, t, lo, hi) of windows that recur."""
 
@@ -163,6 +169,7 @@ def _shard_ranges(batches: Iterator[pa.RecordBatch], window: int, keep_first: bo
 
 
 def _contexts(texts: DataFrame, window: int) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_volume(batches, 2, limit=1 << 20):
             rows = []

@@ -609,3 +609,17 @@ def test_texts_without_edges_are_not_moved(spark, monkeypatch):
     left = common.likely(docs.withColumnRenamed("doc_id", "d"), keys, ["d"])
     assert left.join(keys, "d", "left_semi").count() == 100 and left.columns == ["d", "text"]
     assert common.likely(docs, keys.limit(0).withColumnRenamed("d", "doc_id"), ["doc_id"]).count() == 0
+
+
+def test_suffix_ranks_take_bounded_memory():
+    """A large group of contexts is one text of some MB: 100 bytes for each of its bytes were too many beside the other workers."""
+    import tracemalloc
+
+    text = np.frombuffer(np.random.default_rng(3).bytes(1 << 20), "u1") % 4
+    tracemalloc.start()
+    try:
+        lpf, _ = suffixes.previous_factors(text, np.flatnonzero(np.arange(len(text)) % 300 < 60), 200)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(lpf) and most < 64 * len(text)
