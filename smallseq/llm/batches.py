@@ -40,6 +40,27 @@ def give_back() -> None:
         pass
 
 
+def only(name: str) -> Callable[[Callable[..., Iterator[pa.RecordBatch]]], Callable[..., Iterator[pa.RecordBatch]]]:
+    """For a task with a cache of that name: it begins without those of others, and leaves its worker with its own cache alone."""
+
+    def wrap(work: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+        @wraps(work)
+        def run(*args, **named) -> Iterator[pa.RecordBatch]:
+            others = [other for other in _held if other != name]
+            for other in others:
+                _held.pop(other)()
+            if others:
+                give_back()
+            try:
+                yield from work(*args, **named)
+            finally:
+                give_back()
+
+        return run
+
+    return wrap
+
+
 def lean(work: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
     """For a task without a cache: it begins without those of others, and leaves its worker, which lives on, without its own memory."""
 

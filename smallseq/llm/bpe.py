@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .batches import by_volume, hold
+from .batches import by_volume, hold, only
 
 #: No pair of the file; parts of a piece up to which the rank array is scanned.
 _NONE, SCANNED = 1 << 40, 128
@@ -116,6 +116,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     """Token ids of every whole text: (id, ids array<int>). Null and empty texts have no ids. One pass, no shuffle."""
     out_id = next(f for f in docs.schema.fields if f.name == id_col).dataType.simpleString()
 
+    @only("bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
         for batch in by_volume(batches, limit=2 << 20):
@@ -134,6 +135,7 @@ def encode_with_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
     """
     out_id = docs.schema["doc_id"].dataType.simpleString()
 
+    @only("bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
         for batch in by_volume(batches, limit=2 << 20):
@@ -151,6 +153,7 @@ def decode(coded: DataFrame, vocab_path: str) -> DataFrame:
     """(doc_id, ids) -> (doc_id, text): the decoded text of every id list (null: empty)."""
     out_id = coded.schema["doc_id"].dataType.simpleString()
 
+    @only("bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
         for batch in batches:
@@ -168,6 +171,7 @@ def round_trip_digests(docs: DataFrame, vocab_path: str) -> DataFrame:
     """
     out_id = docs.schema["doc_id"].dataType.simpleString()
 
+    @only("bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocab_path)
         for batch in by_volume(batches, limit=2 << 20):

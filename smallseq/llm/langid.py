@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import by_volume, hold
+from .batches import by_volume, hold, lean, only
 from .common import materialise, remove, row_key, ship
 
 #: First code point of each script range (Unicode blocks; what lies between takes the range before).
@@ -44,6 +44,8 @@ SAMPLE_DOCS, LANGUAGE_GRAMS, GRAMS, SCRIPT_SHARE = 1000, 20_000, (1, 3), 0.01
 SWITCH, CLIP, CLIP_LETTERS, SMOOTH = 10.0, 8.0, 8, 0.5
 #: Words cached by a worker before it starts afresh, and the longest that is kept.
 CACHE_WORDS, KEPT_LENGTH = 200_000, 256
+#: Texts are judged in slices of about so many bytes, which take some 30 times as much.
+TASK_BYTES = 1 << 20
 UNDETERMINED = "und"
 
 
@@ -240,8 +242,9 @@ def train(docs: DataFrame) -> Model:
     chosen = chosen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("lang", "d", "t")
     sample = rows.join(F.broadcast(chosen), ["lang", "d", "t"], "left_semi").dropDuplicates(["lang", "d", "t"]).select("lang", "text")
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_volume(batches):
+        for batch in by_volume(batches, limit=TASK_BYTES):
             found: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 grams = found.setdefault(lang, Counter())
@@ -287,8 +290,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     out_id = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @only("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_volume(batches, limit=4 << 20):
+        for batch in by_volume(batches, limit=TASK_BYTES):
             names, score = shared.value.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -300,8 +304,9 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float) -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    @only("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_volume(batches, at, limit=4 << 20):
+        for batch in by_volume(batches, at, limit=TASK_BYTES):
             names, score = shared.value.predict(batch.column(at).to_pylist())
             yield batch.filter(pa.array([n != UNDETERMINED and s >= least_score for n, s in zip(names, score, strict=True)], pa.bool_()))
 
@@ -314,8 +319,9 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))
 
+    @only("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_volume(batches, limit=4 << 20):
+        for batch in by_volume(batches, limit=TASK_BYTES):
             m = shared.value
             texts = batch.column(1).to_pylist()
             path, _, count = m.label(texts) if m.languages else (np.zeros(0, "i8"), None, np.zeros(len(texts), "i8"))

@@ -623,3 +623,24 @@ def test_suffix_ranks_take_bounded_memory():
     finally:
         tracemalloc.stop()
     assert len(lpf) and most < 64 * len(text)
+
+
+def test_a_task_with_a_cache_drops_those_of_others(monkeypatch):
+    """The language model's tasks begin without the encoder's caches, and leave no more than their own."""
+    from smallseq.llm import batches
+
+    dropped, given = [], []
+    monkeypatch.setattr(batches, "_held", {})
+    monkeypatch.setattr(batches, "give_back", lambda: given.append(1))
+    batches.hold("bpe", lambda: dropped.append("bpe"))
+
+    @batches.only("langid")
+    def work(rows):
+        assert dropped == ["bpe"] and given == [1]
+        batches.hold("langid", lambda: dropped.append("langid"))
+        yield from rows
+
+    assert list(work([1, 2])) == [1, 2] and dropped == ["bpe"] and len(given) == 2 and list(batches._held) == ["langid"]
+    dropped.clear()
+    batches.hold("bpe", lambda: dropped.append("bpe"))
+    assert dropped == ["langid"]
