@@ -55,8 +55,8 @@ class LibraryEncoder:
             found = self.tokenize(piece)
             yield struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        return self.chunks.encode(texts)
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        return self.chunks.encode_column(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
 
 
 @cache
@@ -81,7 +81,7 @@ def train_dictionary(docs: DataFrame, vocab_path: str, width: int) -> bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_volume(batches, 0):
-            coded = encoder(vocab_path).encode(batch.column(0).to_pylist())
+            coded = encoder(vocab_path).encode(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array([_packed(c[: 4 * SAMPLE_IDS], width) for c in coded], pa.binary())], ["ids"])
 
     texts = docs.where(F.col("doc_id").isin(chosen)).groupBy("doc_id").agg(F.min("text").alias("text"))  # one for each id
@@ -146,7 +146,7 @@ def write(docs: DataFrame, vocab_path: str, folder: str, end_id: int = 1, parts:
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw), write_content_size=True, write_checksum=False, write_dict_id=False).compress
         for batch in by_volume(batches):
-            coded = encoder(vocab_path).encode(batch.column(1).to_pylist())
+            coded = encoder(vocab_path).encode(batch.column(1))
             count = [len(c) // 4 + 1 for c in coded]
             packed = memoryview(np.frombuffer(tail.join([*coded, b""]), "<u4").astype(f"<u{width}").tobytes())
             ends = np.cumsum(count) * width

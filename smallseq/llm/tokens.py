@@ -4,7 +4,8 @@ The file's pipeline is: NFC, white space to one space, lower case; pieces by a p
 characters; BPE over a piece whose last character carries the word-end mark. White space never lies within a piece, so a
 text may be cut at white space first: each cut ("chunk") has its own tokens, and natural text repeats chunks. Chunks of
 printable ASCII and letters of Latin-1 are split here; all others go through the library's own normaliser and splitter,
-whose Unicode tables are not Python's. The caches below are bounded and only save time.
+whose Unicode tables are not Python's. For a column of texts, Arrow cuts and splits, and Python sees distinct pieces alone.
+The caches below are bounded and only save time.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Fixed values of the tokenizer file: piece pattern (as it reads on lower-case ASCII and letters of Latin-1) and the mark of
@@ -83,9 +86,19 @@ def ascii_pieces(low: str) -> list[str]:
     return PIECE.findall(low)
 
 
+def spelt(piece: str) -> str:
+    """A piece as the file asks for it: letters beyond ASCII are two bytes each."""
+    return piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELT)
+
+
 def latin_pieces(low: str) -> list[str]:
-    """The same, spelt as the file asks: letters beyond ASCII are two bytes each."""
-    return [piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELT) for piece in ascii_pieces(low)]
+    """The pieces of ``ascii_pieces``, spelt."""
+    return [spelt(piece) for piece in ascii_pieces(low)]
+
+
+def _starts(values: pa.Array) -> np.ndarray:
+    """Where each value of a large binary array without an offset begins, and where the last one ends."""
+    return np.frombuffer(values.buffers()[1], "<i8", len(values) + 1)
 
 
 class ChunkEncoder:
@@ -175,6 +188,61 @@ class ChunkEncoder:
                 del self.chunks[chunk]
         return out
 
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """The same for a column: Arrow cuts texts at ASCII's white space, finds the distinct chunks and puts ids in the texts' order."""
+        texts = pc.fill_null(texts, "")
+        marked = np.zeros(len(texts), bool)
+        for special in self.specials:
+            marked |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        if marked.any():  # special tokens may stand within chunks
+            plain = iter(self.encode_column(texts.filter(pa.array(~marked))))
+            other = iter(self.encode(texts.filter(pa.array(marked)).to_pylist()))
+            return [next(other if m else plain) for m in marked.tolist()]
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        chunks = coded.dictionary
+        own = pc.match_substring_regex(chunks, rf"\A(?:{_LATIN.pattern})?\z")
+        place = np.empty(len(chunks), "i8")  # those that are split here first, then all others
+        here = own.to_numpy(zero_copy_only=False)
+        place[here], place[~here] = np.arange(own.true_count), np.arange(own.true_count, len(chunks))
+        known = pa.concat_arrays([self._latin_ids(chunks.filter(own)), self._other_ids(chunks.filter(pc.invert(own)))])
+        ids = known.take(pa.array(place[coded.indices.to_numpy()]))
+        ends = _starts(ids)[np.cumsum(cut.value_lengths().to_numpy())].tolist()
+        image = memoryview(ids.buffers()[2] or b"")
+        return [bytes(image[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _latin_ids(self, chunks: pa.Array) -> pa.Array:
+        """Ids of chunks of printable ASCII and letters of Latin-1 (or empty ones): Arrow splits them as ``ascii_pieces`` does.
+
+        Their pieces are kept unspelt beside the spelt ones of other chunks: what is spelt otherwise than it reads has a
+        character for a byte from 0x80 to 0xBF, and none of these is a letter of Latin-1.
+        """
+        low = pc.utf8_lower(chunks.cast(pa.large_string()))
+        split = pc.ascii_split_whitespace(pc.ascii_rtrim_whitespace(pc.replace_substring_regex(low, PIECE.pattern, r"\0 ")))
+        coded = split.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [ids if p else b"" for p, ids in zip(pieces, map(self.pieces.get, pieces), strict=True)]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.pieces) + len(new) > self.entries:
+            self.pieces.clear()
+        with no_cycles():
+            for i, ids in zip(new, self.encode_pieces([spelt(pieces[i]) for i in new]), strict=True):
+                found[i] = ids
+                if len(pieces[i]) <= KEPT_LENGTH:
+                    self.pieces[pieces[i]] = ids
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        starts = _starts(ids)[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(starts), ids.buffers()[2] or pa.py_buffer(b"")])
+
+    def _other_ids(self, chunks: pa.Array) -> pa.Array:
+        """Ids of all other chunks; those that are new are cut again, at white space beyond ASCII's."""
+        words = chunks.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.chunks.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(new, self.encode([words[i] for i in new]), strict=True):
+            found[i] = ids
+        return pa.array(found, pa.large_binary())
+
     def _join(self, parts: list[tuple[bytes, list[str]]]) -> bytes:
         get = self.chunks.__getitem__
         return b"".join(special or b"".join(map(get, filter(None, words))) for special, words in parts)

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -73,6 +74,20 @@ def test_words_of_latin_letters_are_split_here():
     assert encoder.encode(words) == want and not calls
 
 
+def test_a_column_of_texts_is_cut_outside_python():
+    """op2 encodes Arrow columns: however a word is written and marked, it is one entry and one call of the library's model."""
+    library, encoder = Tokenizer.from_file(Q.vocabulary()), idstore.LibraryEncoder(Q.vocabulary())
+    asked, tokenize = [], encoder.tokenize
+    encoder.tokenize = lambda piece: asked.append(piece) or tokenize(piece)
+    words = ["Été été, ÉTÉ!", None, "", " \t\n", "Word, word wOrd.", "don't DON'T.", "été " * 3000, "1a" * 400]
+    odd = ["été.\x1cété\xa0ÉTÉ?", "世界\u3000世界 a×b 世界", None, "don't <|endoftext|>Don't", "x"]
+    for texts in words, odd, odd + words, odd[:2], []:
+        want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert encoder.encode(pa.array(["x", *texts], pa.string()).slice(1)) == want
+        if texts is words:
+            assert sorted(asked) == sorted(["Ã©tÃ©", *",!.1a", "word", "don", "'t"]) and not encoder.chunks.chunks
+
+
 def test_a_long_word_takes_seconds():
     import time
 
