@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..durable import durable
 from ..functions import seq as S
 from ..operators import counts as C
-from ..operators import dge, intervals, plotdata, reads, reference, select
+from ..operators import dge, intervals, plotdata, reads, reference, select, tiles
 from ..rules import Rule, rule_table
 from . import bridge as B
 
@@ -36,8 +36,12 @@ def _assigned(spark: SparkSession, sf: str, sheet=B.RULES) -> DataFrame:
     return select.assign(B.alignments(spark, sf), B.matches(spark, sf, sheet))
 
 
+def _shares(spark, sf) -> DataFrame:
+    return tiles.shares(B.alignments(spark, sf), B.matches(spark, sf), rules=B.rules(spark))
+
+
 def _counts(spark, sf) -> DataFrame:
-    return C.feature_counts(_assigned(spark, sf))
+    return C.feature_counts(_shares(spark, sf))
 
 
 def _per_alignment(spark, sf) -> DataFrame:

@@ -130,3 +130,52 @@ def test_selected_counts_are_those_of_the_assignment(spark):
             want, got = ({tuple(r)[:3]: r["count"] for r in df.collect()} for df in (counts.feature_counts(select.assign(alignments, matches, *shares)), counts.selected_counts(alignments, matches, *shares)))
             assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
             assert bool(want) == (rules[0].type != "none")
+
+
+def _dense(spark, folder, n):
+    """Tables of n alignments and n features at few places: the pairs would be the product of both."""
+    spark.range(n).selectExpr("id * 150000 + id % 2 as l_orderkey", "cast(1 + id % 2 as int) as l_linenumber", "id % 7 as l_partkey", "0L as l_suppkey", "if(id % 3 = 0, 'F', 'O') as l_linestatus", "cast(id % 18 as double) as l_quantity").write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(n).selectExpr("id * 50000 as p_partkey", "30 + cast(id % 9 as int) as p_size", "concat('Brand#', 3 + id % 6) as p_brand", "'PROMO' as p_type", "element_at(array('small x', 'hot x', 'red x', 'blue x'), cast(id % 4 + 1 as int)) as p_name").write.parquet(f"{folder}/part.parquet")
+    return str(folder)
+
+
+def test_feature_counts_without_pairs(spark, tmp_path):
+    import time
+
+    began = time.time()
+    got = {tuple(r)[:3]: r["count"] for r in registry.QUERIES["feature_counts"](spark, _dense(spark, tmp_path / "big", 40_000)).collect()}
+    assert time.time() - began < 120 and {k[2] for k in got} == {"little"}
+    total = sum(1 + (i * 150000 + i % 2) % 7 for i in range(40_000))
+    assert 0 < sum(got.values()) <= total
+
+
+_SHEET = """exact anchored 5'_anchored 3'_anchored nested partial""".split()
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_tiles_give_the_shares_of_the_assignment(spark, several, monkeypatch):
+    """Every overlap, hierarchies that tie, keys that recur, pairs with several matches, no strand, nulls, empty alignments; shared tiles."""
+    from smallseq.operators import counts, reference, select, tiles
+    from smallseq.rules import Rule, rule_table
+
+    monkeypatch.setattr(tiles, "SLICE", 150)
+    odd = "if(id % 50 < 2, 0, id)" if several else "id"
+    places = spark.range(4000).selectExpr("concat('l', id % 2) as library", "id div 3 as name", f"{odd} as row_key", "if(id % 41 = 0, null, concat('c', id % 3)) as chrom", "(id * 37) % 5000 as s", f"id % 25 + {0 if several else 1} as length",
+        "if(id % 31 = 0, null, id % 2 = 0) as fwd", "substring('ACGT', cast(id % 4 + 1 as int), 1) as nt5", "cast(id % 3 as int) as nm", "id % 5 as read_count", "'' as seq")
+    alignments = places.selectExpr("library", "name", "row_key", "chrom", "s", "s + length as e", "fwd", "nt5", "cast(length as int) as length", "nm", "read_count", "seq")
+    rows = spark.range(900).selectExpr(f"cast({'if(id % 20 = 0, 0, id)' if several else 'id'} as string) as feature_id", "concat('c', id % 3) as chrom", "(id * 74) % 5000 as fs", "(id * 74) % 5000 + if(id % 7 < 3, id * 2 % 25 + 1, 3 + id % 31) + if(id % 40 = 1, 3000, 0) as fe",
+        "if(id % 5 = 0, null, id % 5 < 3) as strand", "'b' as source", "concat('t', id % 4) as type", "array(named_struct('key', 'Class', 'key_lc', 'class', 'vals', array('x'), 'vals_lc', array('x'))) as attrs")
+    rules = [Rule(classifier=k, overlap=k.replace("_", " "), hierarchy=i // 3, strand=("", "sense", "antisense")[i % 3], nt5="A,C" if i == 5 else "", mismatch="0, 2" if i == 1 else "", type="t1, t2" if k == "partial" else "") for i, k in enumerate(_SHEET)]
+    table = rule_table(spark, rules)
+    matches = reference.feature_matches(reference.stage_one(rows, table))
+    for norm in ((True, True), (False, False)):
+        assigned = select.assign(alignments, matches, *norm)
+        by = lambda df: {tuple(r)[:4]: r["n"] for r in df.groupBy("library", *select.PAIR, "rule_idx").agg(F.sum(F.col("fcorr") / F.col("n_rules")).alias("n")).collect()}
+        want, got = by(assigned), by(tiles.shares(alignments, matches, *norm, rules=table if norm[0] else None))
+        assert len(want) > 1000 and {k[3] for k in want} == set(range(6))
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    shown = ["library", "name", "loci", F.round("assigned", 9), F.round("unassigned", 9), F.least("n_features", F.lit(2)), "length"]
+    want = counts.by_read(counts.by_alignment(select.with_loci(alignments), select.assign(alignments, matches)))
+    # of rows with one key the first is not told
+    shown = shown[: 6 if several else 7]
+    assert _rows(tiles.reads(alignments, matches).select(*shown)) == _rows(want.select(*shown))
