@@ -49,7 +49,7 @@ def _per_alignment(spark, sf) -> DataFrame:
 
 
 def _reads(spark, sf) -> DataFrame:
-    return C.by_read(_per_alignment(spark, sf))
+    return tiles.reads(B.alignments(spark, sf), B.matches(spark, sf), B.rules(spark))
 
 
 def _both(spark, sf) -> tuple[DataFrame, DataFrame]:
