@@ -318,9 +318,9 @@ SELECT library, classifier, round(coalesce(feature_sum, 0), 6) AS feature_sum, r
 def class_check(spark, sf):
     """Totals of each classifier by features against those by rules."""
     from ..durable import durable
-    from .registry import _assigned
+    from .registry import _shares
 
-    assigned = durable(_assigned(spark, sf))
+    assigned = durable(_shares(spark, sf))
     rules = B.rules(spark)
     found = C.class_check(C.feature_counts(assigned), C.rule_counts(assigned, rules, B.libraries(spark, sf)), rules)
     return _rounded(found, "feature_sum", "rule_sum")

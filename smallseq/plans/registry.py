@@ -112,7 +112,7 @@ _selected_query("column_filter", [Rule(classifier="f", source="Brand#4,brand#7",
 
 @query(f"WITH {CTES}, x AS (SELECT library, rule_idx, sum(fcorr / n_rules) AS count FROM sel GROUP BY ALL) SELECT library, rule_idx, round(coalesce(count, 0), 6) AS count FROM (SELECT DISTINCT library FROM aln) CROSS JOIN (SELECT rule_idx FROM rules) LEFT JOIN x USING (library, rule_idx)")
 def rule_counts(spark, sf):
-    return _rounded(C.rule_counts(_assigned(spark, sf), B.rules(spark), B.libraries(spark, sf)), "count")
+    return _rounded(C.rule_counts(_shares(spark, sf), B.rules(spark), B.libraries(spark, sf)), "count")
 
 
 @query(f"WITH {CTES} SELECT library, name, loci, round(max(corr), 6) AS corr FROM al GROUP BY ALL")
